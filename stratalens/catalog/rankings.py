@@ -1 +1 @@
-"""Queries."""
+"""Z-scores, percentile ranks, priority rankings and their robustness."""

@@ -85,22 +85,25 @@ def group_label() -> Column:
     return F.concat_ws(" ", "grade", "lang")
 
 
-def derived_total(df: DataFrame, keys: Sequence[str], size: int, chains) -> DataFrame:
-    """Unique learners per entity from group sums, one language per grade.
+def derived_total_parts(size: int, chains) -> tuple[list[Column], Column]:
+    """Aggregates of the group sums, and the total made of them.
 
     ``chains`` lists per grade the group labels in order of preference; the
     first with a positive sum counts, the last one otherwise.
     """
     group_sum = level_sum(levels("counts", size))
-    sums, picks = [], []
+    sums, total = [], F.lit(0.0)
     for position, (_, labels) in enumerate(chains):
-        for rank, label in enumerate(labels):
-            name = f"_s{position}_{rank}"
+        names = [f"_s{position}_{rank}" for rank in range(len(labels))]
+        for name, label in zip(names, labels, strict=True):
             sums.append(F.coalesce(F.sum(F.when(group_label() == label, group_sum)), F.lit(0.0)).alias(name))
-        picks.append(first_positive([F.col(f"_s{position}_{rank}") for rank in range(len(labels))]))
-    total = picks[0]
-    for pick in picks[1:]:
-        total = total + pick
+        total = total + first_positive([F.col(name) for name in names])
+    return sums, total
+
+
+def derived_total(df: DataFrame, keys: Sequence[str], size: int, chains) -> DataFrame:
+    """Unique learners per entity from group sums, one language per grade."""
+    sums, total = derived_total_parts(size, chains)
     return df.groupBy(*keys).agg(*sums).select(*keys, total.alias("derived_total"))
 
 

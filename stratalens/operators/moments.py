@@ -68,16 +68,21 @@ def share_of_levels(chosen: Sequence[int], size: int) -> Column:
     return plus([parts[i] for i in chosen])
 
 
+def weighted_parts(weights: Sequence[float]) -> tuple[Column, Column]:
+    """Weighted percentage and weight of one group, over the levels that are present."""
+    pairs = list(zip(levels("shares", len(weights)), [float(w) for w in weights], strict=True))
+    weighted = plus([F.coalesce(p * w, F.lit(0.0)) for p, w in pairs])
+    weight = plus([F.when(p.isNotNull(), F.lit(w)).otherwise(0.0) for p, w in pairs])
+    return weighted, weight
+
+
 def performance_score(df: DataFrame, keys: Sequence[str], weights: Sequence[float], null_as_zero=False) -> DataFrame:
     """Weighted mean percentage over the levels that are present; NULL when no weight applies."""
-    size = len(weights)
-    parts = levels("shares", size)
-    weighted = plus([F.coalesce(p * float(w), F.lit(0.0)) for p, w in zip(parts, weights, strict=True)])
-    divisor = plus([F.when(p.isNotNull(), F.lit(float(w))).otherwise(0.0) for p, w in zip(parts, weights, strict=True)])
-    sums = with_shares(df, size, null_as_zero).groupBy(*keys).agg(
-        F.sum(weighted).alias("_weighted"), F.sum(divisor).alias("_divisor")
+    weighted, weight = weighted_parts(weights)
+    sums = with_shares(df, len(weights), null_as_zero).groupBy(*keys).agg(
+        F.sum(weighted).alias("_weighted"), F.sum(weight).alias("_weight")
     )
-    return sums.select(*keys, F.try_divide("_weighted", "_divisor").alias("performance"))
+    return sums.select(*keys, F.try_divide("_weighted", "_weight").alias("performance"))
 
 
 def level_averages(

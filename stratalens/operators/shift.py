@@ -1,9 +1,9 @@
 """What changed between two timepoints of the same entity.
 
-The timepoints in question are few and known, so all of them are laid side by
-side with one aggregation per entity and group.  Every segment is then row-wise
-arithmetic: no self-join per segment, and moments are computed once per
-timepoint however many segments use it.
+Moments are computed once per group and timepoint, however many segments use
+them.  Each row then goes to the segments it starts or ends, and one shuffle by
+entity serves both aggregations that follow: start and end of a group side by
+side, then groups to entities.  There is no self-join.
 """
 
 from __future__ import annotations
@@ -17,7 +17,32 @@ from ..functions.distribution import earth_mover, levels
 from ..plans.segments import Segment
 from .moments import group_moments
 
-DELTAS = ("ordinal_mean", "ordinal_sd", "ordinal_skew")
+MOVING = {"ordinal_mean": "delta_mean", "ordinal_sd": "delta_sd", "ordinal_skew": "delta_skew"}
+
+
+def segment_sides(timepoint: str, segments: Sequence[Segment]) -> Column:
+    """The ``(seg_idx, is_end)`` pairs a timepoint takes part in."""
+    sides = []
+    for s in segments:
+        for point, is_end in ((s.start, False), (s.end, True)):
+            here = F.struct(F.lit(s.index).alias("seg_idx"), F.lit(is_end).alias("is_end"))
+            sides.append(F.when(F.col(timepoint) == F.lit(point), here))
+    return F.array_compact(F.array(*sides))
+
+
+def segment_attributes(segments: Sequence[Segment]) -> dict[str, Column]:
+    """Label columns of a segment, looked up by ``seg_idx``."""
+
+    def lookup(values) -> Column:
+        table = F.create_map(*[F.lit(x) for s, v in zip(segments, values, strict=True) for x in (s.index, v)])
+        return F.try_element_at(table, F.col("seg_idx"))
+
+    return {
+        "segment_label": lookup([s.label for s in segments]),
+        "segment_kind": lookup([s.kind for s in segments]),
+        "tp_from": lookup([s.start_label for s in segments]),
+        "tp_to": lookup([s.end_label for s in segments]),
+    }
 
 
 def segment_changes(
@@ -40,55 +65,32 @@ def segment_changes(
     if keep not in ("start", "both", "either"):
         raise ValueError(f"unknown keep {keep!r}")
     points = list(dict.fromkeys(p for s in segments for p in (s.start, s.end)))
-    number = {p: i for i, p in enumerate(points)}
     chosen = df.filter(F.col(timepoint).isin(points))
     moments = group_moments(chosen, size, null_as_zero, zero_sd)
+    parts = {f"p{i}": c for i, c in enumerate(levels("shares", size))}
+    sided = moments.select(
+        *entity, *group, F.inline(segment_sides(timepoint, segments)), *MOVING, *[c.alias(n) for n, c in parts.items()]
+    ).repartition(*entity)
 
-    def at(point, column) -> Column:
-        return F.max(F.when(F.col(timepoint) == F.lit(point), F.col(column)))
-
-    side_by_side = []
-    for point, i in number.items():
-        side_by_side.append(F.max((F.col(timepoint) == F.lit(point)).cast("int")).alias(f"_here{i}"))
-        for column in ("shares", *DELTAS):
-            side_by_side.append(at(point, column).alias(f"_{column}{i}"))
-    per_group = moments.groupBy(*entity, *group).agg(*side_by_side)
-
-    distances = {
-        f"_emd{n}": earth_mover(
-            levels(f"_shares{number[s.start]}", size), levels(f"_shares{number[s.end]}", size)
-        )
-        for n, s in enumerate(segments)
-    }
-    per_group = per_group.withColumns(distances)
-    summary = [F.max(f"_here{i}").alias(f"_here{i}") for i in number.values()]
-    for i in number.values():
-        summary += [F.avg(f"_{c}{i}").alias(f"_{c}{i}") for c in DELTAS]
-    for n in range(len(segments)):
-        summary += [F.avg(f"_emd{n}").alias(f"_emd{n}"), F.count(f"_emd{n}").alias(f"_common{n}")]
-    per_entity = per_group.groupBy(*entity).agg(*summary)
-
-    def row(n: int, s: Segment) -> Column:
-        i, j = number[s.start], number[s.end]
-        names = ("delta_mean", "delta_sd", "delta_skew")
-        return F.struct(
-            F.lit(s.index).alias("seg_idx"),
-            F.lit(s.label).alias("segment_label"),
-            F.lit(s.kind).alias("segment_kind"),
-            F.lit(s.start_label).alias("tp_from"),
-            F.lit(s.end_label).alias("tp_to"),
-            *[(F.col(f"_{c}{j}") - F.col(f"_{c}{i}")).alias(name) for c, name in zip(DELTAS, names, strict=True)],
-            F.col(f"_emd{n}").alias("emd_mean"),
-            F.col(f"_common{n}").alias("groups_common"),
-            (F.coalesce(F.col(f"_here{i}"), F.lit(0)) == 1).alias("_start"),
-            (F.coalesce(F.col(f"_here{j}"), F.lit(0)) == 1).alias("_end"),
-        )
-
-    rows = F.array(*[row(n, s) for n, s in enumerate(segments)])
-    long = per_entity.select(*entity, F.inline(rows))
+    start, end = ~F.col("is_end"), F.col("is_end")
+    cells = [F.bool_or(start).alias("_start"), F.bool_or(end).alias("_end")]
+    for name in (*parts, *MOVING):
+        cells += [F.max(F.when(start, F.col(name))).alias(f"{name}_0"), F.max(F.when(end, F.col(name))).alias(f"{name}_1")]
+    per_group = sided.groupBy(*entity, "seg_idx", *group).agg(*cells)
+    distance = earth_mover([F.col(f"{n}_0") for n in parts], [F.col(f"{n}_1") for n in parts])
+    per_entity = per_group.withColumn("_emd", distance).groupBy(*entity, "seg_idx").agg(
+        F.bool_or("_start").alias("_start"),
+        F.bool_or("_end").alias("_end"),
+        *[(F.avg(f"{m}_1") - F.avg(f"{m}_0")).alias(name) for m, name in MOVING.items()],
+        F.avg("_emd").alias("emd_mean"),
+        F.count("_emd").alias("groups_common"),
+    )
     wanted = {
         "start": F.col("_start"),
         "both": F.col("_start") & F.col("_end"),
-        "either": F.col("_start") | F.col("_end"),
+        "either": F.lit(True),
     }[keep]
-    return long.filter(wanted).drop("_start", "_end")
+    return per_entity.filter(wanted).withColumns(segment_attributes(segments)).select(
+        *entity, "seg_idx", "segment_label", "segment_kind", "tp_from", "tp_to",
+        *MOVING.values(), "emd_mean", "groups_common",
+    )

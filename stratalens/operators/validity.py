@@ -16,6 +16,40 @@ MIN_GROUPS = 4
 MIN_ASSESSED = 15
 
 
+def validity_aggregates(
+    groups: Sequence[Group], size: int, mode: str = "any", null_as_zero: bool = False
+) -> list[Column]:
+    """Aggregates over the long counts of an entity and timepoint; ``finish_validity`` reads them."""
+    parts = levels(filled("counts", size) if null_as_zero else F.col("counts"), size)
+    total = level_sum(parts)
+    has = is_complete(parts, mode) & (total > 0)
+    grades = dict.fromkeys(g.grade for g in groups)
+    return [
+        *[F.coalesce(F.bool_or(same_group(g) & has), F.lit(False)).alias(f"has_{g.key}") for g in groups],
+        *[F.coalesce(F.bool_or((F.col("grade") == x) & has), F.lit(False)).alias(f"_grade_{x}") for x in grades],
+        F.count_if(has).alias("groups_available"),
+        F.min(F.when(has, total)).cast("bigint").alias("min_group_assessed"),
+    ]
+
+
+def finish_validity(
+    df: DataFrame, groups: Sequence[Group], min_groups: int = MIN_GROUPS, min_assessed: int = MIN_ASSESSED
+) -> DataFrame:
+    """Add ``valid``, ``has_all_grades`` and ``valid_strict`` to the aggregates."""
+    grades = dict.fromkeys(g.grade for g in groups)
+    every = F.lit(True)
+    for x in grades:
+        every = every & F.col(f"_grade_{x}")
+    out = df.withColumns({"valid": F.col("groups_available") > 0, "has_all_grades": every})
+    strict = (
+        F.col("valid")
+        & F.col("has_all_grades")
+        & (F.col("groups_available") >= min_groups)
+        & F.coalesce(F.col("min_group_assessed") >= min_assessed, F.lit(False))
+    )
+    return out.withColumn("valid_strict", strict).drop(*[f"_grade_{x}" for x in grades])
+
+
 def validity(
     df: DataFrame,
     keys: Sequence[str],
@@ -33,32 +67,8 @@ def validity(
     for one, ``valid_strict`` for every grade, ``min_groups`` groups and
     ``min_assessed`` learners in each reporting group.
     """
-    parts = levels(filled("counts", size) if null_as_zero else F.col("counts"), size)
-    total = level_sum(parts)
-    marked = df.withColumns({"_has": is_complete(parts, mode) & (total > 0), "_sum": total})
-    has = F.col("_has")
-    grades = dict.fromkeys(g.grade for g in groups)
-    out = marked.groupBy(*keys).agg(
-        *[F.coalesce(F.bool_or(same_group(g) & has), F.lit(False)).alias(f"has_{g.key}") for g in groups],
-        *[F.coalesce(F.bool_or((F.col("grade") == x) & has), F.lit(False)).alias(f"_grade_{x}") for x in grades],
-        F.count_if(has).alias("groups_available"),
-        F.min(F.when(has, F.col("_sum"))).alias("min_group_assessed"),
-    )
-    every = F.lit(True)
-    for x in grades:
-        every = every & F.col(f"_grade_{x}")
-    out = out.withColumns({
-        "min_group_assessed": F.col("min_group_assessed").cast("bigint"),
-        "valid": F.col("groups_available") > 0,
-        "has_all_grades": every,
-    })
-    strict = (
-        F.col("valid")
-        & F.col("has_all_grades")
-        & (F.col("groups_available") >= min_groups)
-        & F.coalesce(F.col("min_group_assessed") >= min_assessed, F.lit(False))
-    )
-    return out.withColumn("valid_strict", strict).drop(*[f"_grade_{x}" for x in grades])
+    counted = df.groupBy(*keys).agg(*validity_aggregates(groups, size, mode, null_as_zero))
+    return finish_validity(counted, groups, min_groups, min_assessed)
 
 
 def count_mismatch(start: Column, end: Column, threshold: float = 0.25, unknown: bool = True) -> Column:

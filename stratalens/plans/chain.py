@@ -22,12 +22,14 @@ def chain_progress(
     metadata: Sequence[str] = (),
     threshold: float = 0.25,
     timepoint: str = "timepoint_label",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One wide row per entity, from one aggregation.
 
     ``timepoints`` has one row per entity and timepoint with ``perf``, ``sd``,
     ``skew``, ``valid``, ``valid_strict`` and ``total_assessed``.  A delta needs
-    both ends valid and a stable count.  Columns: ``<score>_<i>`` per timepoint,
+    both ends valid and a stable count.  Columns: ``<score>_<i>`` (and those in
+    ``carry``) per timepoint, with ``present_<i>`` for a row at that timepoint,
     ``seg<n>_delta|sd_delta|skew_delta|valid|count_stable|valid_strict`` per
     segment (1-based), counts of usable segments and the sums over full-year
     segments.
@@ -39,7 +41,8 @@ def chain_progress(
         order = F.when(at[p], i).otherwise(order)
     cells = []
     for p, i in number.items():
-        for c in (*SCORES, "total_assessed", "valid", "valid_strict"):
+        cells.append(F.coalesce(F.bool_or(at[p]), F.lit(False)).alias(f"present_{i}"))
+        for c in dict.fromkeys((*SCORES, "total_assessed", "valid", "valid_strict", *carry)):
             cells.append(F.max(F.when(at[p], F.col(c))).alias(f"{c}_{i}"))
     wide = timepoints.groupBy(entity).agg(*first_known(metadata, order), *cells)
 

@@ -75,7 +75,7 @@ def begin_total(counts7: DataFrame, assessed: DataFrame | None, keys: Sequence[s
 
 def with_total_assessed(table: DataFrame, counts: DataFrame, reported: DataFrame, instrument: Instrument) -> DataFrame:
     """Add ``total_assessed``: the reported total, or one derived from the groups where it is missing."""
-    derived = derived_total(counts, KEYS, instrument.scale.size, instrument.first_positive)
+    derived = derived_total(counts, KEYS, instrument.scale.size, instrument.language_chains)
     joined = table.join(reported.select(*KEYS, "reported_total"), list(KEYS), "left").join(derived, list(KEYS), "left")
     return joined.withColumns({
         "total_assessed": F.coalesce("reported_total", "derived_total"),

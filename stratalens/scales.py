@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -61,12 +61,16 @@ class Instrument:
     groups: tuple[Group, ...]
     null_as_zero: bool = False
     zero_sd: str = "keep"
-    first_positive: tuple[tuple[str, tuple[str, ...]], ...] = field(default=())
 
     @property
     def grades(self) -> tuple[str, ...]:
         return tuple(dict.fromkeys(g.grade for g in self.groups))
 
+    @property
+    def language_chains(self) -> tuple[tuple[str, tuple[str, ...]], ...]:
+        """Per grade its group labels, in the order in which they stand for the grade's learners."""
+        return tuple((x, tuple(g.label for g in self.groups if g.grade == x)) for x in self.grades)
+
 
 # Level names, grades and languages as they stand in the exports.
 READING_5 = Scale("reading_5", (
@@ -111,12 +115,7 @@ KEY_STAGE_GRADES = {
 }
 METADATA = ("School Name", "Region", "Division", "District")
 
-EARLY_READING = Instrument(
-    "early_reading",
-    READING_5,
-    EARLY_READING_GROUPS,
-    first_positive=(("G1", ("G1",)), ("G2", ("G2 MT", "G2 Fil")), ("G3", ("G3 MT", "G3 Fil", "G3 Eng"))),
-)
+EARLY_READING = Instrument("early_reading", READING_5, EARLY_READING_GROUPS)
 
 
 def upper_reading(ks: str, scale: Scale = READING_3) -> Instrument:
