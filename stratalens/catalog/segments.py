@@ -209,19 +209,18 @@ def chain_inputs(spark, folder):
     return scored.withColumnRenamed("derived_total", "total_assessed")
 
 
-def sql_chain(threshold: float = 0.25) -> str:
-    """CTE chain: one row per entity and segment."""
-    flags = VALIDITY_SQL.replace("entity_id, school_year, period", "entity_id, tp")
-    return f"""{SALES_MOMENTS}, segs AS ({sql_segment_rows(SEGMENT_LIST)}),
+def sql_chain_ctes(moments: str, flags: str, segments, total: str = "sum(s)", threshold: float = 0.25) -> str:
+    """CTE chain: one row per entity and segment; ``tf`` has scores and flags per timepoint."""
+    return f"""{moments}, segs AS ({sql_segment_rows(segments)}),
     flags AS ({flags}),
     t AS (SELECT entity_id, tp, avg(ordinal_mean) AS perf, avg(ordinal_sd) AS sd, avg(ordinal_skew) AS skew,
-      sum(s) AS total FROM moments GROUP BY entity_id, tp),
+      {total} AS total FROM moments GROUP BY entity_id, tp),
     tf AS (SELECT * FROM t JOIN flags USING (entity_id, tp)),
     chain0 AS (SELECT e.entity_id, segs.seg_idx, segment_label,
         b.perf - a.perf AS delta, b.sd - a.sd AS sd_delta, b.skew - a.skew AS skew_delta,
         coalesce(abs(b.total - a.total) / nullif(a.total, 0) <= {threshold}, false) AS count_stable,
         coalesce(a.valid AND b.valid, false) AS bv, coalesce(a.valid_strict AND b.valid_strict, false) AS bs
-      FROM (SELECT DISTINCT entity_id FROM t) e, segs
+      FROM (SELECT DISTINCT entity_id FROM t) e CROSS JOIN segs
       LEFT JOIN tf a ON a.entity_id = e.entity_id AND a.tp = tp0
       LEFT JOIN tf b ON b.entity_id = e.entity_id AND b.tp = tp1),
     chain AS (SELECT entity_id, seg_idx, segment_label, count_stable, bv AND count_stable AS valid,
@@ -231,6 +230,11 @@ def sql_chain(threshold: float = 0.25) -> str:
         CASE WHEN bv AND count_stable THEN skew_delta END AS skew_delta FROM chain0)"""
 
 
+def sql_chain() -> str:
+    flags = VALIDITY_SQL.replace("entity_id, school_year, period", "entity_id, tp")
+    return sql_chain_ctes(SALES_MOMENTS, flags, SEGMENT_LIST)
+
+
 def progress_of(spark, folder):
     return chain_progress(
         chain_inputs(spark, folder), "entity_id", POINTS, SEGMENT_LIST, carry=REASON_FIELDS
@@ -309,19 +313,19 @@ REASON_YEARS = (
 )
 
 
-def sql_tags(alias: str, label: str) -> str:
+def sql_tags(alias: str, label: str, min_assessed: int) -> str:
     usable = f"{alias}.valid"
     return f"""CASE WHEN {alias}.entity_id IS NULL THEN 'not in {label} dataset' END,
       CASE WHEN NOT {usable} THEN 'no valid groups at {label}' END,
       CASE WHEN {usable} AND NOT {alias}.has_all_grades THEN 'missing grade level(s) at {label}' END,
       CASE WHEN {usable} AND {alias}.groups_available < 4
         THEN 'only ' || {alias}.groups_available || ' groups at {label}' END,
-      CASE WHEN {usable} AND {alias}.min_group_assessed < {STRICT_AT}
+      CASE WHEN {usable} AND {alias}.min_group_assessed < {min_assessed}
         THEN 'min ' || {alias}.min_group_assessed || ' assessed/group at {label}' END"""
 
 
-def sql_reason(heading: str, label0: str, tp0: str, label1: str, tp1: str, index: int) -> str:
-    tags = f"{sql_tags('a', label0)}, {sql_tags('b', label1)}"
+def sql_reason(heading: str, label0: str, tp0: str, label1: str, tp1: str, index: int, at: int) -> str:
+    tags = f"{sql_tags('a', label0, at)}, {sql_tags('b', label1, at)}"
     return f"""SELECT c.entity_id, CASE WHEN NOT c.valid_strict THEN '{heading}: ' || coalesce(nullif(concat_ws('; ', {tags},
       CASE WHEN NOT c.count_stable AND a.entity_id IS NOT NULL AND b.entity_id IS NOT NULL AND a.valid AND b.valid
         THEN 'unstable count (>25% change)' END), ''), 'failed strict validation') END AS reason
@@ -330,8 +334,8 @@ def sql_reason(heading: str, label0: str, tp0: str, label1: str, tp1: str, index
       LEFT JOIN (SELECT * FROM flags WHERE tp = '{tp1}') b ON b.entity_id = c.entity_id"""
 
 
-REASON_SQL = f"""{sql_chain()}, r1 AS ({sql_reason('SY 1999', 'BoSY', 'BoSY 1999', 'EoSY', 'EoSY 1999', 4)}),
-r2 AS ({sql_reason('SY 2001', 'BoSY', 'BoSY 2001', 'EoSY', 'EoSY 2001', 6)}),
+REASON_SQL = f"""{sql_chain()}, r1 AS ({sql_reason('SY 1999', 'BoSY', 'BoSY 1999', 'EoSY', 'EoSY 1999', 4, STRICT_AT)}),
+r2 AS ({sql_reason('SY 2001', 'BoSY', 'BoSY 2001', 'EoSY', 'EoSY 2001', 6, STRICT_AT)}),
 reasons AS (SELECT entity_id, concat_ws(' | ', r1.reason, r2.reason) AS exclusion_reason FROM r1 JOIN r2 USING (entity_id))"""
 
 
