@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import edit_ratio, place_name, region_short
+from ..session import materialise
 from .keysets import keep_first
 
 AREA_TYPES = ("City", "Municipality")
@@ -178,8 +179,9 @@ def match_areas(
     Unmatched rows keep a NULL code and their near miss.
     """
     rows = normalised(funds.filter(F.col("area_type").isin(*AREA_TYPES)), "region", "province", "area")
-    candidates = area_candidates(crosswalk)
-    exact = exact_matches(rows.select(*TARGET).distinct(), candidates)
+    # Both are name lists that several joins below read again.
+    candidates = materialise(area_candidates(crosswalk))
+    exact = materialise(exact_matches(rows.select(*TARGET).distinct(), candidates))
     open_targets = exact.filter(F.col("exact_code").isNull()).select(*TARGET)
     fuzzy = fuzzy_matches(open_targets, candidates, threshold, similarity)
     known = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in TARGET]
