@@ -66,9 +66,9 @@ def validity_summary_query(spark, folder):
 
 @query("empty_rows", f"""
 WITH base AS ({sql_counts(CUSTOMER_YEAR, source='orders')}),
-e AS (SELECT entity_id, yr, bool_or(c1 + c2 > 0) AS some, sum(CASE WHEN c1 + c2 > 0 THEN c1 + c3 ELSE 0 END) AS total
+e AS (SELECT entity_id, yr, bool_or(c1 + c2 > 0) AS any_level, sum(CASE WHEN c1 + c2 > 0 THEN c1 + c3 ELSE 0 END) AS total
   FROM base GROUP BY 1, 2)
-SELECT yr, count(*) AS entities, count(*) FILTER (WHERE NOT some) AS all_missing,
+SELECT yr, count(*) AS entities, count(*) FILTER (WHERE NOT any_level) AS all_missing,
   count(*) FILTER (WHERE total = 0) AS all_zero FROM e GROUP BY yr""")
 def empty_rows_query(spark, folder):
     """Two of the levels, missing where the customer has no urgent or high order."""

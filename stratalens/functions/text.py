@@ -49,9 +49,13 @@ def repaired(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Number from text with thousands separators; anything else is NULL, never NaN."""
-    value = F.replace(trimmed(text), F.lit(","), F.lit("")).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """Number from text with thousands separators; anything else is NULL, never NaN.
+
+    A cast from text strips white space by itself, but would also take a type
+    letter at the end (``5d``) as part of the number.
+    """
+    value = F.replace(text, F.lit(","), F.lit("")).try_cast("double")
+    return F.when(~text.rlike("[dDfF]\\s*$"), F.nullif(value, F.lit(float("nan"))))
 
 
 def to_key(text: Column) -> Column:

@@ -42,25 +42,34 @@ def sum_counts(df: DataFrame, keys: Sequence[str | Column], size: int, name: str
 
 
 def wide_to_long(
-    df: DataFrame, keys: Sequence[str], groups: Sequence[Group], scale: Scale, column_name=None
+    df: DataFrame, keys: Sequence[str], groups: Sequence[Group], scale: Scale, column_name=None, convert=None
 ) -> DataFrame:
-    """One column per group and level to one row per group.  No shuffle."""
+    """One column per group and level to one row per group.  No shuffle.
+
+    ``convert`` makes numbers of the cells; it runs on the long rows, where it is
+    written once per level and not once per column of a wide export.
+    """
     column_name = column_name or (lambda group, level: f"{group.label} {level}")
-    present = set(df.columns)
+    convert = convert or (lambda cell: cell.cast("double"))
+    kinds = dict(df.dtypes)
+    known = {kinds[n] for g in groups for level in scale.levels if (n := column_name(g, level)) in kinds}
+    kind = known.pop() if len(known) == 1 else "string"
 
     def cell(group: Group, level: str) -> Column:
         name = column_name(group, level)
-        return F.col(f"`{name}`").cast("double") if name in present else F.lit(None).cast("double")
+        return (F.col(f"`{name}`") if name in kinds else F.lit(None)).cast(kind)
 
     rows = F.array(*[
         F.struct(
             F.lit(g.grade).alias("grade"),
             F.lit(g.lang).cast("string").alias("lang"),
-            F.array(*[cell(g, level) for level in scale.levels]).alias("counts"),
+            F.array(*[cell(g, level) for level in scale.levels]).alias("_cells"),
         )
         for g in groups
     ])
-    return df.select(*keys, F.inline(rows))
+    long = df.select(*keys, F.inline(rows))
+    counts = F.array(*[convert(c) for c in levels("_cells", scale.size)])
+    return long.select(*keys, "grade", "lang", counts.alias("counts"))
 
 
 def long_to_wide(

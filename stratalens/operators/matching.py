@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions.text import edit_ratio, place_name, region_short
 from ..session import materialise
@@ -74,7 +75,7 @@ def exact_matches(targets: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio of two names: twice the matched characters over all characters."""
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])

@@ -1,4 +1,8 @@
-"""Loaders: CSV exports to cleaned wide tables, and to the rows of the lake."""
+"""Loaders: CSV exports to wide tables with canonical columns, and to the rows of the lake.
+
+A wide table has typed keys, metadata and total; its level cells stay text until
+they stand in long rows, so that no stage converts dozens of columns at once.
+"""
 
 from __future__ import annotations
 
@@ -50,23 +54,23 @@ def _optional(df: DataFrame, name: str, clean, kind: str) -> Column:
     return clean(F.col(f"`{name}`")) if name in df.columns else F.lit(None).cast(kind)
 
 
-def _typed(df: DataFrame, columns: Sequence[str], clean_text, tags: Mapping[str, str]) -> DataFrame:
-    """Key, metadata, total and data columns with their types, plus constant tags."""
+def _canonical(df: DataFrame, columns: Sequence[str], clean_text, tags: Mapping[str, str]) -> DataFrame:
+    """Key, metadata, total and data columns in canonical order, plus constant tags."""
     return df.select(
         F.col(f"`{KEY}`").alias("raw_id"),
         to_key(F.col(f"`{KEY}`")).alias("entity_id"),
         *[_optional(df, m, clean_text, "string").alias(m) for m in METADATA],
         _optional(df, TOTAL, to_number, "double").alias("total_assessed"),
-        *[_optional(df, c, to_number, "double").alias(c) for c in columns],
+        *[_optional(df, c, lambda x: x, "string").alias(c) for c in columns],
         *[F.lit(v).alias(n) for n, v in tags.items()],
     )
 
 
 def load_early_reading(spark: SparkSession, path: str, school_year: str, period: str) -> DataFrame:
-    """One export of early reading, columns and text repaired, counts as numbers."""
+    """One export of early reading, columns and text repaired."""
     names = read_header(spark, path)
     raw = read_positional(spark, path, len(names), early_reading_header(names))
-    return _typed(raw, early_reading_columns(), repaired, {"school_year": school_year, "period": period})
+    return _canonical(raw, early_reading_columns(), repaired, {"school_year": school_year, "period": period})
 
 
 def load_all_early_reading(spark: SparkSession, files: Mapping[tuple[str, str], str]) -> DataFrame:
@@ -79,7 +83,7 @@ def load_upper_reading(spark: SparkSession, path: str, ks: str, school_year: str
     names = read_header(spark, path)
     raw = read_positional(spark, path, len(names), upper_reading_header(names, ks, school_year, period))
     tags = {"school_year": school_year, "period": period, "ks": ks}
-    return _typed(raw, upper_reading_columns(ks, school_year, period), lambda c: c, tags)
+    return _canonical(raw, upper_reading_columns(ks, school_year, period), lambda c: c, tags)
 
 
 def load_mathematics(spark: SparkSession, path: str, ks: str, school_year: str, period: str) -> DataFrame:
@@ -87,7 +91,7 @@ def load_mathematics(spark: SparkSession, path: str, ks: str, school_year: str,
     names = read_header(spark, path)
     raw = read_positional(spark, path, len(names), mathematics_header(names))
     tags = {"school_year": school_year, "period": period, "ks": ks}
-    return _typed(raw, mathematics_columns(ks), trimmed, tags)
+    return _canonical(raw, mathematics_columns(ks), trimmed, tags)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -118,7 +122,7 @@ KEYS = ("entity_id", "school_year", "period")
 
 
 def _lake_rows(wide: DataFrame, instrument: str, ks: str | None, groups, scale: Scale, column_name=None) -> DataFrame:
-    rows = wide_to_long(accepted(wide), KEYS, groups, scale, column_name)
+    rows = wide_to_long(accepted(wide), KEYS, groups, scale, column_name, convert=to_number)
     return rows.select(F.lit(instrument).alias("instrument"), F.lit(ks).cast("string").alias("ks"), *KEYS, "grade", "lang", "counts")
 
 
@@ -150,7 +154,8 @@ def assessed_counts(wide: DataFrame, ks: str) -> DataFrame:
                     F.lit(lang).cast("string").alias("lang"),
                     F.col(f"`{name}`").alias("assessed"),
                 ))
-    return accepted(wide).select(*KEYS, F.inline(F.array(*cells)))
+    rows = accepted(wide).select(*KEYS, F.inline(F.array(*cells)))
+    return rows.withColumn("assessed", to_number(F.col("assessed")))
 
 
 def entity_rows(wide: DataFrame, instrument: str, ks: str | None = None) -> DataFrame:
