@@ -70,15 +70,18 @@ SUPPLY_STRICT = 3
 
 
 def supply_counts(spark, folder):
+    """Lines are counted under numbers for year and half-year; labels are written on the counts."""
     lines = table(spark, folder, "lineitem")
-    period = F.when(F.month("l_shipdate") <= 6, "BoSY").otherwise("EoSY")
     keys = [
         F.col("l_suppkey").alias("entity_id"),
-        F.concat_ws(" ", period, F.year("l_shipdate").cast("string")).alias("timepoint_label"),
+        F.year("l_shipdate").alias("_year"),
+        (F.month("l_shipdate") <= 6).alias("_first_half"),
         F.col("l_returnflag").alias("grade"),
         F.col("l_linestatus").alias("lang"),
     ]
-    return records_to_counts(lines, keys, F.ceil(F.col("l_quantity") / 10), 5)
+    counts = records_to_counts(lines, keys, F.ceil(F.col("l_quantity") / 10), 5)
+    label = F.concat_ws(" ", F.when(F.col("_first_half"), "BoSY").otherwise("EoSY"), F.col("_year").cast("string"))
+    return counts.select("entity_id", label.alias("timepoint_label"), "grade", "lang", "counts")
 
 
 def supply_scores(spark, folder):

@@ -137,7 +137,7 @@ def upper_reading_roundtrip(spark, folder):
     loaded = bronze.union_all(frames)
     lake.write_partitioned(bronze.upper_reading_counts(loaded, "ks3", READING_7), f"{root}/silver")
     keys = ["entity_id", "school_year", "period"]
-    stored = lake.read_partitioned(spark, f"{root}/silver", "upper_reading_7", "ks3", [(y, "BoSY") for y in files])
+    stored = lake.read_partitioned(spark, f"{root}/silver", "upper_reading", "ks3", [(y, "BoSY") for y in files])
     joined = stored.join(bronze.assessed_counts(loaded, "ks3"), [*keys, "grade", "lang"])
     return joined.filter(F.col("assessed").isNotNull()).select(
         "entity_id", "school_year", "grade", "lang", *[c.alias(f"c{i}") for i, c in enumerate(levels("counts", 7), 1)],

@@ -4,8 +4,8 @@ A window without partition keys sorts all rows in a single task, and the exact
 ``percentile`` aggregate keeps all distinct values in one.  Here equal values are
 first merged (with map-side combining, so that a value shared by a third of all
 rows costs one row per map task).  The distinct values are range-partitioned and
-written to the checkpoint folder together with the number of their range, which
-fixes the ranges for good.  Counts below a value are then a running sum inside
+written as a table together with the number of their range, which fixes the
+ranges for good.  Counts below a value are then a running sum inside
 its range plus the total of all earlier ranges; only these totals, one row per
 range, meet in one place.
 """
@@ -40,10 +40,10 @@ class Ladder:
 def value_ladder(df: DataFrame, value: str, by: Sequence[str] = ()) -> Ladder:
     """Order the distinct non-NULL values of a column, per group if ``by`` is given."""
     by = list(by)
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    # Spark chooses the number of ranges (at most spark.sql.shuffle.partitions) by their size.
     laid_out = materialise(
-        counted.repartitionByRange(ranges, *by, value).withColumn("_range", F.spark_partition_id())
+        counted.repartitionByRange(*by, value).withColumn("_range", F.spark_partition_id())
     )
     size = laid_out.agg(F.count(F.lit(1)).alias("rungs"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
     totals = laid_out.groupBy(*by, "_range").agg(F.sum("n").alias("_in_range"))
@@ -54,7 +54,7 @@ def value_ladder(df: DataFrame, value: str, by: Sequence[str] = ()) -> Ladder:
         F.coalesce(F.sum("_in_range").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_in_range").over(Window.partitionBy(*by)).alias("total"),
     )
-    # Without groups there is one offset per range, a number set by configuration.
+    # Without groups there is one offset per range, a number bounded by configuration.
     side = offsets if by else F.broadcast(offsets)
     inside = Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     ladder = laid_out.join(side, [*by, "_range"]).select(

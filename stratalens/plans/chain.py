@@ -35,49 +35,41 @@ def chain_progress(
     segments.
     """
     number = {p: i for i, p in enumerate(points)}
-    at = {p: F.col(timepoint) == F.lit(p) for p in points}
-    order = F.lit(None).cast("int")
-    for p, i in number.items():
-        order = F.when(at[p], i).otherwise(order)
+    order = F.array_position(F.array(*[F.lit(p) for p in points]), F.col(timepoint))
     cells = []
     for p, i in number.items():
-        cells.append(F.coalesce(F.bool_or(at[p]), F.lit(False)).alias(f"present_{i}"))
+        here = f"`{timepoint}` = '{p}'"
+        cells.append(F.expr(f"coalesce(bool_or({here}), false) AS present_{i}"))
         for c in dict.fromkeys((*SCORES, "total_assessed", "valid", "valid_strict", *carry)):
-            cells.append(F.max(F.when(at[p], F.col(c))).alias(f"{c}_{i}"))
+            cells.append(F.expr(f"max(CASE WHEN {here} THEN {c} END) AS {c}_{i}"))
     wide = timepoints.groupBy(entity).agg(*first_known(metadata, order), *cells)
 
-    def flag(name: str, i: int) -> Column:
-        return F.coalesce(F.col(f"{name}_{i}"), F.lit(False))
-
-    checks, deltas = {}, {}
+    stable, checks, deltas = {}, {}, {}
     for n, s in enumerate(segments, start=1):
         i, j = number[s.start], number[s.end]
-        stable = count_stable(F.col(f"total_assessed_{i}"), F.col(f"total_assessed_{j}"), threshold)
-        checks[f"seg{n}_count_stable"] = stable
-        checks[f"seg{n}_valid"] = flag("valid", i) & flag("valid", j) & stable
-        checks[f"seg{n}_valid_strict"] = flag("valid_strict", i) & flag("valid_strict", j) & stable
-        for score, name in zip(SCORES, ("delta", "sd_delta", "skew_delta"), strict=True):
-            deltas[f"seg{n}_{name}"] = F.when(
-                F.col(f"seg{n}_valid"), F.col(f"{score}_{j}") - F.col(f"{score}_{i}")
+        stable[f"seg{n}_count_stable"] = count_stable(
+            F.col(f"total_assessed_{i}"), F.col(f"total_assessed_{j}"), threshold
+        )
+        for flag in ("valid", "valid_strict"):
+            checks[f"seg{n}_{flag}"] = F.expr(
+                f"coalesce({flag}_{i}, false) AND coalesce({flag}_{j}, false) AND seg{n}_count_stable"
             )
-    wide = wide.withColumns(checks).withColumns(deltas)
-
-    def tally(name: str) -> Column:
-        total = F.lit(0)
-        for n in range(1, len(segments) + 1):
-            total = total + F.col(f"seg{n}_{name}").cast("int")
-        return total
+        for score, name in zip(SCORES, ("delta", "sd_delta", "skew_delta"), strict=True):
+            deltas[f"seg{n}_{name}"] = F.expr(f"CASE WHEN seg{n}_valid THEN {score}_{j} - {score}_{i} END")
+    wide = wide.withColumns(stable).withColumns(checks).withColumns(deltas)
 
+    numbers = range(1, len(segments) + 1)
     full_year = [n for n, s in enumerate(segments, start=1) if s.label.startswith("Learning_")]
 
+    def tally(flag: str) -> Column:
+        return F.expr(" + ".join(f"CAST(seg{n}_{flag} AS INT)" for n in numbers) or "0")
+
     def composite(name: str) -> Column:
-        parts = [F.col(f"seg{n}_{name}") for n in full_year]
-        if not parts:
+        if not full_year:
             return F.lit(None).cast("double")
-        total = F.lit(0.0)
-        for part in parts:
-            total = total + F.coalesce(part, F.lit(0.0))
-        return F.when(F.coalesce(*parts).isNotNull(), total)
+        parts = [f"seg{n}_{name}" for n in full_year]
+        total = " + ".join(f"coalesce({p}, 0.0D)" for p in parts)
+        return F.expr(f"CASE WHEN coalesce({', '.join(parts)}) IS NOT NULL THEN {total} END")
 
     return wide.withColumns({
         "segments_available": tally("valid"),

@@ -50,8 +50,8 @@ def area_capacity(
 
 
 def with_capacity(df: DataFrame, crosswalk: DataFrame, capacity: DataFrame, entity: str, area: str) -> DataFrame:
-    """Add the area of each entity and its capacity; entities without an area keep their row."""
-    located = df.join(crosswalk.select(entity, area), entity, "left")
+    """Add the crosswalk columns of each entity and its area's capacity; entities without an area keep their row."""
+    located = df.join(crosswalk, entity, "left")
     return located.join(capacity, area, "left")
 
 

@@ -1,11 +1,11 @@
-"""Session helpers: cutting lineage, and joins that check a side's size first."""
+"""Cutting lineage through the shared checkpoint folder, and the limit for broadcasts."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 BROADCAST_ROW_LIMIT = 200_000
 
@@ -30,17 +30,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and read it from there.
+    """Write ``df`` once as a Parquet table in the checkpoint folder and read it from there.
 
     Used where a result is read by several later passes that must see the very
     same values (a repeated floating-point sum may differ in its last digit), and
-    where a lost executor must not force the whole lineage to run again.
+    where a lost executor must not force the whole lineage to run again.  Passes
+    read only the columns they need, and Spark knows the size of the table.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def join_sized(left: DataFrame, right: DataFrame, on, how: str, right_rows: int) -> DataFrame:
-    """Broadcast ``right`` when its counted rows are few, shuffle it otherwise."""
-    side = F.broadcast(right) if right_rows <= BROADCAST_ROW_LIMIT else right
-    return left.join(side, on=on, how=how)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -134,7 +134,7 @@ def early_reading_counts(wide: DataFrame) -> DataFrame:
 def upper_reading_counts(wide: DataFrame, ks: str, scale: Scale) -> DataFrame:
     """Level counts per grade and language on the 3- or the 7-level scale."""
     groups = upper_reading(ks).groups
-    return _lake_rows(wide, f"upper_reading_{scale.size}", ks, groups, scale, upper_reading_level_column)
+    return _lake_rows(wide, "upper_reading", ks, groups, scale, upper_reading_level_column)
 
 
 def mathematics_counts(wide: DataFrame, ks: str) -> DataFrame:

@@ -53,7 +53,7 @@ def _schema_with_text_partitions(spark: SparkSession, path: str) -> StructType:
     """Partition values stay text, whatever they look like."""
     schema = spark.read.parquet(path).schema
     return StructType([
-        StructField(f.name, StringType() if f.name in PARTITIONS else f.dataType, True) for f in schema.fields
+        StructField(f.name, StringType() if f.name in (*PARTITIONS, "ks") else f.dataType, True) for f in schema.fields
     ])
 
 
