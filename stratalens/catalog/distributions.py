@@ -13,7 +13,7 @@ from ..functions.distribution import (
 )
 from ..operators.counts import (
     derived_total,
-    largest_language_total,
+    largest_language_parts,
     level_range_sum,
     long_to_wide,
     lower_band,
@@ -377,9 +377,9 @@ def largest_language(spark, folder):
     """Sum over grades of the largest language group, with and without the best level."""
     counts = sales_by_status(spark, folder)
     keys = ["entity_id", "school_year", "period"]
-    total = largest_language_total(counts, keys, 5)
-    pool = largest_language_total(counts, keys, 5, without_top=True, name="pool")
-    return total.join(pool, keys)
+    total_parts, total = largest_language_parts(SEGMENTS, 5)
+    pool_parts, pool = largest_language_parts(SEGMENTS, 5, without_top=True)
+    return counts.groupBy(*keys).agg(*total_parts, *pool_parts).select(*keys, total.alias("total"), pool.alias("pool"))
 
 
 @query("wide_to_long", f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.counts import largest_language_total
+from ..operators.counts import largest_language_parts, largest_language_total
 from ..operators.keysets import first_known
 from ..operators.moments import entity_moments
 from ..operators.ranks import exact_quantiles
@@ -129,7 +129,7 @@ JOIN d b ON b.entity_id = c.entity_id AND b.tp = c.tp_to""")
 def yoy_inner(spark, folder):
     counts = weekday_counts(spark, folder)
     totals = largest_language_total(
-        counts, ["entity_id", "school_year", "period"], 7, grade="grade", name="total_assessed"
+        counts, ["entity_id", "school_year", "period"], STATUSES, 7, name="total_assessed"
     )
     return rounded(year_over_year(counts, totals, WEEKDAYS, YOY))
 
@@ -177,8 +177,9 @@ SELECT entity_id, split_part(tp, ' ', 2) AS school_year, split_part(tp, ' ', 1)
 def timepoints_3level(spark, folder):
     counts = return_counts(spark, folder)
     keys = ["entity_id", "school_year", "period"]
-    totals = largest_language_total(counts, keys, 3, name="total_assessed")
-    return rounded(timepoint_table(counts, RETURNS, scores_by_group=False).join(totals, keys))
+    parts, total = largest_language_parts(RETURNS.grades, 3)
+    table = timepoint_table(counts, RETURNS, scores_by_group=False, extra=parts).withColumn("total_assessed", total)
+    return rounded(table.drop(*[c for c in table.columns if c.startswith("_")]))
 
 
 @query("timepoints_depth", f"""
@@ -196,8 +197,8 @@ def timepoints_depth(spark, folder):
         F.col("o_custkey").alias("entity_id"), order_year().alias("school_year"), order_period().alias("period"),
         F.col("o_orderstatus").alias("grade"),
     ).agg(F.count(F.lit(1)).cast("double").alias("assessed"))
-    by_column = begin_total(counts, assessed, keys).withColumnRenamed("total_assessed", "total_from_assessed")
-    return rounded(begin_depth(counts, keys).join(begin_total(counts, None, keys), keys).join(by_column, keys))
+    by_column = begin_total(counts, STATUSES, assessed, keys).withColumnRenamed("total_assessed", "total_from_assessed")
+    return rounded(begin_depth(counts, keys).join(begin_total(counts, STATUSES, None, keys), keys).join(by_column, keys))
 
 
 def chain_inputs(spark, folder):

@@ -116,18 +116,26 @@ def derived_total(df: DataFrame, keys: Sequence[str], size: int, chains) -> Data
     return df.groupBy(*keys).agg(*sums).select(*keys, total.alias("derived_total"))
 
 
-def largest_language_total(
-    df: DataFrame, keys: Sequence[str], size: int, grade: str = "grade", without_top: bool = False, name: str = "total"
-) -> DataFrame:
-    """Learners per entity as the sum over grades of the largest language group.
+def largest_language_parts(grades: Sequence[str], size: int, without_top: bool = False) -> tuple[list[Column], Column]:
+    """Aggregates of the largest language group per grade, and the total made of them.
 
-    ``without_top`` leaves out the best level, giving the pool that may be
-    assessed again later.
+    The grades are known, so one aggregation on the entity does; missing counts
+    are zero.  ``without_top`` leaves out the best level, giving the pool that may
+    be assessed again later.
     """
     parts = levels(filled("counts", size), size)
     group_sum = level_sum(parts[:-1] if without_top else parts)
-    per_grade = df.groupBy(*keys, grade).agg(F.max(group_sum).alias("_largest"))
-    return per_grade.groupBy(*keys).agg(F.sum("_largest").alias(name))
+    stem = "_pool" if without_top else "_largest"
+    cells = [F.max(F.when(F.col("grade") == g, group_sum)).alias(f"{stem}{i}") for i, g in enumerate(grades)]
+    return cells, level_sum([F.col(f"{stem}{i}") for i in range(len(grades))])
+
+
+def largest_language_total(
+    df: DataFrame, keys: Sequence[str], grades: Sequence[str], size: int, without_top: bool = False, name: str = "total"
+) -> DataFrame:
+    """Learners per entity as the sum over grades of the largest language group."""
+    cells, total = largest_language_parts(grades, size, without_top)
+    return df.groupBy(*keys).agg(*cells).select(*keys, total.alias(name))
 
 
 def level_range_sum(size: int, low: int, high: int, counts: str = "counts") -> Column:

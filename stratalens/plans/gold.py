@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distribution import MOMENTS, count_stable
-from ..operators.counts import derived_total, largest_language_total
+from ..operators.counts import derived_total_parts, largest_language_total
 from ..operators.moments import (
     grade_score_columns,
     group_has_data,
@@ -26,20 +26,25 @@ KEYS = ("entity_id", "school_year", "period")
 
 
 def timepoint_table(
-    counts: DataFrame, instrument: Instrument, keys: Sequence[str] = KEYS, scores_by_group: bool = True
+    counts: DataFrame,
+    instrument: Instrument,
+    keys: Sequence[str] = KEYS,
+    scores_by_group: bool = True,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Moments, scores, top-level share and number of full groups per entity and timepoint.
 
-    One aggregation on the keys; everything before it is narrow.
+    One aggregation on the keys; everything before it is narrow.  ``extra``
+    aggregates ride along in it.
     """
     size = instrument.scale.size
     groups = group_moments(counts, size, instrument.null_as_zero, instrument.zero_sd)
-    extra = []
+    scores = []
     if scores_by_group:
-        extra = group_score_columns(instrument.groups)
+        scores = group_score_columns(instrument.groups)
         if any(g.lang for g in instrument.groups):
             known = {g.key for g in instrument.groups}
-            extra += [
+            scores += [
                 c for c, grade in zip(grade_score_columns(instrument.groups), instrument.grades, strict=True)
                 if grade not in known
             ]
@@ -47,20 +52,44 @@ def timepoint_table(
         F.count_if(group_has_data(size)).alias("groups_with_data"),
         *[F.avg(m).alias(m) for m in MOMENTS],
         top_share(size).alias("pct_top_level"),
+        *scores,
         *extra,
     )
 
 
-def begin_depth(counts7: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Mean percentage ready for the grade, and mean percentage on the three deepest levels (7-level scale)."""
+def timepoints_with_total(counts: DataFrame, reported: DataFrame, instrument: Instrument) -> DataFrame:
+    """Timepoint table with ``total_assessed``: the reported total, or one derived from the groups."""
+    sums, derived = derived_total_parts(instrument.scale.size, instrument.language_chains)
+    table = timepoint_table(counts, instrument, extra=sums).withColumn("_derived", derived)
+    totals = reported.groupBy(*KEYS).agg(F.max("reported_total").alias("_reported"))
+    joined = table.join(totals, list(KEYS), "left").withColumns({
+        "total_assessed": F.coalesce("_reported", "_derived"),
+        "total_source": F.when(F.col("_reported").isNotNull(), "reported").otherwise("derived"),
+    })
+    return joined.drop(*[c for c in joined.columns if c.startswith("_")])
+
+
+def with_depth(counts7: DataFrame) -> DataFrame:
+    """Per group: percentage ready for the grade, and on the three deepest levels (7-level scale)."""
     shares = with_shares(counts7, 7, null_as_zero=True)
-    return shares.groupBy(*keys).agg(
-        F.avg(share_of_levels([6], 7)).alias("pct_grade_ready"),
-        F.avg(share_of_levels([0, 1, 2], 7)).alias("pct_3ld"),
-    )
+    return shares.withColumns({
+        "_ready": share_of_levels([6], 7), "_deep": share_of_levels([0, 1, 2], 7)
+    }).drop("shares")
+
 
+def depth_aggregates() -> list[Column]:
+    """Aggregates over the columns of ``with_depth``."""
+    return [F.avg("_ready").alias("pct_grade_ready"), F.avg("_deep").alias("pct_3ld")]
 
-def begin_total(counts7: DataFrame, assessed: DataFrame | None, keys: Sequence[str] = KEYS) -> DataFrame:
+
+def begin_depth(counts7: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Mean depth shares per entity and timepoint."""
+    return with_depth(counts7).groupBy(*keys).agg(*depth_aggregates())
+
+
+def begin_total(
+    counts7: DataFrame, grades: Sequence[str], assessed: DataFrame | None, keys: Sequence[str] = KEYS
+) -> DataFrame:
     """Learners at the begin of the year.
 
     From the per-grade ``assessed`` column where the export has one per grade;
@@ -70,17 +99,7 @@ def begin_total(counts7: DataFrame, assessed: DataFrame | None, keys: Sequence[s
         return assessed.groupBy(*keys).agg(
             F.sum(F.coalesce(F.col("assessed"), F.lit(0.0))).alias("total_assessed")
         )
-    return largest_language_total(counts7, keys, 7, name="total_assessed")
-
-
-def with_total_assessed(table: DataFrame, counts: DataFrame, reported: DataFrame, instrument: Instrument) -> DataFrame:
-    """Add ``total_assessed``: the reported total, or one derived from the groups where it is missing."""
-    derived = derived_total(counts, KEYS, instrument.scale.size, instrument.language_chains)
-    joined = table.join(reported.select(*KEYS, "reported_total"), list(KEYS), "left").join(derived, list(KEYS), "left")
-    return joined.withColumns({
-        "total_assessed": F.coalesce("reported_total", "derived_total"),
-        "total_source": F.when(F.col("reported_total").isNotNull(), "reported").otherwise("derived"),
-    }).drop("reported_total", "derived_total")
+    return largest_language_total(counts7, keys, grades, 7, name="total_assessed")
 
 
 def segment_table(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.distribution import collapse
-from ..operators.counts import largest_language_total, upper_counts
+from ..operators.counts import largest_language_parts, upper_counts
 from ..operators.keysets import keep_first
 from ..operators.matching import match_areas, matched, normalised
 from ..scales import (
@@ -30,7 +30,16 @@ from ..scales import (
 from ..session import materialise
 from ..sources import bronze, discovery, lake
 from .chain import chain_progress
-from .gold import KEYS, begin_depth, begin_total, segment_table, timepoint_table, with_total_assessed, year_over_year
+from .gold import (
+    KEYS,
+    begin_total,
+    depth_aggregates,
+    segment_table,
+    timepoint_table,
+    timepoints_with_total,
+    with_depth,
+    year_over_year,
+)
 from .pairwise import pairwise_table
 from .ranking import area_capacity, composite_inputs, rank_entities, tag_cohort, with_capacity
 from .reference import REASON_FIELDS, ReportYear, reference_table, with_reasons
@@ -87,7 +96,8 @@ def load_mathematics(
 
 
 def lake_table(spark: SparkSession, path: str, table: str, instrument: str, ks: str | None = None) -> DataFrame:
-    return lake.read_partitioned(spark, f"{path}/{table}", instrument, ks)
+    """A table of the lake, pruned to one instrument and key stage."""
+    return lake.read_partitioned(spark, f"{path}/{table}", instrument, ks, schema=lake.SCHEMAS[table])
 
 
 def described(table: DataFrame, entities: DataFrame) -> DataFrame:
@@ -103,8 +113,7 @@ def early_reading_tables(
     """Timepoint and segment tables of early reading."""
     counts = lake_table(spark, path, "counts", EARLY_READING.name)
     entities = lake_table(spark, path, "entities", EARLY_READING.name)
-    table = timepoint_table(counts, EARLY_READING).withColumn("ordinal_overall", F.col("ordinal_mean"))
-    table = with_total_assessed(table, counts, entities, EARLY_READING)
+    table = timepoints_with_total(counts, entities, EARLY_READING).withColumn("ordinal_overall", F.col("ordinal_mean"))
     return {
         "timepoints": described(table, entities).withColumnRenamed("pct_top_level", "pct_gl"),
         "segments": segment_table(counts, EARLY_READING, build_segments(chains)),
@@ -124,14 +133,22 @@ def upper_reading_tables(
     entities = lake_table(spark, path, "entities", "upper_reading", ks)
     begin = counts.filter(F.col("period") == BEGIN)
     end = counts.filter(F.col("period") == END)
-    common = begin.withColumn("counts", collapse("counts", SEVEN_TO_THREE.mapping)).unionByName(end)
+    common = with_depth(begin).withColumn("counts", collapse("counts", SEVEN_TO_THREE.mapping)).unionByName(
+        end.withColumns({c: F.lit(None).cast("double") for c in ("_ready", "_deep")})
+    )
+    largest, total = largest_language_parts(three.grades, 3)
+    table = timepoint_table(common, three, scores_by_group=False, extra=[*depth_aggregates(), *largest])
+    table = table.withColumn("total_assessed", total).drop("pct_top_level")
     assessed = None
     if ks == "ks2":
         assessed = lake_table(spark, path, "assessed", "upper_reading", ks).filter(F.col("period") == BEGIN)
-    begin_totals = begin_total(begin, assessed)
-    totals = begin_totals.unionByName(largest_language_total(end, KEYS, 3, name="total_assessed"))
-    table = timepoint_table(common, three, scores_by_group=False).drop("pct_top_level")
-    table = table.join(totals, list(KEYS), "left").join(begin_depth(begin), list(KEYS), "left")
+    begin_totals = begin_total(begin, seven.grades, assessed)
+    if assessed is not None:
+        reported = begin_totals.withColumnRenamed("total_assessed", "_reported")
+        table = table.join(reported, list(KEYS), "left").withColumn(
+            "total_assessed", F.coalesce("_reported", "total_assessed")
+        )
+    table = table.drop(*[c for c in table.columns if c.startswith("_")])
     chains = {y: (BEGIN, END) for y in years}
     yoy = make_segment(0, (years[0], BEGIN), (years[-1], BEGIN))
     return {

@@ -11,6 +11,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 PARTITIONS = ("instrument", "school_year", "period")
 
+# Known tables are read without looking into their files first.
+_KEYS = "entity_id bigint, instrument string, school_year string, period string, ks string"
+SCHEMAS = {
+    "counts": f"grade string, lang string, counts array<double>, {_KEYS}",
+    "entities": f"name string, region string, division string, district string, reported_total double, {_KEYS}",
+    "assessed": f"grade string, lang string, assessed double, {_KEYS}",
+}
+
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = PARTITIONS) -> str:
     """Write a table; only the partitions present in ``df`` are replaced.
@@ -34,9 +42,10 @@ def read_partitioned(
     instrument: str | None = None,
     ks: str | None = None,
     timepoints: Sequence[tuple[str, str]] | None = None,
+    schema: str | StructType | None = None,
 ) -> DataFrame:
     """Read a lake table; the timepoints asked for prune its partitions, absent ones are no error."""
-    df = spark.read.schema(_schema_with_text_partitions(spark, path)).parquet(path)
+    df = spark.read.schema(schema or _schema_with_text_partitions(spark, path)).parquet(path)
     if instrument is not None:
         df = df.filter(F.col("instrument") == instrument)
     if ks is not None:
