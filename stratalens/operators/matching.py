@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import functools
 from collections.abc import Sequence
 
 import pandas as pd
@@ -75,10 +76,18 @@ def exact_matches(targets: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def _block_ratio(a: str, b: str) -> float:
+    return difflib.SequenceMatcher(None, a, b).ratio()
+
+
 @F.pandas_udf(DoubleType())
 def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching-block ratio of two names: twice the matched characters over all characters."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+    """Matching-block ratio of two names: twice the matched characters over all characters.
+
+    A worker remembers recent pairs, since the same two names meet in many scopes.
+    """
+    return pd.Series([_block_ratio(x, y) for x, y in zip(a, b)])
 
 
 def bigrams(name: Column) -> Column:

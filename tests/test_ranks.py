@@ -3,7 +3,6 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from stratalens.operators import ranks
 from stratalens.operators.ranks import exact_quantiles, percentile_ranks, value_ladder, z_scores
