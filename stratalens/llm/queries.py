@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, repetition, separators, token_orc
+from ..session import materialise
+from . import credentials, decontaminate, mixture, repetition, separators, token_orc
 from .shared import new_folder, table
 
+MIX_SEED = "mix-1"
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +28,48 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_source_mix(spark, folder):
+    """How many words of each document the mix takes."""
+    docs = table(spark, folder, "documents")
+    sizes = materialise(docs.select(
+        "doc_id", "source", mixture.word_count(F.col("text")).alias("size"),
+        mixture.drawn_number(F.col("doc_id"), F.col("text"), MIX_SEED).alias("drawn"),
+    ))
+    mixed = mixture.draw(sizes, mixture.targets(sizes), F.col("drawn"))
+    return mixed.select("doc_id", "size", "mix.source_size", "mix.target", (F.col("size") * F.col("mix.copies")).alias("taken"))
+
+
+SQL["op2_source_mix"] = f"""
+    WITH RECURSIVE sizes AS (
+      SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+        CAST(CAST('0x' || substr(md5('{MIX_SEED}|' || coalesce(CAST(doc_id AS VARCHAR), md5(text), '')), 1, 13) AS BIGINT) AS DOUBLE)
+          / 4503599627370496.0 AS drawn
+      FROM documents),
+    sources AS (
+      SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+      FROM sizes GROUP BY source),
+    rounds AS (
+      SELECT -1 AS closed, 0.0::DOUBLE AS rest, 1.0::DOUBLE AS open_weight, 0 AS round
+      UNION ALL
+      SELECT n, rest, w, round FROM (
+        SELECT count(*) FILTER (WHERE above) AS n, any_value(r.closed) AS closed,
+          1.5 * sum(source_size) - coalesce(sum(2.0 * source_size) FILTER (WHERE above), 0.0) AS rest,
+          CAST(coalesce(sum(weight) FILTER (WHERE NOT above), 1) AS DOUBLE) AS w, any_value(r.round) + 1 AS round
+        FROM (SELECT s.*, r.*, r.round > 0 AND weight * r.rest > 2.0 * source_size * r.open_weight AS above
+              FROM sources s, rounds r) r)
+      WHERE n <> closed),
+    level AS (SELECT rest, open_weight FROM rounds ORDER BY round DESC LIMIT 1),
+    priced AS (
+      SELECT source, source_size, CASE WHEN weight * rest > 2.0 * source_size * open_weight THEN 2.0 * source_size
+        ELSE rest * weight / open_weight END AS target FROM sources, level),
+    rated AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM priced)
+    SELECT doc_id, size, source_size, target,
+      CAST(size * (floor(rate) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+    FROM sizes s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source"""
+
+
 @query
 def op5_wu_manber(spark, folder):
     """Words of each document inside occurrences of benchmark windows."""
@@ -59,6 +103,18 @@ def op8_token_orc(spark, folder):
     return token_orc.with_checksum(token_orc.read_tokens(spark, path))
 
 
+@query
+def op9_credential_links(spark, folder):
+    """Secrets of each document, single ones and those that only count together."""
+    found = credentials.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *(credentials.count_of(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(credentials.listed(strong_only=True), 256).alias("base_sha256"),
+        credentials.listed().alias("spans"),
+    )
+
+
 @query
 def op10_suffix_repetition(spark, folder):
     """Repetition rules on every document."""
