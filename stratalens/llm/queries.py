@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import credentials, decontaminate, mixture, repetition, separators, token_orc
+from . import credentials, decontaminate, mixture, repetition, separators, splitters, token_orc, warc
 from .shared import new_folder, table
 
 MIX_SEED = "mix-1"
@@ -70,6 +70,37 @@ SQL["op2_source_mix"] = f"""
     FROM sizes s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source"""
 
 
+@query
+def op3_warc_shards(spark, folder):
+    """Pages written as WARC archives and read back from them."""
+    path = new_folder(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    back = warc.read_archives(spark, path)
+    return back.select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to",
+    )
+
+
+SQL["op3_warc_shards"] = """
+    WITH p AS (
+      SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+      FROM pages),
+    latest AS (
+      SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN last <> page_id THEN last END AS refers_to
+    FROM p LEFT JOIN latest USING (payload_digest)"""
+
+
+@query
+def op4_splitter_shards(spark, folder):
+    """Documents in 24 shards of near-equal bytes."""
+    rows = splitters.measured(table(spark, folder, "documents"))
+    return splitters.assign_shards(rows, 24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query
 def op5_wu_manber(spark, folder):
     """Words of each document inside occurrences of benchmark windows."""

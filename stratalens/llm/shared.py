@@ -8,8 +8,11 @@ bytes touches A to Z only.
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,15 +45,6 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def write_atomically(uri: str, name: str, attempt: str, data: bytes) -> None:
-    """Write a file under a temporary name of this attempt and rename it when it is complete."""
-    system, folder = open_folder(uri)
-    hidden = f"{folder}/_temporary-{attempt}-{name}"
-    with system.open_output_stream(hidden, compression=None) as out:
-        out.write(data)
-    system.move(hidden, f"{folder}/{name}")
-
-
 def fraction(seed: str, *columns: Column) -> Column:
     """A number in [0, 1) that depends on the values and the seed only; 52 bits of an MD5 digest."""
     parts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
@@ -65,3 +59,24 @@ def running_offsets(totals: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
         offsets.append((part, before))
         before += amount
     return offsets
+
+
+def range_index(bounds: Sequence[tuple], first: Column, *rest: Column) -> Column:
+    """The number of ``bounds`` below a key, so range k holds the keys above bound k - 1 up to bound k.
+
+    Keys are compared part by part; the first is a long, NULL lowest, the others must not be
+    NULL.  ``bounds`` is sorted.  Most rows are placed by one vectorised search of the first part.
+    """
+    lowest = -(1 << 63)
+    heads = np.array([lowest if b[0] is None else b[0] for b in bounds], dtype=np.int64)
+    tails = [tuple(b[1:]) for b in bounds]
+
+    @F.pandas_udf("int")
+    def place(head: pd.Series, *tail: pd.Series) -> pd.Series:
+        x = head.to_numpy(dtype=np.int64)
+        low, high = np.searchsorted(heads, x, "left"), np.searchsorted(heads, x, "right")
+        for i in np.flatnonzero(low < high):
+            low[i] = bisect_left(tails, tuple(t.iloc[i] for t in tail), low[i], high[i])
+        return pd.Series(low.astype(np.int32))
+
+    return place(F.coalesce(first.cast("long"), F.lit(lowest)), *rest)
