@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import credentials, decontaminate, mixture, repetition, separators, splitters, token_orc, warc
+from . import credentials, decontaminate, lattice, mixture, repetition, separators, splitters, token_orc, warc
 from .shared import new_folder, table
 
 MIX_SEED = "mix-1"
+PIECES = "piece_bpe_32k.model"
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +29,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_subword_lattice(spark, folder):
+    """Log10 probability of each document under the piece lattice and under the base model."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lattice.score_texts(table(spark, folder, "documents"), tokenizer_path(PIECES), held_out)
+
+
 @query
 def op2_source_mix(spark, folder):
     """How many words of each document the mix takes."""
