@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import credentials, decontaminate, lattice, mixture, repetition, separators, splitters, token_orc, warc
+from . import credentials, decontaminate, lattice, mixture, ngram_join, repetition, separators, splitters, token_orc, warc
 from .shared import new_folder, table
 
 MIX_SEED = "mix-1"
@@ -124,6 +124,12 @@ def op5_wu_manber(spark, folder):
     )
 
 
+@query
+def op6_ngram_jaccard(spark, folder):
+    """Documents by groups that links of similar shingle sets connect."""
+    return ngram_join.similar_documents(table(spark, folder, "documents"))[0]
+
+
 @query
 def op7_separator_scan(spark, folder):
     """Tokens of each document, counted in flat files without an index."""
