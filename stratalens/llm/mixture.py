@@ -97,14 +97,14 @@ def draw(
     """Add ``into``: struct(source_size, target, copies).  ``drawn`` is each document's number in [0, 1)."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     priced = source_targets.select(
-        F.col("source").alias("__mix_source"),
-        F.struct("source_size", "target", rate.alias("rate")).alias("__mix"),
+        F.col("source").alias("__priced_source"),
+        F.struct("source_size", "target", rate.alias("rate")).alias("__priced"),
     )
-    copies = F.floor("__mix.rate") + (drawn < F.col("__mix.rate") - F.floor("__mix.rate")).cast("long")
-    joined = docs.join(priced, docs[source_column].eqNullSafe(F.col("__mix_source")))
+    copies = F.floor("__priced.rate") + (drawn < F.col("__priced.rate") - F.floor("__priced.rate")).cast("long")
+    joined = docs.join(priced, docs[source_column].eqNullSafe(F.col("__priced_source")))
     return joined.withColumn(
-        into, F.struct(F.col("__mix.source_size").alias("source_size"), F.col("__mix.target").alias("target"), copies.alias("copies"))
-    ).drop("__mix_source", "__mix")
+        into, F.struct(F.col("__priced.source_size").alias("source_size"), F.col("__priced.target").alias("target"), copies.alias("copies"))
+    ).drop("__priced_source", "__priced")
 
 
 def emit(docs: DataFrame, *, into: str = "mix") -> DataFrame:

@@ -46,12 +46,11 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .components import components
-from .shared import words
+from .shared import few, only, words
 from .word_tokens import slices
 
 LONG_LIST = 32
 LIGHT_MOST = 100
-SENT_ROWS = 1_000_000
 TOKEN = np.dtype("<u8")
 
 
@@ -103,19 +102,9 @@ def _map_sets(docs: DataFrame, width: int, schema: pa.Schema, ddl: str, row: Cal
     return docs.mapInArrow(work, ddl)
 
 
-def _few(df: DataFrame) -> bool:
-    return df.count() <= SENT_ROWS
-
-
-def _only(df: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
-    """The rows whose ``column`` is (not, for an anti join) among ``ids`` (cid); ids are sent out if few."""
-    ids = ids.select(F.col("cid").alias(column))
-    return df.join(F.broadcast(ids) if _few(ids) else ids, column, how)
-
-
 def _held(sets: DataFrame, keys: DataFrame) -> DataFrame:
     """``sets`` (cid, n, tokens) with ``held``: those tokens that are among ``keys`` (key)."""
-    if _few(keys):
+    if few(keys):
         chosen = np.sort(np.array([r.key for r in keys.collect()], dtype=np.int64).view(TOKEN))
         sent = sets.sparkSession.sparkContext.broadcast(chosen)
 
@@ -256,7 +245,7 @@ def similar_documents(
         """(cid, n, tokens): all shingles of the named classes' representatives, from their texts."""
         kind = pa.schema([("cid", pa.int64()), ("n", pa.int32()), ("digest", pa.string()), ("tokens", pa.binary())])
         sets = _map_sets(
-            _only(rows, ids, "doc_id"), width, kind, "cid long, n int, digest string, tokens binary",
+            only(rows, ids.withColumnRenamed("cid", "doc_id"), "doc_id"), width, kind, "cid long, n int, digest string, tokens binary",
             lambda i, s: (i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest(), s.tobytes()),
         )
         return materialise(
@@ -277,7 +266,7 @@ def similar_documents(
         last = materialise(
             _exploded(sets, "tokens").groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > LONG_LIST).select("key").union(long).distinct()
         )
-        later = materialise(_held(_only(first, warm, "cid", "left_anti"), last).where(F.length("held") > 0).select("cid"))
+        later = materialise(_held(only(first, warm, "cid", "left_anti"), last).where(F.length("held") > 0).select("cid"))
         sets, warm = sets.union(whole_sets(later)), warm.union(later)
 
         def reorder(batches):
@@ -289,11 +278,11 @@ def similar_documents(
                 yield pdf[["cid", "n"]].assign(tokens=out)
 
         ordered = materialise(_held(sets, last).mapInPandas(reorder, "cid long, n int, tokens binary"))
-        prefixes = _only(first, warm, "cid", "left_anti").select("cid", "n", "tokens").union(ordered)
+        prefixes = only(first, warm, "cid", "left_anti").select("cid", "n", "tokens").union(ordered)
 
     def links_among(pairs: DataFrame) -> DataFrame:
         ends = lambda p: p.select(F.col("a").alias("cid")).union(p.select("b")).distinct()
-        likely = materialise(_compare(pairs, _only(first, ends(pairs), "cid"), percent, False))
+        likely = materialise(_compare(pairs, only(first, ends(pairs), "cid"), percent, False))
         return materialise(_compare(likely, whole_sets(materialise(ends(likely))), percent, True))
 
     keys = _keys(prefixes, light, percent)

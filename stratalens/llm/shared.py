@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+SENT_ROWS = 1_000_000
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -45,6 +46,16 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def few(df: DataFrame) -> bool:
+    """Whether ``df``, of one or a few numbers per row, is small enough to be sent to every executor."""
+    return df.count() <= SENT_ROWS
+
+
+def only(df: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
+    """The rows whose ``column`` is (not, for an anti join) in ``ids``; these are sent out if they are few."""
+    return df.join(F.broadcast(ids) if few(ids) else ids, column, how)
+
+
 def fraction(seed: str, *columns: Column) -> Column:
     """A number in [0, 1) that depends on the values and the seed only; 52 bits of an MD5 digest."""
     parts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
