@@ -7,6 +7,8 @@ distinct names are few, however many parts there are.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions.text import place_name, region_short, repaired
@@ -54,6 +56,7 @@ def name_normalise(spark, folder):
     )
 
 
+SUPPLIER_FROM = re.compile(r"\b(FROM|JOIN) (supplier|nation|region)\b")
 SUPPLIER_AREAS = """SELECT s_suppkey AS area_code, s_name AS area_name, r_name AS region,
   CASE WHEN s_acctbal < 2000 THEN s_name ELSE n_name END AS province
   FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey"""
@@ -63,9 +66,9 @@ SUPPLIER_TARGETS = """SELECT s_suppkey, CASE WHEN s_acctbal > 7000 THEN 'ELSEWHE
 
 
 def supplier_view(spark, folder, text):
-    for t in ("supplier", "nation", "region"):
-        table(spark, folder, t).createOrReplaceTempView(t)
-    return spark.sql(text)
+    """A query over supplier, nation and region; the tables are passed in, not registered for the session."""
+    names = ("supplier", "nation", "region")
+    return spark.sql(SUPPLIER_FROM.sub(lambda m: f"{m[1]} {{{m[2]}}}", text), **{n: table(spark, folder, n) for n in names})
 
 
 @query("exact_cascade", f"""
@@ -92,10 +95,6 @@ PART_FUNDS = f"""SELECT p_partkey, p_brand AS region, p_type AS province, {PART_
   p_retailprice AS fund FROM part"""
 
 
-def sql_bigrams(x: str) -> str:
-    return f"list_transform(range(1, CAST(length({x}) + 2 AS BIGINT)), lambda i: substr('^' || {x} || '$', i, 2))"
-
-
 FUZZY_SQL = f"""
 c AS (SELECT p_brand AS r, lower(p_type) AS p, p_name AS n, min(p_partkey) AS code FROM part GROUP BY 1, 2, 3),
 f AS (SELECT p_partkey, region AS r, lower(province) AS p, area AS n FROM ({PART_FUNDS}) WHERE area_type <> 'Province'),
@@ -108,8 +107,7 @@ e AS (SELECT t.r, t.p, t.n, coalesce(c.code, c2.code, c3.code, c4.code) AS code,
   FROM (SELECT DISTINCT r, p, n FROM f) t LEFT JOIN c ON c.r = t.r AND c.p = t.p AND c.n = t.n
   LEFT JOIN c2 ON c2.p = t.p AND c2.n = t.n LEFT JOIN c3 ON c3.n = t.n LEFT JOIN c4 ON c4.n = t.n),
 names AS (SELECT a, b, 1 - levenshtein(a, b) / greatest(length(a), length(b)) AS ratio
-  FROM (SELECT DISTINCT n AS a FROM e WHERE kind IS NULL), (SELECT DISTINCT n AS b FROM c)
-  WHERE len(list_intersect({sql_bigrams('a')}, {sql_bigrams('b')})) > 0),
+  FROM (SELECT DISTINCT n AS a FROM e WHERE kind IS NULL), (SELECT DISTINCT n AS b FROM c)),
 x AS (SELECT e.r, e.p, e.n, ratio, b, c.code, c.r = e.r AS sr, c.p = e.p AS sp
   FROM e JOIN names ON a = e.n JOIN c ON c.n = b AND (c.r = e.r OR c.p = e.p) WHERE e.kind IS NULL),
 rp AS (SELECT r, p, n, ratio, b, code FROM (SELECT *, row_number() OVER (PARTITION BY r, p, n ORDER BY ratio DESC, b, code) AS k
@@ -140,8 +138,7 @@ def part_crosswalk(spark, folder):
 
 
 def part_funds(spark, folder):
-    table(spark, folder, "part").createOrReplaceTempView("part")
-    return spark.sql(PART_FUNDS)
+    return spark.sql(PART_FUNDS.replace("FROM part", "FROM {part}"), part=table(spark, folder, "part"))
 
 
 @query("fuzzy_match", f"""WITH {FUZZY_SQL}

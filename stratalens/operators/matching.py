@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import difflib
-import functools
 from collections.abc import Sequence
 
 import pandas as pd
@@ -18,7 +17,6 @@ from .keysets import keep_first
 AREA_TYPES = ("City", "Municipality")
 SCOPES = ("region+province", "province_only", "region_only")
 TARGET = ("region_norm", "province_norm", "name_norm")
-SALTS = 8
 
 
 def normalised(df: DataFrame, region: str, province: str, name: str, name_out: str = "name_norm") -> DataFrame:
@@ -76,18 +74,10 @@ def exact_matches(targets: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-@functools.lru_cache(maxsize=1 << 16)
-def _block_ratio(a: str, b: str) -> float:
-    return difflib.SequenceMatcher(None, a, b).ratio()
-
-
 @F.pandas_udf(DoubleType())
 def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching-block ratio of two names: twice the matched characters over all characters.
-
-    A worker remembers recent pairs, since the same two names meet in many scopes.
-    """
-    return pd.Series([_block_ratio(x, y) for x, y in zip(a, b)])
+    """Matching-block ratio of two names: twice the matched characters over all characters."""
+    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
 
 
 def bigrams(name: Column) -> Column:
@@ -99,42 +89,55 @@ def bigrams(name: Column) -> Column:
     return F.array_distinct(pairs)
 
 
-def best_in_scope(
-    targets: DataFrame, candidates: DataFrame, scope: Sequence[str], similarity: str, prefix: str
-) -> DataFrame:
-    """Most similar candidate per target name inside a scope, as ``<prefix>`` (ratio, name, code, label).
+def _ratio(similarity: str) -> Column:
+    return edit_ratio(F.col("_target"), F.col("_name")) if similarity == "edit" else block_ratio("_target", "_name")
+
+
+def _best(met: DataFrame, scope: Sequence[str], similarity: str, least: float) -> DataFrame:
+    """The most similar candidate of every (scope, ``_target``) at or above ``least``; ties go to the lower name, then code.
 
-    Names are made distinct per scope first, so a name used in many places is
-    compared once.  Candidates meet targets in an equi-join on scope and
-    character pair, spread over salts; only the best per target leaves a task.
+    The same two names meet in many scopes; they are compared once.
     """
-    scope = list(scope)
-    names = targets.select(*scope, F.col("name_norm").alias("_target")).distinct()
-    known = candidates.groupBy(*scope, F.col("name_norm").alias("_name")).agg(
-        F.min(F.struct("area_code", "area_name")).alias("_area")
-    )
-    left = names.withColumns({
-        "_salt": F.pmod(F.xxhash64("_target"), F.lit(SALTS)).cast("int"),
-        "_pair": F.explode(bigrams(F.col("_target"))),
-    })
-    right = known.withColumn("_pair", F.explode(bigrams(F.col("_name")))).withColumn(
-        "_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    )
-    met = left.join(right, [*scope, "_pair", "_salt"])
-    if similarity == "edit":
-        ratio = edit_ratio(F.col("_target"), F.col("_name"))
-    else:
-        # The ratio runs in Python, so a pair of names that shares several character pairs is compared once.
-        met = met.select(*scope, "_target", "_name", "_area").distinct()
-        ratio = block_ratio("_target", "_name")
+    lengths = [F.length("_target"), F.length("_name")]
+    bound = F.least(*lengths) / F.greatest(*lengths) if similarity == "edit" else 2 * F.least(*lengths) / (lengths[0] + lengths[1])
+    near = met.where(bound >= least)
+    ratios = near.select("_target", "_name").distinct().withColumn("_ratio", _ratio(similarity)).where(F.col("_ratio") >= least)
     rank = F.struct(
-        (-ratio).alias("order"),
+        (-F.col("_ratio")).alias("order"),
         F.col("_name").alias("name"),
         F.col("_area.area_code").alias("code"),
         F.col("_area.area_name").alias("label"),
     )
-    best = met.select(*scope, "_target", rank.alias("_rank")).groupBy(*scope, "_target").agg(F.min("_rank").alias(prefix))
-    return best.withColumnRenamed("_target", "name_norm")
+    return near.join(ratios, ["_target", "_name"]).groupBy(*scope, F.col("_target").alias("name_norm")).agg(F.min(rank).alias("_found"))
+
+
+def _names(targets: DataFrame, candidates: DataFrame, scope: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Distinct names per scope of both sides, so that a name used in many places is one row."""
+    left = targets.select(*scope, F.col("name_norm").alias("_target")).distinct()
+    right = candidates.groupBy(*scope, F.col("name_norm").alias("_name")).agg(F.min(F.struct("area_code", "area_name")).alias("_area"))
+    return left, right
+
+
+def best_match(targets: DataFrame, candidates: DataFrame, scope: Sequence[str], similarity: str, threshold: float) -> DataFrame:
+    """The most similar candidate of every target name inside a scope, if it reaches ``threshold``.
+
+    Candidates meet targets in an equi-join on scope and character pair; Spark splits pairs
+    that are frequent.
+    """
+    left, right = _names(targets, candidates, scope)
+    pair = lambda c: F.explode(bigrams(F.col(c))).alias("_pair")
+    met = left.select("*", pair("_target")).join(right.select("*", pair("_name")), [*scope, "_pair"]).drop("_pair").distinct()
+    return _best(met, scope, similarity, threshold)
+
+
+def near_misses(targets: DataFrame, candidates: DataFrame, similarity: str) -> DataFrame:
+    """The nearest name of the region for names without a match, whatever they share.
+
+    Every name of the region counts, so this compares the unmatched distinct names of a region with
+    all of its names.
+    """
+    left, right = _names(targets, candidates, TARGET[:1])
+    return _best(left.join(right, list(TARGET[:1])), TARGET[:1], similarity, 0.0)
 
 
 def fuzzy_matches(
@@ -142,12 +145,12 @@ def fuzzy_matches(
 ) -> DataFrame:
     """Best candidate per target: within region and province, else the province, else the region.
 
-    The first scope whose best candidate reaches ``threshold`` counts; a target
-    without one keeps its nearest name in the region as a near miss.  Ties go to
-    the lower name, then code.
+    The first scope whose best candidate reaches ``threshold`` counts, and later scopes
+    see only targets that are still open.  A target without any keeps the nearest name of its region as a
+    near miss.  Ties go to the lower name, then code.
 
-    Only names that share a pair of neighbouring characters are compared.  That
-    loses no match: of the marked pairs of a name, one edit breaks at most two,
+    For matches only names that share a pair of neighbouring characters are compared.  That
+    loses none: of the marked pairs of a name, one edit breaks at most two,
     so with a ratio of at least one half by edits (four fifths by blocks) one
     survives.
     """
@@ -156,27 +159,19 @@ def fuzzy_matches(
         raise ValueError(f"unknown similarity {similarity!r}")
     if threshold < floor[similarity]:
         raise ValueError(f"threshold must be at least {floor[similarity]}")
-    out = targets
-    for prefix, scope in (("rp", TARGET[:2]), ("p", TARGET[1:2]), ("r", TARGET[:1])):
-        out = out.join(best_in_scope(targets, candidates, scope, similarity, prefix), [*scope, "name_norm"], "left")
-
-    def passes(scope: str) -> Column:
-        return F.coalesce(-F.col(f"{scope}.order") >= threshold, F.lit(False))
-
-    chosen = F.when(passes("rp"), F.col("rp")).when(passes("p"), F.col("p")).otherwise(F.col("r"))
-    kind = (
-        F.when(passes("rp"), f"fuzzy_{SCOPES[0]}")
-        .when(passes("p"), f"fuzzy_{SCOPES[1]}")
-        .when(passes("r"), f"fuzzy_{SCOPES[2]}")
-        .otherwise("unmatched")
-    )
-    return out.withColumns({"_chosen": chosen, "fuzzy_kind": kind}).select(
-        *TARGET,
-        "fuzzy_kind",
-        F.col("_chosen.code").alias("fuzzy_code"),
-        F.col("_chosen.label").alias("fuzzy_name"),
-        (-F.col("_chosen.order")).alias("fuzzy_ratio"),
-    )
+    still_open, parts = targets.select(*TARGET), []
+    chosen = [F.col("_found.code").alias("fuzzy_code"), F.col("_found.label").alias("fuzzy_name"), (-F.col("_found.order")).alias("fuzzy_ratio")]
+    for label, scope in zip(SCOPES, (TARGET[:2], TARGET[1:2], TARGET[:1])):
+        best = best_match(still_open, candidates, scope, similarity, threshold)
+        tried = materialise(still_open.join(best, [*scope, "name_norm"], "left"))
+        parts.append(tried.where("_found IS NOT NULL").select(*TARGET, F.lit(f"fuzzy_{label}").alias("fuzzy_kind"), *chosen))
+        still_open = tried.where("_found IS NULL").select(*TARGET)
+    nearest = near_misses(still_open, candidates, similarity)
+    missed = still_open.join(nearest, [TARGET[0], "name_norm"], "left")
+    out = missed.select(*TARGET, F.lit("unmatched").alias("fuzzy_kind"), *chosen)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
 
 
 def match_areas(

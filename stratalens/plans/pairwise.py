@@ -15,9 +15,6 @@ from ..operators.validity import count_mismatch
 from ..scales import Instrument
 from .segments import Segment
 
-# Order of the level blocks in the export (positions on the 5-level scale).
-EXPORT_ORDER = (2, 3, 1, 0, 4)
-
 
 def pairwise_table(
     counts: DataFrame,
@@ -30,7 +27,6 @@ def pairwise_table(
     threshold: float = 0.25,
     unknown_is_mismatch: bool = True,
     timepoint: str = "timepoint_label",
-    level_order: Sequence[int] | None = None,
 ) -> DataFrame:
     """One row per entity present at either timepoint of the segment.
 
@@ -60,7 +56,7 @@ def pairwise_table(
     shares = with_shares(counts.filter(F.col(timepoint).isin(*ends)), size, instrument.null_as_zero)
     parts = levels("shares", size)
     names = instrument.scale.levels
-    sequence = level_order if level_order is not None else (EXPORT_ORDER if size == len(EXPORT_ORDER) else range(size))
+    sequence = [names.index(x) for x in instrument.export_levels or names]
     breakdown: list[Column] = []
     for i, label in enumerate(labels):
         for k in sequence:

@@ -54,6 +54,7 @@ class Instrument:
 
     ``null_as_zero``  a missing level counts as zero (otherwise it stays missing)
     ``zero_sd``       "keep" leaves mean and sd of a one-level group, "null_all" drops them
+    ``export_levels`` order of the level blocks in the wide export, the scale's own if empty
     """
 
     name: str
@@ -61,6 +62,7 @@ class Instrument:
     groups: tuple[Group, ...]
     null_as_zero: bool = False
     zero_sd: str = "keep"
+    export_levels: tuple[str, ...] = ()
 
     @property
     def grades(self) -> tuple[str, ...]:
@@ -115,7 +117,10 @@ KEY_STAGE_GRADES = {
 }
 METADATA = ("School Name", "Region", "Division", "District")
 
-EARLY_READING = Instrument("early_reading", READING_5, EARLY_READING_GROUPS)
+# The order of the level blocks in the export of early reading.
+EARLY_READING_EXPORT = ("Developing", "Transitioning", "Higher Emergent", "Lower Emergent", "Grade Level")
+
+EARLY_READING = Instrument("early_reading", READING_5, EARLY_READING_GROUPS, export_levels=EARLY_READING_EXPORT)
 
 
 def upper_reading(ks: str, scale: Scale = READING_3) -> Instrument:

@@ -42,10 +42,23 @@ from .headers import (
 TOTAL = "Total Assessed"
 
 
-def read_positional(spark: SparkSession, path: str, width: int, header: Header, has_header: bool = True) -> DataFrame:
-    """Read a CSV as text by position and give the kept columns their canonical names."""
+def read_positional(
+    spark: SparkSession, path: str, width: int, header: Header, has_header: bool = True, multi_line: bool = True
+) -> DataFrame:
+    """Read a CSV as text by position and give the kept columns their canonical names.
+
+    Quotes inside quoted text are doubled, as spreadsheets write them, and quoted text may
+    hold line breaks.  ``multi_line=False`` lets Spark split a single large file that has none.
+    """
     schema = ", ".join(f"c{i} string" for i in range(width))
-    raw = spark.read.schema(schema).option("header", has_header).option("enforceSchema", True).csv(path)
+    raw = (
+        spark.read.schema(schema)
+        .option("header", has_header)
+        .option("enforceSchema", True)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .csv(path)
+    )
     return raw.select(*[F.col(f"c{i}").alias(name) for i, name in header])
 
 
@@ -96,6 +109,8 @@ def load_mathematics(spark: SparkSession, path: str, ks: str, school_year: str,
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name; a column that one frame lacks is NULL there."""
+    if not frames:
+        raise ValueError("there is no export to load")
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)

@@ -78,6 +78,9 @@ def test_no_match_is_lost(spark, similarity):
                 break
         row = got[(r, p, n)]
         assert row.fuzzy_kind == want[0]
+        if not want[1]:
+            near = min((-ratio(n, c[1]), c[1], c[0]) for c in areas if c[2] == r)
+            assert (row.fuzzy_code, round(row.fuzzy_ratio, 9)) == (near[2], round(-near[0], 9))
         if want[1]:
             hits += 1
             assert row.fuzzy_code == want[1]
@@ -99,3 +102,14 @@ def test_funds_keep_one_row_per_school(spark):
 def test_threshold_below_the_safe_limit_is_refused(spark):
     with pytest.raises(ValueError):
         fuzzy_matches(None, None, threshold=0.4)
+
+
+@pytest.mark.parametrize("similarity", ["edit", "blocks"])
+def test_near_miss_shares_no_pair(spark, similarity):
+    """A near miss is the nearest name of the region, also if no two neighbouring characters agree."""
+    candidates = spark.createDataFrame([("k", "abcdef", "r", "p", "abcdef")], "area_code string, area_name string, region_norm string, province_norm string, name_norm string")
+    target = spark.createDataFrame([("r", "p", "badcfe")], "region_norm string, province_norm string, name_norm string")
+    row = fuzzy_matches(target, candidates, similarity=similarity).first()
+    want = difflib.SequenceMatcher(None, "badcfe", "abcdef").ratio() if similarity == "blocks" else 1 - 4 / 6
+    assert (row.fuzzy_kind, row.fuzzy_name) == ("unmatched", "abcdef") and row.fuzzy_ratio > 0
+    assert similarity == "edit" or abs(row.fuzzy_ratio - want) < 1e-9
