@@ -16,12 +16,19 @@ measured length of lists.
 
 The order is by hash, except that shingles in more than ``LONG_LIST`` sets come last: a
 passage in very many documents is then met only in texts that consist of little else.  These
-shingles are counted over all prefixes, and over whole sets for documents that hold one.
+shingles are counted over sketches, which are somewhat longer than the prefixes, and over the whole sets of
+documents whose sketch holds too few others.
 
-Keys held by two classes are a pair.  In a longer list every member meets the list's least
-member first; found links give components, and only members of different components are
+Keys held by two classes are a pair.  In a longer list every member meets the list's pivot
+first; found links give components, and only members of different components are
 then paired.  So near copies of one text meet as a star, not in all pairs, and no
-link between different components is lost.  Pairs pass a bound from their prefixes and are then
+link between different components is lost.
+
+An entry also holds its place in the order.  Two sets that share no earlier key share at most the
+elements from there on, min(n - place, m - place), so they are paired only if that
+is enough; at its first common key every similar pair passes.
+
+Pairs pass a bound from their prefixes and are then
 compared exactly.
 
 The driver holds counts only.  Lists of ids or keys go to all executors if they have at
@@ -40,13 +47,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
 from .components import components
-from .shared import few, only, words
+from .shared import BLANKS, few, only
 from .word_tokens import slices
 
 LONG_LIST = 32
@@ -64,28 +72,28 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
 
 
-def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     """The sorted hashes of each text's distinct shingles; a text of fewer words is one shingle."""
-    split = [words(t) for t in texts]
-    places: dict[bytes, int] = {}
-    at = np.array([places.setdefault(w, len(places)) for text in split for w in text], dtype=np.int64)
-    hashed = np.array([xxhash.xxh64_intdigest(w) for w in places], dtype=TOKEN)[at] if len(at) else np.zeros(0, TOKEN)
+    clean = pc.ascii_lower(pc.ascii_trim(pc.fill_null(texts.cast(pa.large_string()), ""), BLANKS))
+    split = pc.ascii_split_whitespace(clean)
+    coded = split.flatten().dictionary_encode()
+    distinct = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_numpy(zero_copy_only=False)], dtype=TOKEN)
+    hashed = distinct[coded.indices.to_numpy(zero_copy_only=False)]
     runs = len(hashed) - width + 1
     if runs > 0:
         rolled = hashed[:runs]
         for k in range(1, width):
             rolled = _mixed(rolled) + hashed[k:k + runs]
         rolled = _mixed(rolled)
-    first = 0
-    for text in split:
-        last = first + len(text)
-        if len(text) >= width:
+    edges = split.offsets.to_numpy()
+    edges = edges - edges[0]
+    for i, (first, last) in enumerate(zip(edges[:-1], edges[1:])):
+        if last - first >= width:
             yield np.unique(rolled[first:last - width + 1])
-        elif text:
-            yield np.array([xxhash.xxh64_intdigest(b" ".join(text), seed=1)], dtype=TOKEN)
+        elif clean[i].as_py():
+            yield np.array([xxhash.xxh64_intdigest(hashed[first:last].tobytes(), seed=1)], dtype=TOKEN)
         else:
             yield np.zeros(0, TOKEN)
-        first = last
 
 
 def _map_sets(docs: DataFrame, width: int, schema: pa.Schema, ddl: str, row: Callable) -> DataFrame:
@@ -94,7 +102,7 @@ def _map_sets(docs: DataFrame, width: int, schema: pa.Schema, ddl: str, row: Cal
     def work(batches):
         for batch in batches:
             ids, at = batch.column(0).to_pylist(), 0
-            for texts in slices(batch.column(1).to_pylist()):
+            for texts in slices(batch.column(1)):
                 rows = [row(i, s) for i, s in zip(ids[at:at + len(texts)], shingle_sets(texts, width))]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -102,8 +110,11 @@ def _map_sets(docs: DataFrame, width: int, schema: pa.Schema, ddl: str, row: Cal
     return docs.mapInArrow(work, ddl)
 
 
-def _held(sets: DataFrame, keys: DataFrame) -> DataFrame:
-    """``sets`` (cid, n, tokens) with ``held``: those tokens that are among ``keys`` (key)."""
+def _with_held(sets: DataFrame, keys: DataFrame, then: Callable[[pd.DataFrame], pd.DataFrame], ddl: str) -> DataFrame:
+    """``then`` of ``sets`` (cid, n, tokens) with ``held``: those tokens that are among ``keys`` (key).
+
+    ``then`` runs in the same pass over each batch, so a task needs one Python process.
+    """
     if few(keys):
         chosen = np.sort(np.array([r.key for r in keys.collect()], dtype=np.int64).view(TOKEN))
         sent = sets.sparkSession.sparkContext.broadcast(chosen)
@@ -116,52 +127,56 @@ def _held(sets: DataFrame, keys: DataFrame) -> DataFrame:
                 found = np.searchsorted(chosen, flat)
                 hit = chosen[np.minimum(found, len(chosen) - 1)] == flat if len(chosen) else np.zeros(len(flat), bool)
                 ends = np.cumsum([len(t) for t in tokens], dtype=np.int64)
-                pdf["held"] = [t[hit[e - len(t):e]].tobytes() for t, e in zip(tokens, ends)]
-                yield pdf
+                yield then(pdf.assign(tokens=tokens, held=[t[hit[e - len(t):e]] for t, e in zip(tokens, ends)]))
+
+        return sets.mapInPandas(pick, ddl)
+    found = _exploded(sets).join(keys, "key", "left_semi").groupBy("cid").agg(F.collect_list("key").alias("held"))
+    joined = sets.join(found, "cid", "left").select("cid", "n", "tokens", "held")
 
-        return sets.mapInPandas(pick, "cid long, n int, tokens binary, held binary")
-    pack = F.pandas_udf(lambda s: s.map(lambda x: np.sort(np.array(x, dtype=np.int64).view(TOKEN)).tobytes()), "binary")
-    found = _exploded(sets, "tokens").join(keys, "key", "left_semi").groupBy("cid").agg(F.collect_list("key").alias("found"))
-    joined = sets.join(found.select("cid", pack("found").alias("held")), "cid", "left")
-    return joined.select("cid", "n", "tokens", F.coalesce("held", F.lit(b"")).alias("held"))
+    def unpack(batches):
+        for pdf in batches:
+            held = [np.sort(np.array([] if h is None else h, dtype=np.int64).view(TOKEN)) for h in pdf["held"]]
+            yield then(pdf.assign(tokens=[np.frombuffer(t, TOKEN) for t in pdf["tokens"]], held=held))
 
+    return joined.mapInPandas(unpack, ddl)
 
-def _exploded(sets: DataFrame, column: str) -> DataFrame:
-    """(key, cid, n) for each 64-bit number in a binary column of ``sets``."""
+
+def _exploded(sets: DataFrame) -> DataFrame:
+    """(key, cid, n) for each shingle of ``sets`` (cid, n, tokens)."""
     kind = pa.schema([("key", pa.int64()), ("cid", pa.int64()), ("n", pa.int32())])
 
     def spread(batches):
         for batch in batches:
-            cids, sizes, tokens = (c.to_pylist() for c in batch.columns)
-            length = np.array([len(t) // 8 for t in tokens], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(b"".join(tokens), dtype="<i8")), pa.array(np.repeat(np.array(cids, dtype=np.int64), length)),
-                 pa.array(np.repeat(np.array(sizes, dtype=np.int32), length))],
-                schema=kind,
-            )
-
-    return sets.select("cid", "n", column).mapInArrow(spread, "key long, cid long, n int")
-
-
-def _keys(prefixes: DataFrame, light_up_to: int, percent: int) -> DataFrame:
-    """(cid, n, tokens) with the keys of every set in place of its prefix in order (n - o(n) + 2 elements)."""
-
-    def make(batches):
-        for pdf in batches:
-            keys = []
-            for n, tokens in zip(pdf["n"], pdf["tokens"]):
-                t, parts = np.frombuffer(tokens, TOKEN), []
-                if n <= light_up_to:
-                    i, j = np.triu_indices(len(t), 1)
-                    low, high = np.minimum(t[i], t[j]), np.maximum(t[i], t[j])
-                    parts.append(_mixed(_mixed(low) + high))
-                if n > light_up_to or 100 * n >= percent * (light_up_to + 1):
-                    parts.append(t[:max(1, n - overlap(n, percent) + 1)])
-                keys.append(np.concatenate(parts).tobytes())
-            pdf["tokens"] = keys
-            yield pdf
-
-    return prefixes.mapInPandas(make, "cid long, n int, tokens binary")
+            for first in range(0, len(batch), 500):
+                cids, sizes, tokens = (c.to_pylist() for c in batch.slice(first, 500).columns)
+                length = np.array([len(t) // 8 for t in tokens], dtype=np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(b"".join(tokens), dtype="<i8")), pa.array(np.repeat(np.array(cids, dtype=np.int64), length)),
+                     pa.array(np.repeat(np.array(sizes, dtype=np.int32), length))],
+                    schema=kind,
+                )
+
+    return sets.select("cid", "n", "tokens").mapInArrow(spread, "key long, cid long, n int")
+
+
+def _set_keys(n: int, prefix: np.ndarray, light_up_to: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a set of size n from its first n - o(n) + 2 elements in order, and their places; 0 for subsets."""
+    keys, places = [np.zeros(0, TOKEN)], [np.zeros(0, np.int32)]
+    if n <= light_up_to:
+        i, j = np.triu_indices(len(prefix), 1)
+        low, high = np.minimum(prefix[i], prefix[j]), np.maximum(prefix[i], prefix[j])
+        keys.append(_mixed(_mixed(low) + high))
+        places.append(np.zeros(len(i), np.int32))
+    if n > light_up_to or 100 * n >= percent * (light_up_to + 1):
+        keys.append(prefix[:max(1, n - overlap(n, percent) + 1)])
+        places.append(np.arange(len(keys[-1]), dtype=np.int32))
+    return np.concatenate(keys), np.concatenate(places)
+
+
+def _may_meet(percent: int) -> Column:
+    """Whether entries a and b of one list, at their first common key, leave enough elements to share."""
+    left = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
+    return (100 + percent) * left >= percent * (F.col("a_n") + F.col("b_n"))
 
 
 def light_boundary(sizes: dict[int, int], row_cost: float, percent: int) -> int:
@@ -182,14 +197,21 @@ def light_boundary(sizes: dict[int, int], row_cost: float, percent: int) -> int:
     return min(range(LIGHT_MOST + 1), key=cost)
 
 
-def _pairs(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """First pairs (a, b), each list's members with its least one, and the rows (key, cid, n) of lists of three and more."""
+def _first_pairs(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of each list's members with its pivot, and the rows (key, cid, n, pos) of lists of three and more.
+
+    The pivot is the member that shares most of its keys with others, for its size: among copies with
+    changes of their own, the text they were made from or the copy nearest to it.
+    """
     lists = materialise(
-        _exploded(keys, "tokens").groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("b"), F.count("*").alias("held")).where("held > 1")
+        rows.groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("b"), F.count("*").alias("held")).where("held > 1")
     )
-    longer = lists.where("held > 2").select("key")
-    members = materialise(_exploded(_held(keys, longer).where(F.length("held") > 0), "held"))
-    star = members.join(lists.where("held > 2").select("key", "a"), "key").select("a", F.col("cid").alias("b"))
+    members = materialise(only(rows, lists.where("held > 2").select("key"), "key"))
+    shared = members.groupBy("cid").agg((F.count("*") / F.first("n")).alias("share"))
+    top = F.max(F.struct("share", (-F.col("cid")).alias("low"), F.col("n").alias("a_n"), F.col("pos").alias("a_pos")))
+    pivots = members.join(shared, "cid").groupBy("key").agg(top.alias("top")).select("key", (-F.col("top.low")).alias("pivot"), "top.a_n", "top.a_pos")
+    others = members.select("key", "cid", F.col("n").alias("b_n"), F.col("pos").alias("b_pos"))
+    star = others.join(pivots, "key").where(_may_meet(percent)).select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
     return lists.where("held = 2").select("a", "b").union(star).where("a < b").distinct(), members
 
 
@@ -224,79 +246,86 @@ def similar_documents(
     ``component_id`` is the smallest id reachable by links.  The links connect every component; pairs inside one
     that are connected by others need not be among them.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     prefix = lambda n: min(n, n - overlap(n, percent) + 2)
+    sketch = lambda n: min(n, prefix(n) + n // 10 + 8)
     kind = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("digest", pa.string()), ("tokens", pa.binary())])
     stored = materialise(_map_sets(
         rows, width, kind, "doc_id long, n int, digest string, tokens binary",
-        lambda i, s: (i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest(), s[:prefix(len(s))].tobytes()),
+        lambda i, s: (i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest(), s[:sketch(len(s))].tobytes()),
     ))
     filled = stored.where("n > 0 AND doc_id IS NOT NULL")
     digests = materialise(filled.groupBy("doc_id").agg(F.min("digest").alias("digest")))
     classes = digests.groupBy("digest").agg(F.min("doc_id").alias("cid"))
-    member = digests.join(classes, "digest").select("doc_id", "cid")
-    first = materialise(
-        filled.join(classes.select("digest", F.col("cid").alias("doc_id")), ["doc_id", "digest"])
-        .groupBy(F.col("doc_id").alias("cid")).agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    )
+    member = materialise(digests.join(classes, "digest").select("doc_id", "cid"))
+    unique = digests.count() == filled.count()
+
+    def representatives(sets: DataFrame) -> DataFrame:
+        """One row (cid, n, tokens) per class from rows (doc_id, n, digest, tokens)."""
+        if unique:
+            return only(sets, member.where("doc_id <> cid").select("doc_id"), "doc_id", "left_anti").select(F.col("doc_id").alias("cid"), "n", "tokens")
+        own = sets.join(classes.select("digest", F.col("cid").alias("doc_id")), ["doc_id", "digest"])
+        return own.groupBy(F.col("doc_id").alias("cid")).agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
 
     def whole_sets(ids: DataFrame) -> DataFrame:
         """(cid, n, tokens): all shingles of the named classes' representatives, from their texts."""
-        kind = pa.schema([("cid", pa.int64()), ("n", pa.int32()), ("digest", pa.string()), ("tokens", pa.binary())])
         sets = _map_sets(
-            only(rows, ids.withColumnRenamed("cid", "doc_id"), "doc_id"), width, kind, "cid long, n int, digest string, tokens binary",
+            only(rows, ids.withColumnRenamed("cid", "doc_id"), "doc_id"), width, kind, "doc_id long, n int, digest string, tokens binary",
             lambda i, s: (i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest(), s.tobytes()),
         )
-        return materialise(
-            sets.join(classes.select("digest", "cid"), ["cid", "digest"]).groupBy("cid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-        )
-
-    listed = materialise(_exploded(first, "tokens").groupBy("key").agg(F.count("*").alias("held")).where("held > 1"))
+        return materialise(representatives(sets))
+
+    def in_order(n: int, tokens: np.ndarray, held: np.ndarray) -> np.ndarray | None:
+        """The prefix with the shingles in ``held`` behind all others, None if the sketch is too short to tell."""
+        if len(tokens) - len(held) < prefix(n) and len(tokens) < n:
+            return None
+        return (np.concatenate([np.setdiff1d(tokens, held, assume_unique=True), held]) if len(held) else tokens)[:prefix(n)]
+
+    def unclear(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf[[in_order(n, t, h) is None for n, t, h in zip(pdf["n"], pdf["tokens"], pdf["held"])]][["cid"]]
+
+    def keyed(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [in_order(n, t, h) for n, t, h in zip(pdf["n"], pdf["tokens"], pdf["held"])]
+        none = np.zeros(0, TOKEN), np.zeros(0, np.int32)
+        keys, places = zip(none, *(none if p is None else _set_keys(n, p, light, percent) for n, p in zip(pdf["n"], found)))
+        length = [len(k) for k in keys[1:]]
+        return pd.DataFrame({
+            "key": np.concatenate(keys).view(np.int64), "cid": np.repeat(pdf["cid"].to_numpy(), length),
+            "n": np.repeat(pdf["n"].to_numpy(), length), "pos": np.concatenate(places),
+        })
+
+    first = representatives(filled)
+    listed = materialise(_exploded(first).groupBy("key").agg(F.count("*").alias("held")).where("held > 1"))
     long = listed.where(F.col("held") > LONG_LIST).select("key")
     met = listed.where(F.col("held") <= LONG_LIST).agg(F.sum(F.col("held") * (F.col("held") - 1))).first()[0] or 0
     sizes = {r.n: r["count"] for r in first.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").count().collect()}
     entries = first.agg(F.sum(F.length("tokens") / 8)).first()[0] or 1
     light = light_boundary(sizes, 1 + met / entries, percent)
 
-    prefixes = first
-    if not long.isEmpty():
-        warm = materialise(_held(first, long).where(F.length("held") > 0).select("cid"))
-        sets = whole_sets(warm)
-        last = materialise(
-            _exploded(sets, "tokens").groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > LONG_LIST).select("key").union(long).distinct()
-        )
-        later = materialise(_held(only(first, warm, "cid", "left_anti"), last).where(F.length("held") > 0).select("cid"))
-        sets, warm = sets.union(whole_sets(later)), warm.union(later)
-
-        def reorder(batches):
-            for pdf in batches:
-                out = []
-                for n, tokens, held in zip(pdf["n"], pdf["tokens"], pdf["held"]):
-                    t, h = np.frombuffer(tokens, TOKEN), np.frombuffer(held, TOKEN)
-                    out.append(np.concatenate([np.setdiff1d(t, h, assume_unique=True), h])[:prefix(n)].tobytes())
-                yield pdf[["cid", "n"]].assign(tokens=out)
-
-        ordered = materialise(_held(sets, last).mapInPandas(reorder, "cid long, n int, tokens binary"))
-        prefixes = only(first, warm, "cid", "left_anti").select("cid", "n", "tokens").union(ordered)
+    short = materialise(_with_held(first, long, unclear, "cid long"))
+    sets = whole_sets(short)
+    counted = _exploded(sets).groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > LONG_LIST).select("key")
+    last = materialise(counted.union(long).distinct())
+    shorter = materialise(only(_with_held(first, last, unclear, "cid long"), short, "cid", "left_anti"))
+    kind_of_key = "key long, cid long, n int, pos int"
+    entered = [_with_held(x, last, keyed, kind_of_key) for x in (first, sets, whole_sets(shorter))]
+    entered = entered[0].union(entered[1]).union(entered[2])
 
     def links_among(pairs: DataFrame) -> DataFrame:
         ends = lambda p: p.select(F.col("a").alias("cid")).union(p.select("b")).distinct()
         likely = materialise(_compare(pairs, only(first, ends(pairs), "cid"), percent, False))
         return materialise(_compare(likely, whole_sets(materialise(ends(likely))), percent, True))
 
-    keys = _keys(prefixes, light, percent)
-    pairs, members = _pairs(keys)
+    pairs, members = _first_pairs(entered, percent)
     tried = materialise(pairs)
     links = links_among(tried)
     placed = members.join(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), F.col("cid") == F.col("node"), "left")
-    placed = materialise(placed.select("key", "cid", "n", F.coalesce("component", "cid").alias("component")))
+    placed = materialise(placed.select("key", "cid", "n", "pos", F.coalesce("component", "cid").alias("component")))
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     open_rows = placed.join(mixed, "key", "left_semi")
-    a, b = (open_rows.select("key", *(F.col(c).alias(f"{s}{c}") for c in ("cid", "n", "component"))) for s in ("a_", "b_"))
+    a, b = (open_rows.select("key", *(F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "pos", "component"))) for s in "ab")
     rest = a.join(b, "key").where(
-        (F.col("a_cid") < F.col("b_cid")) & (F.col("a_component") != F.col("b_component"))
-        & (100 * F.col("a_n") >= percent * F.col("b_n")) & (100 * F.col("b_n") >= percent * F.col("a_n"))
+        (F.col("a_cid") < F.col("b_cid")) & (F.col("a_component") != F.col("b_component")) & _may_meet(percent)
     ).select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     links = materialise(links.union(links_among(materialise(rest))))
     found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
