@@ -20,13 +20,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
 from .shared import open_folder
-from .word_tokens import encoder
+from .word_tokens import encoder, slices
 
 BLOCKS = "file string, block long, n_ends long, last_end long, ends array<long>, size long"
 
@@ -47,7 +48,6 @@ def write_flat(
     name and renames, and a repeated task writes the same bytes under the same name.
     """
     kind = f"<u{width}"
-    end = np.array([end_id], dtype=kind).tobytes()
 
     def write(batches):
         task = TaskContext.get()
@@ -56,14 +56,19 @@ def write_flat(
         system.create_dir(folder, recursive=True)
         hidden, code, ordinal = f"{folder}/_temporary-{task.taskAttemptId()}-{name}", encoder(tokenizer, True, kind), 0
         with system.open_output_stream(hidden, compression=None) as out:
-            for pdf in batches:
-                out.write(b"".join(x + end for x in code.ids(pdf["text"])))
-                yield pd.DataFrame({"file": name, "ordinal": np.arange(ordinal, ordinal + len(pdf)), "doc_id": pdf["doc_id"]})
-                ordinal += len(pdf)
+            for batch in batches:
+                for texts in slices(batch.column(1)):
+                    out.write(code.closed_ids(texts, end_id)[0].tobytes())
+                rows = len(batch)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * rows, pa.string()), pa.array(np.arange(ordinal, ordinal + rows)), batch.column(0)],
+                    names=["file", "ordinal", "doc_id"],
+                )
+                ordinal += rows
         system.move(hidden, f"{folder}/{name}")
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return materialise(rows.mapInPandas(write, "file string, ordinal long, doc_id long"))
+    return materialise(rows.mapInArrow(write, "file string, ordinal long, doc_id long"))
 
 
 def count_tokens(

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import running_offsets
-from .word_tokens import encoder
+from .word_tokens import encoder, slices
 
 SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
 
@@ -45,23 +45,22 @@ def write_tokens(
         ("doc_id", pa.int64()), ("part", pa.int32()), ("before", pa.int64()),
         ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32())),
     ])
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches):
         code, part, before = encoder(tokenizer, False), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [x + end for x in code.ids(batch.column(1).to_pylist())]
-            lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-            ends = np.cumsum(lengths)
-            starts = before + ends - lengths
-            before += int(ends[-1]) if len(ids) else 0
-            offsets = np.concatenate([[0], ends]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(ids), part, dtype=np.int32)), pa.array(starts),
-                 pa.array(lengths.astype(np.int32)), lists],
-                schema=kind,
-            )
+            at = 0
+            for texts in slices(batch.column(1)):
+                ids, lengths = code.closed_ids(texts, end_id)
+                ends = np.cumsum(lengths)
+                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(texts)), pa.array(np.full(len(texts), part, dtype=np.int32)),
+                     pa.array(before + ends - lengths), pa.array(lengths.astype(np.int32)),
+                     pa.ListArray.from_arrays(offsets, pa.array(ids.view("<i4")))],
+                    schema=kind,
+                )
+                at, before = at + len(texts), before + int(ends[-1])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     ranges = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
@@ -83,12 +82,12 @@ def token_files(spark: SparkSession, path: str) -> DataFrame:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Every document in the files: (doc_id, start, n_tokens, ids); ``start`` counts the ids of all before it.
 
-    The driver adds up one number per file written.
+    The driver adds up one number per file written and sends these sums, never more, to the executors.
     """
     rows = token_files(spark, path)
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("tokens")).collect()
     offsets = spark.createDataFrame(running_offsets([(x.part, x.tokens) for x in totals]), "part int, offset long")
-    return rows.join(offsets, "part").select(
+    return rows.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("offset") + F.col("before")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"), "ids"
     )
 

@@ -8,62 +8,123 @@ it is a token boundary too, which lets ``word``, ``word,`` and ``Word.`` share o
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-MARKS = b".,!?;:"
+MARKS = ".,!?;:"
 
 
 class WordEncoder:
     """Texts to little-endian token ids.
 
-    ``limit`` bounds each of the two tables a worker keeps; words beyond it are encoded
-    again whenever they occur, which changes the time and not the ids.
+    ``most_words`` and ``most_cores`` bound the two tables a worker keeps; what is beyond them is
+    encoded again whenever it occurs, which changes the time and not the ids.
     """
 
-    def __init__(self, path: str, as_text: bool, width: str = "<u4", limit: int = 600_000):
+    def __init__(
+        self, path: str, as_text: bool, width: str = "<u4", most_words: int = 700_000, most_cores: int = 300_000
+    ):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = as_text
-        self.width, self.limit = width, limit
-        self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-
-    def _encode(self, cores: list[bytes]) -> dict[bytes, bytes]:
-        encoded = self.tokenizer.encode_batch([c.decode() for c in cores], add_special_tokens=False)
-        return {c: np.array(e.ids, dtype=self.width).tobytes() for c, e in zip(cores, encoded)}
-
-    def _new_words(self, new: set[bytes]) -> dict[bytes, bytes]:
-        parts = {w: _split(w) for w in new}
-        missing = {p for pair in parts.values() for p in pair if p and p not in self.cores}
+        self.by_bytes = _model_alone_agrees(self.tokenizer)
+        self.width, self.most_words, self.most_cores = np.dtype(width), most_words, most_cores
+        self.words: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+
+    def _encode(self, cores: list[str]) -> dict[str, bytes]:
+        """The ids of each part.  Plain words of letters go to the model itself, which saves the steps before it."""
+        plain = [self.by_bytes and t.isalpha() and (t.isascii() or (max(t) < PLAIN_END and DOTTED not in t)) for t in cores]
+        rest = [t for t, p in zip(cores, plain) if not p]
+        encoded = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False)) if rest else iter(())
+        tokenize = self.tokenizer.model.tokenize
+        ids = [[x.id for x in tokenize(_byte_letters(t))] if p else next(encoded).ids for t, p in zip(cores, plain)]
+        return {c: np.array(i, dtype=self.width).tobytes() for c, i in zip(cores, ids)}
+
+    def _new_words(self, new: list[str]) -> dict[str, bytes]:
+        parts = [_split(w) for w in new]
+        known = self.cores
+        missing = {p for pair in parts for p in pair if p not in known}
         found = self._encode(list(missing)) if missing else {}
-        get = lambda p: (self.cores.get(p) or found[p]) if p else b""
-        result = {w: get(a) + get(b) for w, (a, b) in parts.items()}
-        if len(self.cores) < self.limit:
-            self.cores.update(found)
+        get = lambda p: known[p] if p in known else found[p]
+        result = {w: get(a) + get(b) for w, (a, b) in zip(new, parts)}
+        if len(known) < self.most_cores:
+            known.update(found)
         return result
 
-    def ids(self, texts: Iterable[str | None]) -> list[bytes]:
-        """The ids of each text; none for an empty text or NULL."""
-        split = [t.encode().split() if t else [] for t in texts]
-        known = self.words
-        new = {w for text in split for w in text if w not in known}
-        if new:
-            extra = self._new_words(new)
-            if len(known) < self.limit:
-                known.update(extra)
-            else:
-                known = {w: known[w] for text in split for w in text if w in known} | extra
-        return [b"".join([known[w] for w in text]) for text in split]
-
-
-def _split(word: bytes) -> tuple[bytes, bytes]:
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after the other, and how many each text has; NULL has none.
+
+        Each distinct word is looked up once per call; the rest is copying by position.
+        """
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in distinct if w not in self.words]
+        extra = self._new_words(new) if new else {}
+        each = [self.words[w] if w in self.words else extra[w] for w in distinct]
+        if len(self.words) < self.most_words:
+            self.words.update(extra)
+        pool = np.frombuffer(b"".join(each), dtype=self.width)
+        size = np.fromiter(map(len, each), dtype=np.int64, count=len(each)) // self.width.itemsize
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        counts, firsts = size[code], (np.cumsum(size) - size)[code]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        at = np.arange(ends[-1]) + np.repeat(firsts - ends[:-1], counts)
+        edges = split.offsets.to_numpy()
+        return pool[at], np.diff(ends[edges - edges[0]])
+
+    def closed_ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same with ``end_id`` behind each text, counted."""
+        ids, counts = self.ids(texts)
+        ends = np.cumsum(counts + 1)
+        out = np.full(int(ends[-1]) if len(ends) else 0, end_id, dtype=self.width)
+        inside = np.ones(len(out), dtype=bool)
+        inside[ends - 1] = False
+        out[inside] = ids
+        return out, counts + 1
+
+
+def _split(word: str) -> tuple[str, str]:
     """Letters and the punctuation behind them; a word of another shape stays whole."""
     core = word.rstrip(MARKS)
-    if core.isalpha() or (core and not core.isascii() and core.decode().isalpha()):
-        return core.lower(), word[len(core):]
-    return word, b""
+    if core.isalpha() and (core.isascii() or core.lower().isalpha()):
+        return core.lower() if core.isascii() else core, word[len(core):]
+    return word, ""
+
+
+# A byte of a token is written as a printable character: itself where it is one, else a character from U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_LETTERS = str.maketrans({chr(b): chr(0x100 + n) for n, b in enumerate(_OTHERS)})
+# Latin letters, whose lower case does not depend on the letters around them.
+PLAIN_END, DOTTED = "\u0250", "\u0130"
+
+
+def _byte_letters(word: str) -> str:
+    """A word of letters as the model reads it: composed, in lower case, one character per UTF-8 byte."""
+    if word.isascii():
+        return word.lower()
+    return unicodedata.normalize("NFC", word).lower().encode().decode("latin-1").translate(_LETTERS)
+
+
+def _model_alone_agrees(tokenizer: Tokenizer) -> bool:
+    """Whether this tokenizer composes, lower-cases and reads bytes as assumed, tried on a few words."""
+    tried = ["House", "straße", "ÉTÉ", "niño", "aaaaaaaaaaaa", "Żółw"]
+    return all([x.id for x in tokenizer.model.tokenize(_byte_letters(w))] == tokenizer.encode(w, add_special_tokens=False).ids for w in tried)
+
+
+def slices(texts: pa.Array, characters: int = 4 << 20) -> Iterator[pa.Array]:
+    """Runs of texts with about so many bytes, so that a task holds few ids at a time."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // characters)) + 1
+    for first, last in zip([0, *cuts], [*cuts, len(texts)]):
+        if last > first:
+            yield texts.slice(first, last - first)
 
 
 _ENCODERS: dict[tuple, WordEncoder] = {}
