@@ -8,6 +8,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -21,7 +22,7 @@ HEADLINE = (
     "ordinal_moments moments_null_all timepoints_wide collapse_7_to_3 validity_flags performance_score "
     "emd_segments segment_deltas yoy_inner chain_segments_3level chain_progress exclusion_reason "
     "percentile_rank percentile_rank_lines quantile_summary priority_ranking composite_ranking "
-    "weight_sensitivity reference_table pairwise_wide fuzzy_match exact_cascade name_normalise reconcile "
+    "weight_sensitivity reference_table pairwise_wide fuzzy_match match_split fuzzy_match_blocks exact_cascade name_normalise reconcile "
     "partition_overwrite"
 ).split()
 
@@ -40,7 +41,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-shared-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -387,7 +387,7 @@ def top_and_bottom(spark, folder):
     return top.unionByName(bottom)
 
 
-DRAWS = random_weights(NEED_WEIGHTS, 20, seed=42)
+DRAWS = random_weights(NEED_WEIGHTS, 500, seed=42)
 DRAW_ROWS = ", ".join(f"({i}, {', '.join(str(d[n]) for n in NEED_WEIGHTS)})" for i, d in enumerate(DRAWS))
 DRAW_NEED = " + ".join(f"CAST(w_{n} AS DOUBLE) * z_{n}" for n in NEED_WEIGHTS)
 
@@ -426,7 +426,7 @@ def agreement(spark, folder):
     return rounded(rank_correlations(ranked, "priority_score", ["need_score", "impact_score", "capacity_gap_score"]))
 
 
-CUTOFFS = (20, 40, 60)
+CUTOFFS = tuple(range(80, 151, 10))
 
 
 @query("cutoff_overlap", f"""WITH {LEARNING_SQL}, {RANKED_SQL},
@@ -444,17 +444,17 @@ def cutoff_overlap_query(spark, folder):
 @query("top_list_kendall", """
 WITH t AS (SELECT c_custkey, c_acctbal AS a, CAST(n AS DOUBLE) AS b FROM customer
   JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey
-  ORDER BY c_acctbal DESC, c_custkey LIMIT 100)
+  )
 SELECT CAST(sqrt(count(*)) AS INTEGER) AS entities,
   round(sum(sign(x.a - y.a) * sign(x.b - y.b)) / (sqrt(count(*)) * (sqrt(count(*)) - 1)), 6) + 0.0 AS kendall
 FROM t x, t y""")
 def top_list_kendall_query(spark, folder):
-    """Agreement of two orders within the top hundred."""
+    """Agreement of two orders over all customers."""
     orders = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n")
     )
     customers = table(spark, folder, "customer").select("c_custkey", "c_acctbal").join(orders, "c_custkey")
-    return rounded(top_list_kendall(customers, "c_custkey", "c_acctbal", "n", 100))
+    return rounded(top_list_kendall(customers, "c_custkey", "c_acctbal", "n"))
 
 
 @query("key_set_presence", """

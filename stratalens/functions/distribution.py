@@ -32,6 +32,11 @@ def level_sum(columns: Sequence[Column]) -> Column:
     return plus([F.coalesce(c, F.lit(0.0)) for c in columns])
 
 
+def has_negative(columns: Sequence[Column]) -> Column:
+    """Whether a reported level is negative, which makes the whole group unusable."""
+    return reduce(lambda a, b: a | b, [F.coalesce(c < 0, F.lit(False)) for c in columns])
+
+
 def filled(counts: Column | str, size: int) -> Column:
     """The counts with zero for every missing level."""
     return F.array(*[F.coalesce(c, F.lit(0.0)) for c in levels(counts, size)])
@@ -64,8 +69,7 @@ def percentages(counts: Column | str, size: int, null_as_zero: bool = False) ->
     if null_as_zero:
         parts = [F.coalesce(c, F.lit(0.0)) for c in parts]
     total = level_sum(parts)
-    negative = reduce(lambda a, b: a | b, [F.coalesce(c < 0, F.lit(False)) for c in parts])
-    usable = (total > 0) & ~negative
+    usable = (total > 0) & ~has_negative(parts)
     return F.array(*[F.when(usable, c / total * 100) for c in parts])
 
 

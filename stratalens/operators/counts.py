@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distribution import filled, first_positive, level_sum, levels
+from ..functions.distribution import filled, first_positive, has_negative, level_sum, levels
 from ..scales import Group, Scale
 
 
@@ -100,7 +100,7 @@ def derived_total_parts(size: int, chains) -> tuple[list[Column], Column]:
     ``chains`` lists per grade the group labels in order of preference; the
     first with a positive sum counts, the last one otherwise.
     """
-    group_sum = level_sum(levels("counts", size))
+    group_sum = F.when(~has_negative(levels("counts", size)), level_sum(levels("counts", size)))
     sums, total = [], F.lit(0.0)
     for position, (_, labels) in enumerate(chains):
         names = [f"_s{position}_{rank}" for rank in range(len(labels))]
@@ -124,7 +124,7 @@ def largest_language_parts(grades: Sequence[str], size: int, without_top: bool =
     be assessed again later.
     """
     parts = levels(filled("counts", size), size)
-    group_sum = level_sum(parts[:-1] if without_top else parts)
+    group_sum = F.when(~has_negative(parts), level_sum(parts[:-1] if without_top else parts))
     stem = "_pool" if without_top else "_largest"
     cells = [F.max(F.when(F.col("grade") == g, group_sum)).alias(f"{stem}{i}") for i, g in enumerate(grades)]
     return cells, level_sum([F.col(f"{stem}{i}") for i in range(len(grades))])

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
 from .ranks import attach_ladder, ladder_pctile, ladder_position, percentile_ranks, value_ladder
 
-TOP_LIST_LIMIT = 1000
+KENDALL_CHUNK = 100_000
 
 
 def random_weights(base: Mapping[str, float], draws: int, seed: int = 42, low=0.5, high=1.5) -> list[dict[str, float]]:
@@ -34,10 +35,10 @@ def ranks_by_draw(
     by an explode; both rankings inside a weighting are ladders keyed by it.
     """
     names = list(draws[0])
-    grid = F.array(*[
-        F.struct(F.lit(i).alias("draw"), *[F.lit(float(d[n])).alias(f"w_{n}") for n in names])
-        for i, d in enumerate(draws)
-    ])
+    # One literal, however many draws: a JSON text that is folded when the plan is made.
+    kind = ", ".join(["draw int", *(f"w_{n} double" for n in names)])
+    told = json.dumps([{"draw": i} | {f"w_{n}": float(d[n]) for n in names} for i, d in enumerate(draws)])
+    grid = F.from_json(F.lit(told), f"array<struct<{kind.replace(' ', ':')}>>".replace(",:", ","))
     rows = scored.select(
         entity, "impact_pctile", "capacity_gap_pctile", *[f"z_{n}" for n in names], F.inline(grid)
     )
@@ -119,27 +120,45 @@ def cutoff_overlap(df: DataFrame, first: str, second: str, cutoffs: Sequence[int
     )
 
 
-def top_list_kendall(df: DataFrame, entity: str, first: str, second: str, n: int = 100) -> DataFrame:
-    """Kendall's tau-a of two scores over the top list of the first; ties count as neither.
+def top_list_kendall(df: DataFrame, entity: str, first: str, second: str, n: int | None = None) -> DataFrame:
+    """Kendall's tau-a of two scores; ties count as neither.  With ``n`` over the top list of the first, else over all.
 
-    The list is short by definition (at most ``TOP_LIST_LIMIT``), so it fits into
-    one array against which each of its members counts agreeing pairs.
+    Concordant and discordant pairs are counted bit by bit.  Two different positions under
+    the second score part at one bit, below a common prefix; so for every bit, rows with the same
+    prefix are ordered by their position under the first score, and each counts the rows before it whose
+    bit differs.  These counts are sums over chunks of positions and running counts inside a chunk, so the
+    work is n log n and no task holds a whole list.
     """
-    if n > TOP_LIST_LIMIT:
-        raise ValueError(f"the top list holds at most {TOP_LIST_LIMIT} entities")
-    top = df.orderBy(F.desc(first), F.asc(entity)).limit(n).select(
-        F.col(first).cast("double").alias("a"), F.col(second).cast("double").alias("b")
+    pair = df.select(entity, F.col(first).cast("double").alias("_a"), F.col(second).cast("double").alias("_b"))
+    if n is not None:
+        pair = pair.orderBy(F.desc("_a"), F.asc(entity)).limit(n)
+    pair = materialise(pair)
+    for c in ("_a", "_b"):
+        pair = attach_ladder(pair, value_ladder(pair, c), [c], {f"{c}_at": ladder_position()})
+    placed = materialise(pair.where("_a_at IS NOT NULL AND _b_at IS NOT NULL").select("_a_at", "_b_at"))
+    size = placed.count()
+    bits = max(1, size.bit_length())
+    spread = placed.withColumn("_bit", F.explode(F.sequence(F.lit(0), F.lit(bits - 1)))).select(
+        "_bit",
+        F.expr("shiftright(_b_at, _bit + 1)").alias("_prefix"),
+        (F.expr("shiftright(_b_at, _bit)") % 2).alias("_high"),
+        F.col("_a_at").alias("_at"),
+        F.floor(F.col("_a_at") / KENDALL_CHUNK).alias("_chunk"),
     )
-    listed = top.agg(F.collect_list(F.struct("a", "b")).alias("rows"))
-
-    def sign(x, y):
-        return F.signum(x["a"] - y["a"]) * F.signum(x["b"] - y["b"])
-
-    def against_all(x):
-        return F.aggregate("rows", F.lit(0.0), lambda total, y: total + sign(x, y))
-
-    total = F.aggregate(F.transform("rows", against_all), F.lit(0.0), lambda t, v: t + v)
-    size = F.size("rows")
-    return listed.select(
-        size.alias("entities"), F.try_divide(total, size * (size - 1)).alias("kendall")
+    keys = ["_bit", "_prefix"]
+    ones, zeros = F.sum("_high"), F.sum(1 - F.col("_high"))
+    chunks = spread.groupBy(*keys, "_chunk").agg(ones.alias("_ones"), zeros.alias("_zeros"))
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = chunks.select(
+        *keys, "_chunk",
+        F.coalesce(F.sum("_ones").over(earlier), F.lit(0)).alias("_ones_before"),
+        F.coalesce(F.sum("_zeros").over(earlier), F.lit(0)).alias("_zeros_before"),
+    )
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    counted = spread.select(
+        *keys, "_chunk", "_high", F.coalesce(ones.over(inside), F.lit(0)).alias("_ones"), F.coalesce(zeros.over(inside), F.lit(0)).alias("_zeros")
+    ).join(before, [*keys, "_chunk"])
+    agree = F.when(F.col("_high") == 1, F.col("_zeros") + F.col("_zeros_before")).otherwise(-(F.col("_ones") + F.col("_ones_before")))
+    return counted.agg(F.coalesce(F.sum(agree), F.lit(0)).alias("_sum")).select(
+        F.lit(size).alias("entities"), F.try_divide(2.0 * F.col("_sum"), F.lit(size) * F.lit(size - 1)).alias("kendall")
     )

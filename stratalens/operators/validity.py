@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.distribution import filled, is_complete, level_sum, levels
+from ..functions.distribution import filled, has_negative, is_complete, level_sum, levels
 from ..scales import Group
 from .counts import same_group
 
@@ -22,7 +22,7 @@ def validity_aggregates(
     """Aggregates over the long counts of an entity and timepoint; ``finish_validity`` reads them."""
     parts = levels(filled("counts", size) if null_as_zero else F.col("counts"), size)
     total = level_sum(parts)
-    has = is_complete(parts, mode) & (total > 0)
+    has = is_complete(parts, mode) & (total > 0) & ~has_negative(parts)
     grades = dict.fromkeys(g.grade for g in groups)
     return [
         *[F.coalesce(F.bool_or(same_group(g) & has), F.lit(False)).alias(f"has_{g.key}") for g in groups],

@@ -208,8 +208,9 @@ def scored_timepoints(
     keys = ["entity_id", "timepoint_label"]
     scored = score_timepoints(labelled, instrument, keys, scoring, **options)
     named = entities.withColumn("timepoint_label", F.concat_ws(" ", "period", "school_year"))
-    named = keep_first(named.select(*keys, *PLACES, "reported_total"), keys, [F.col("reported_total")])
-    return scored.join(named, keys, "left").withColumn(
+    totals = named.groupBy(*keys).agg(F.max("reported_total").alias("reported_total"))
+    places = keep_first(named.select(*keys, *PLACES), keys, [x for p in PLACES for x in (F.col(p).isNull(), F.col(p))])
+    return scored.join(places.join(totals, keys), keys, "left").withColumn(
         "total_assessed", F.coalesce("reported_total", "derived_total")
     )
 
@@ -221,6 +222,8 @@ def capacity_tables(
     crosswalk = normalised(schools, "psgc_region", "psgc_province", "area_name")
     found = matched(match_areas(funds, crosswalk)).select("area_code", F.col("area").alias("area_name"), F.col(fund).alias("fund"))
     areas = crosswalk.select("entity_id", "area_code", "psgc_province", F.col("area_name").alias("municipality"))
+    # A school listed twice keeps its first row, so that it is ranked once.
+    areas = keep_first(areas, ["entity_id"], [x for c in ("area_code", "psgc_province", "municipality") for x in (F.col(c).isNull(), F.col(c))])
     # One row per area, read by the ranking and by the reference table.
     return areas, materialise(area_capacity(areas, found, "entity_id", "area_code", enrollment))
 

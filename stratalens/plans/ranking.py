@@ -36,9 +36,11 @@ def area_capacity(
     ``entity`` and ``enrolled``.  Without enrollment the area's entities are
     counted instead.
     """
-    mapped = crosswalk.select(entity, area).filter(F.col(area).isNotNull())
+    mapped = crosswalk.select(entity, area).filter(F.col(area).isNotNull()).distinct()
     if enrollment is not None:
-        learners = mapped.join(enrollment.select(entity, "enrolled"), entity).groupBy(area).agg(
+        # A school listed twice counts once, with the larger number.
+        per_entity = enrollment.groupBy(entity).agg(F.max("enrolled").alias("enrolled"))
+        learners = mapped.join(per_entity, entity).groupBy(area).agg(
             F.sum("enrolled").cast("double").alias("area_enrolled")
         )
     else:
@@ -52,7 +54,11 @@ def area_capacity(
 def with_capacity(df: DataFrame, crosswalk: DataFrame, capacity: DataFrame, entity: str, area: str) -> DataFrame:
     """Add the crosswalk columns of each entity and its area's capacity; entities without an area keep their row."""
     located = df.join(crosswalk, entity, "left")
-    return located.join(capacity, area, "left")
+    # Rows without an area go around the join; under one NULL key they would meet in one task.
+    here = located.filter(F.col(area).isNotNull()).join(capacity, area, "left")
+    nowhere = located.filter(F.col(area).isNull())
+    missing = [F.lit(None).cast(t).alias(c) for c, t in capacity.dtypes if c != area]
+    return here.unionByName(nowhere.select("*", *missing))
 
 
 def segment_inputs(

@@ -1,3 +1,4 @@
+import csv
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,16 @@ def test_side_tables(spark, tmp_path):
     assert {r.entity_id: r.enrolled for r in bronze.load_enrollment(spark, path).collect()} == {5: 1002, 6: 3}
     path = write(tmp_path / "ids.txt", "12", "", " 13 ", "12")
     assert sorted(r.entity_id for r in bronze.load_id_list(spark, path).collect()) == [12, 13]
+
+
+def test_quoted_text_in_exports(spark, tmp_path):
+    """Doubled quotes, commas behind them and line breaks stay in their column."""
+    from stratalens.sources.bronze import read_positional
+
+    names = ['San Jose "A", Annex', "two\nlines", 'plain, with comma', '"', ""]
+    with open(tmp_path / "e.csv", "w", newline="", encoding="utf-8") as f:
+        writer = csv.writer(f)
+        writer.writerow(["School ID", "School Name", "Total"])
+        writer.writerows([i, n, 5 + i] for i, n in enumerate(names))
+    got = read_positional(spark, str(tmp_path / "e.csv"), 3, [(0, "id"), (1, "name"), (2, "total")]).orderBy("id").collect()
+    assert [(r.id, r.name or "", r.total) for r in got] == [(str(i), n, str(5 + i)) for i, n in enumerate(names)]
