@@ -44,7 +44,7 @@ from .pairwise import pairwise_table
 from .ranking import area_capacity, composite_inputs, rank_entities, tag_cohort, with_capacity
 from .reference import REASON_FIELDS, ReportYear, reference_table, with_reasons
 from .scoring import score_timepoints
-from .segments import BEGIN, DEFAULT_CHAINS, END, MIDDLE, build_segments, learning_segments, make_segment, timepoint_label
+from .segments import BEGIN, DEFAULT_CHAINS, END, MIDDLE, Segment, build_segments, learning_segments, make_segment, timepoint_label
 
 PLACES = ("name", "region", "division", "district")
 FUND = "rpt_special_education_fund"
@@ -96,7 +96,9 @@ def load_mathematics(
 
 
 def lake_table(spark: SparkSession, path: str, table: str, instrument: str, ks: str | None = None) -> DataFrame:
-    """A table of the lake, pruned to one instrument and key stage."""
+    """A table of the lake, pruned to one instrument and key stage; a table not loaded yet is empty."""
+    if not lake.exists(spark, f"{path}/{table}"):
+        return spark.createDataFrame([], lake.SCHEMAS[table])
     return lake.read_partitioned(spark, f"{path}/{table}", instrument, ks, schema=lake.SCHEMAS[table])
 
 
@@ -234,8 +236,13 @@ def composite_ranking(
     capacity: DataFrame,
     cohort: DataFrame,
     chains: Mapping[str, Sequence[str]] = DEFAULT_CHAINS,
+    counts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Ranking over the full-year segments of all years, and the reference table of all entities."""
+    """Ranking over the full-year segments of all years, and the reference table of all entities.
+
+    With ``counts``, the long counts that the scores come from, both tables also have the net gains
+    of every year.
+    """
     points = [timepoint_label(y, p) for y in sorted(chains) for p in chains[y]]
     segments = build_segments(chains)
     numbers = {s.label: s.index + 1 for s in segments}
@@ -256,12 +263,32 @@ def composite_ranking(
         *[F.col(f"total_assessed_{points.index(p)}").alias(f"assessed_{name}_{y.suffix}")
           for y in report for name, p in (("begin", y.start), ("end", y.end))],
     ]
+    if counts is not None:
+        gains = net_gains_by_year(counts, years)
+        extra += [F.col(c) for c in gains.columns if c != "entity_id"]
+        ranked = ranked.join(gains, "entity_id", "left")
+        reasons = reasons.join(gains, "entity_id", "left")
     return {
         "ranking": tag_cohort(ranked, cohort, "entity_id").orderBy(F.desc("priority_score"), F.asc("entity_id")),
         "reference": reference_table(reasons, "entity_id", report, cohort, extra),
     }
 
 
+def write_ranking(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
+    """Write the ranking and the reference table of ``composite_ranking``."""
+    return write_tables(tables, folder, "composite")
+
+
+def net_gains_by_year(counts: DataFrame, years: Sequence[str]) -> DataFrame:
+    """One row per entity with ``net_gain_upper_<year>`` and ``net_gain_top_<year>``."""
+    gains = yearly_net_gains(counts, years)
+    cells = [
+        F.max(F.when(F.col("school_year") == y, F.col(c))).alias(f"{c}_{y.replace('-', '_')}")
+        for y in years for c in ("net_gain_upper", "net_gain_top")
+    ]
+    return gains.groupBy("entity_id").agg(*cells)
+
+
 def yearly_net_gains(counts: DataFrame, years: Sequence[str], size: int = 5) -> DataFrame:
     """Net gain on the two best levels and on the best, begin to end, per entity and year."""
     ends = counts.filter(F.col("school_year").isin(list(years)) & F.col("period").isin(BEGIN, END))
@@ -284,12 +311,13 @@ def export_pairs(
     prefix: str,
     chains: Mapping[str, Sequence[str]] = DEFAULT_CHAINS,
     weights: Mapping[str, float] | None = None,
+    segments: Sequence[Segment] | None = None,
 ) -> list[str]:
-    """One CSV per segment of the chains."""
+    """One CSV per segment: those given, such as the steps of a flat chain of timepoints, else those of the chains."""
     labelled = counts.withColumn("timepoint_label", F.concat_ws(" ", "period", "school_year"))
     return [
         lake.export_csv(
             pairwise_table(labelled, scored, instrument, s, weights=weights, metadata=PLACES), folder, prefix, s.label
         )
-        for s in build_segments(chains)
+        for s in (build_segments(chains) if segments is None else segments)
     ]

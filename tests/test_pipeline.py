@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalens.plans import pipeline
+from stratalens.plans.segments import make_segment
 from stratalens.scales import EARLY_READING, KEY_STAGE_GRADES, MATH_5
 from stratalens.sources import bronze, headers, lake
 
@@ -103,18 +104,19 @@ def test_ranking_and_reference(spark, early):
     entities = pipeline.lake_table(spark, path, "entities", EARLY_READING.name)
     scored = pipeline.scored_timepoints(counts, entities, EARLY_READING)
     schools = spark.createDataFrame(
-        [(s, "NCR", "North", f"c{s % 4}", f"City {s % 4}") for s in SCHOOLS],
+        # The last school is listed twice.
+        [(s, "NCR", "North", f"c{s % 4}", f"City {s % 4}") for s in (*SCHOOLS, max(SCHOOLS))],
         "entity_id bigint, psgc_region string, psgc_province string, area_code string, area_name string",
     )
     funds = spark.createDataFrame(
         [("NCR", "North", f"City {i}", "City", 1000.0 * (i + 1)) for i in range(4)],
         "region string, province string, area string, area_type string, rpt_special_education_fund double",
     )
-    enrollment = spark.createDataFrame([(s, 10.0) for s in SCHOOLS], "entity_id bigint, enrolled double")
+    enrollment = spark.createDataFrame([(s, 10.0) for s in (*SCHOOLS, max(SCHOOLS))], "entity_id bigint, enrolled double")
     areas, capacity = pipeline.capacity_tables(schools, funds, enrollment)
     assert {r.area_code: r.fund_per_learner for r in capacity.collect()} == {f"c{i}": 1000.0 * (i + 1) / 30 for i in range(4)}
     cohort = spark.createDataFrame([(101,), (112,), (999,)], "entity_id bigint")
-    out = pipeline.composite_ranking(scored, areas, capacity, cohort)
+    out = pipeline.composite_ranking(scored, areas, capacity, cohort, counts=counts)
     ranked = out["ranking"].collect()
     reference = {r.entity_id: r for r in out["reference"].collect()}
     assert len(reference) == 12 and reference[112].valid_composite == "No"
@@ -130,6 +132,13 @@ def test_ranking_and_reference(spark, early):
     top = lambda cells: sum(v for c, v in cells.items() if c.endswith("Grade Level"))
     assert gains[(101, "2024-25")].net_gain_top == top(data[("2024-25", "EoSY")][101]) - top(data[("2024-25", "BoSY")][101])
     assert gains[(112, "2025-26")].net_gain_top is None
+    assert one.net_gain_top_2024_25 == gains[(min(good), "2024-25")].net_gain_top
+    assert all(r.net_gain_upper_2025_26 == gains[(r.entity_id, "2025-26")].net_gain_upper for r in ranked)
+    assert len(ranked) == len({r.entity_id for r in ranked})
+    stored = pipeline.write_ranking(out, str(root / "gold"))
+    assert [spark.read.parquet(x).count() for x in stored] == [len(ranked), 12]
+    steps = [make_segment(0, ("2024-25", "EoSY"), ("2025-26", "BoSY"))]
+    assert len(pipeline.export_pairs(counts, scored, EARLY_READING, str(root / "steps"), "progress", segments=steps)) == 1
     written = pipeline.export_pairs(counts, scored, EARLY_READING, str(root / "pairs"), "progress")
     assert len(written) == 7
     first = spark.read.option("header", True).csv(written[0])
@@ -182,3 +191,9 @@ def test_upper_reading_and_mathematics_tables(spark, tmp_path):
 def write_early(tmp_path):
     write_csv(tmp_path / "early/EX_BoSY_2024-25_20260101_000000.csv", early_rows(1), lambda s: {"Region": "R"})
     return str(tmp_path / "early")
+
+
+def test_absent_lake_tables_are_empty(spark, tmp_path):
+    assert pipeline.lake_table(spark, str(tmp_path), "counts", "mathematics", "ks1").count() == 0
+    tables = pipeline.mathematics_tables(spark, str(tmp_path), "ks1")
+    assert tables["timepoints"].count() == 0 and tables["segments"].count() == 0
