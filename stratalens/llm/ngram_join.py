@@ -54,11 +54,12 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .components import components
-from .shared import BLANKS, few, only
+from .shared import BLANKS, batch_rows, few, only
 from .word_tokens import slices
 
 LONG_LIST = 32
 LIGHT_MOST = 100
+BATCH_ROWS = 2000
 TOKEN = np.dtype("<u8")
 
 
@@ -246,6 +247,13 @@ def similar_documents(
     ``component_id`` is the smallest id reachable by links.  The links connect every component; pairs inside one
     that are connected by others need not be among them.
     """
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        return _similar_documents(docs, id_column, text_column, width, percent)
+
+
+def _similar_documents(
+    docs: DataFrame, id_column: str, text_column: str, width: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     prefix = lambda n: min(n, n - overlap(n, percent) + 2)
     sketch = lambda n: min(n, prefix(n) + n // 10 + 8)
@@ -256,7 +264,8 @@ def similar_documents(
     ))
     filled = stored.where("n > 0 AND doc_id IS NOT NULL")
     digests = materialise(filled.groupBy("doc_id").agg(F.min("digest").alias("digest")))
-    classes = digests.groupBy("digest").agg(F.min("doc_id").alias("cid"))
+    # Written, so that the join behind it has an exchange of its own, whose large partitions Spark splits.
+    classes = materialise(digests.groupBy("digest").agg(F.min("doc_id").alias("cid")))
     member = materialise(digests.join(classes, "digest").select("doc_id", "cid"))
     unique = digests.count() == filled.count()
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import uuid
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,18 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Send at most so many rows to Python at a time, for jobs run inside whose rows are wide."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def few(df: DataFrame) -> bool:
     """Whether ``df``, of one or a few numbers per row, is small enough to be sent to every executor."""
     return df.count() <= SENT_ROWS
