@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
+from .shared import drop_worker_tables
 
 # ASCII other than letters and digits parts words; A to Z become a to z.
 _CUTS = bytes(
@@ -94,6 +95,7 @@ def _scan(patterns: list[tuple[str, list[str]]]):
 
     @F.pandas_udf(HITS)
     def scan(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        drop_worker_tables()
         owners = {tuple(w.encode() for w in p.split(" ")): i for p, i in patterns}
         by_length: dict[int, list[tuple]] = {}
         for p in owners:

@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .components import components
-from .shared import BLANKS, batch_rows, few, only
+from .shared import BLANKS, batch_rows, drop_worker_tables, few, only
 from .word_tokens import slices
 
 LONG_LIST = 32
@@ -101,6 +101,7 @@ def _map_sets(docs: DataFrame, width: int, schema: pa.Schema, ddl: str, row: Cal
     """Rows made from (doc_id, set) of every document (doc_id, text)."""
 
     def work(batches):
+        drop_worker_tables()
         for batch in batches:
             ids, at = batch.column(0).to_pylist(), 0
             for texts in slices(batch.column(1)):

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BLANKS
+from .shared import BLANKS, drop_worker_tables
 
 BLOCK_WORDS = 100_000
 SYMBOLS = "#*$%&|<>"
@@ -162,6 +162,7 @@ def repetition_figures(docs: DataFrame, *, text_column: str = "text", into: str
 
     @F.pandas_udf(FIGURES)
     def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        drop_worker_tables()
         for texts in batches:
             rows = [row for block in _blocks(texts) for row in figures(block, min_repeat)]
             yield pd.DataFrame(rows, columns=[f.split()[0] for f in FIGURES.split(", ")])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
@@ -59,6 +59,22 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+_TABLES: dict = {}
+
+
+def worker_table(key, make: Callable):
+    """What ``make`` returned for this key in this Python worker; it outlives the task, and asking for another drops it."""
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = make()
+    return _TABLES[key]
+
+
+def drop_worker_tables() -> None:
+    """Free what an earlier operator left in this Python worker, which Spark uses again."""
+    _TABLES.clear()
+
+
 def few(df: DataFrame) -> bool:
     """Whether ``df``, of one or a few numbers per row, is small enough to be sent to every executor."""
     return df.count() <= SENT_ROWS

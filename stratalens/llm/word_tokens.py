@@ -16,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from .shared import worker_table
+
 MARKS = ".,!?;:"
 
 
@@ -127,12 +129,6 @@ def slices(texts: pa.Array, characters: int = 4 << 20) -> Iterator[pa.Array]:
             yield texts.slice(first, last - first)
 
 
-_ENCODERS: dict[tuple, WordEncoder] = {}
-
-
 def encoder(path: str, as_text: bool, width: str = "<u4") -> WordEncoder:
     """This worker's encoder; its tables outlive the task."""
-    key = (path, as_text, width)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, as_text, width)
-    return _ENCODERS[key]
+    return worker_table((path, as_text, width), lambda: WordEncoder(path, as_text, width))
