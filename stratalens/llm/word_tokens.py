@@ -29,7 +29,7 @@ class WordEncoder:
     """
 
     def __init__(
-        self, path: str, as_text: bool, width: str = "<u4", most_words: int = 700_000, most_cores: int = 300_000
+        self, path: str, as_text: bool, width: str = "<u4", most_words: int = 500_000, most_cores: int = 300_000
     ):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = as_text
@@ -120,7 +120,7 @@ def _model_alone_agrees(tokenizer: Tokenizer) -> bool:
     return all([x.id for x in tokenizer.model.tokenize(_byte_letters(w))] == tokenizer.encode(w, add_special_tokens=False).ids for w in tried)
 
 
-def slices(texts: pa.Array, characters: int = 4 << 20) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, characters: int = 2 << 20) -> Iterator[pa.Array]:
     """Runs of texts with about so many bytes, so that a task holds few ids at a time."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // characters)) + 1
