@@ -22,7 +22,9 @@ documents whose sketch holds too few others.
 Keys held by two classes are a pair.  In a longer list every member meets the list's pivot
 first; found links give components, and only members of different components are
 then paired.  So near copies of one text meet as a star, not in all pairs, and no
-link between different components is lost.
+link between different components is lost.  What remains are connecting links: enough for the
+components, fewer than all.  ``class_links`` pairs all members of every list instead and
+gives every link, or their number per class.
 
 An entry also holds its place in the order.  Two sets that share no earlier key share at most the
 elements from there on, min(n - place, m - place), so they are paired only if that
@@ -59,6 +61,7 @@ from .word_tokens import slices
 
 LONG_LIST = 32
 LIGHT_MOST = 100
+LIST_BLOCK = 2000
 BATCH_ROWS = 2000
 TOKEN = np.dtype("<u8")
 
@@ -217,6 +220,22 @@ def _first_pairs(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return lists.where("held = 2").select("a", "b").union(star).where("a < b").distinct(), members
 
 
+def _list_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of one list's members (key, cid, n, pos) that may be similar, each once.
+
+    A list of more than ``LIST_BLOCK`` rows is cut into blocks, and each pair of blocks has a join key of its own.
+    """
+    held = rows.groupBy("key").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"), F.count("*").alias("held"))
+    cut = materialise(rows.join(held.where("held > 1").drop("held"), "key").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int")))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    sides = [
+        cut.select("key", *(F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "pos")), *blocks)
+        for s, blocks in (("a", (F.col("block").alias("i"), every.alias("j"))), ("b", (every.alias("i"), F.col("block").alias("j"))))
+    ]
+    met = sides[0].join(sides[1], ["key", "i", "j"]).where(F.struct("a_n", "a_cid") < F.struct("b_n", "b_cid")).where(_may_meet(percent))
+    return met.select(F.least("a_cid", "b_cid").alias("a"), F.greatest("a_cid", "b_cid").alias("b")).distinct()
+
+
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
     """The pairs (a, b) whose sets (cid, n, tokens) are similar, or may be if tokens are the first of each by hash."""
     names = {c: [F.col(x).alias(f"{c}_{x}" if x != "cid" else c) for x in ("cid", "n", "tokens")] for c in ("a", "b")}
@@ -243,17 +262,29 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Da
 def similar_documents(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80
 ) -> tuple[DataFrame, DataFrame]:
-    """Per row (doc_id, n_shingles, component_id), and the links found between class representatives (a, b).
+    """Per row (doc_id, n_shingles, component_id), and connecting links between class representatives (a, b).
 
     ``component_id`` is the smallest id reachable by links.  The links connect every component; pairs inside one
-    that are connected by others need not be among them.
+    that are connected by others need not be among them: ``class_links`` has all.
     """
     with batch_rows(docs.sparkSession, BATCH_ROWS):
         return _similar_documents(docs, id_column, text_column, width, percent)
 
 
+def class_links(
+    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80
+) -> tuple[DataFrame, DataFrame]:
+    """Per class of equal sets (class_id, n_documents, n_links), and every link between two classes (a, b).
+
+    A class is named by its representative, the smallest id in it, and has a row without links too.  The number of
+    links of k near copies that all differ is k(k - 1) / 2, and so is the work on them.
+    """
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        return _similar_documents(docs, id_column, text_column, width, percent, every=True)
+
+
 def _similar_documents(
-    docs: DataFrame, id_column: str, text_column: str, width: int, percent: int
+    docs: DataFrame, id_column: str, text_column: str, width: int, percent: int, every: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     prefix = lambda n: min(n, n - overlap(n, percent) + 2)
@@ -326,6 +357,12 @@ def _similar_documents(
         likely = materialise(_compare(pairs, only(first, ends(pairs), "cid"), percent, False))
         return materialise(_compare(likely, whole_sets(materialise(ends(likely))), percent, True))
 
+    if every:
+        links = materialise(links_among(materialise(_list_pairs(entered, percent))))
+        ends = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("n_links"))
+        counts = member.groupBy("cid").agg(F.count("*").alias("n_documents")).join(ends, "cid", "left")
+        return counts.select(F.col("cid").alias("class_id"), "n_documents", F.coalesce("n_links", F.lit(0)).alias("n_links")), links
+
     pairs, members = _first_pairs(entered, percent)
     tried = materialise(pairs)
     links = links_among(tried)

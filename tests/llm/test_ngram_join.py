@@ -79,6 +79,33 @@ def test_documents_and_odd_rows(spark):
     assert ngram_join.similar_documents(spark.createDataFrame([], SCHEMA))[0].count() == 0
 
 
+def linked(sets, percent=80):
+    """(a, b) of every two similar classes, and (documents, links) per class."""
+    classes = {}
+    for i in sorted(i for i in sets if sets[i]):
+        classes.setdefault(frozenset(sets[i]), []).append(i)
+    names = {ids[0]: s for s, ids in classes.items()}
+    links = {
+        (a, b) for a in names for b in names
+        if a < b and 100 * len(names[a] & names[b]) >= percent * len(names[a] | names[b])
+    }
+    return links, {ids[0]: (len(ids), sum(ids[0] in x for x in links)) for ids in classes.values()}
+
+
+@pytest.mark.parametrize("seed, block", [(0, 2000), (1, 3)])
+def test_every_link_between_classes(spark, monkeypatch, seed, block):
+    monkeypatch.setattr(ngram_join, "LONG_LIST", [32, 3][seed])
+    monkeypatch.setattr(ngram_join, "LIST_BLOCK", block)
+    base = [f"c{k}" for k in range(120)]
+    copies = [(20_000 + k, " ".join([*base[:k], "own", *base[k:]]), None, None, None) for k in range(3, 60, 3)]
+    rows = corpus(seed, groups=6) + copies
+    classes, links = ngram_join.class_links(frame(spark, rows))
+    want_links, want_classes = linked(sets_of(rows))
+    assert sorted((r.a, r.b) for r in links.collect()) == sorted(want_links)
+    assert {r.class_id: (r.n_documents, r.n_links) for r in classes.collect()} == want_classes
+    assert all(want_classes[20_000 + k][1] >= 18 for k in range(3, 60, 3))
+
+
 def test_boundary_is_the_cheapest():
     cheap, dear = ngram_join.light_boundary({10: 100, 40: 100}, 1.0, 80), ngram_join.light_boundary({10: 100, 40: 100}, 50.0, 80)
     assert cheap < 10 <= dear
