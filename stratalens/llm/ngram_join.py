@@ -28,7 +28,9 @@ gives every link, or their number per class.
 
 An entry also holds its place in the order.  Two sets that share no earlier key share at most the
 elements from there on, min(n - place, m - place), so they are paired only if that
-is enough; at its first common key every similar pair passes.
+is enough; at its first common key every similar pair passes.  The smaller set of a pair must pass with a
+set of its own size already, so most entries enter a list as the larger set only: form letters, whose common
+part comes last, form no pairs.  Sizes are cut into bands, and a band joins itself and the next one only.
 
 Pairs pass a bound from their prefixes and are then
 compared exactly.
@@ -62,6 +64,7 @@ from .word_tokens import slices
 LONG_LIST = 32
 LIGHT_MOST = 100
 LIST_BLOCK = 2000
+CELL = ["key", "band", "i", "j"]
 BATCH_ROWS = 2000
 TOKEN = np.dtype("<u8")
 
@@ -220,19 +223,45 @@ def _first_pairs(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return lists.where("held = 2").select("a", "b").union(star).where("a < b").distinct(), members
 
 
-def _list_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def _size_band(n: Column, percent: int) -> Column:
+    """Bands of sizes, so wide that a set's band and the next one hold all larger sets similar to it."""
+    return F.floor(F.log(n) / F.log(F.lit(100 / percent * (1 + 1e-9))))
+
+
+def _list_sides(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The members of lists (key, cid, n, pos and others) as the smaller sets a and the larger sets b of pairs, by ``CELL``.
+
+    The members of a list in one band that are more than ``LIST_BLOCK`` are cut into blocks, and each pair of blocks
+    has a join key of its own.
+    """
+    band = _size_band(F.col("n"), percent)
+    small = rows.where((100 + percent) * (F.col("n") - F.col("pos")) >= 2 * percent * F.col("n")).withColumn("band", band)
+    large = rows.withColumn("band", F.explode(F.array(band, band - 1)))
+    of_a, of_b = (x.groupBy("key", "band").agg(F.count("*").alias(f"{s}_held")) for s, x in (("a", small), ("b", large)))
+    # A member of a is one of b in the same band too, and no pair if there are no others.
+    cells = materialise(of_a.join(of_b.where("b_held > 1"), ["key", "band"]).select(
+        "key", "band", *(F.ceil(F.col(f"{s}_held") / LIST_BLOCK).cast("int").alias(f"{s}_blocks") for s in "ab")
+    ))
+    cells = F.broadcast(cells) if few(cells) else cells
+
+    def side(members: DataFrame, s: str, own: str, t: str, other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("cid"), f"{s}_blocks").cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{t}_blocks") - 1)).alias(other)
+        names = [F.col(c).alias(f"{s}_{c}") for c in rows.columns if c != "key"]
+        return members.join(cells, ["key", "band"]).select("key", "band", *names, block, every)
+
+    return side(small, "a", "i", "b", "j"), side(large, "b", "j", "a", "i")
+
+
+def _list_pairs(rows: DataFrame, percent: int, apart: bool = False) -> DataFrame:
     """All pairs (a, b) of one list's members (key, cid, n, pos) that may be similar, each once.
 
-    A list of more than ``LIST_BLOCK`` rows is cut into blocks, and each pair of blocks has a join key of its own.
+    With ``apart`` only those of different ``component``.
     """
-    held = rows.groupBy("key").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"), F.count("*").alias("held"))
-    cut = materialise(rows.join(held.where("held > 1").drop("held"), "key").withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int")))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    sides = [
-        cut.select("key", *(F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "pos")), *blocks)
-        for s, blocks in (("a", (F.col("block").alias("i"), every.alias("j"))), ("b", (every.alias("i"), F.col("block").alias("j"))))
-    ]
-    met = sides[0].join(sides[1], ["key", "i", "j"]).where(F.struct("a_n", "a_cid") < F.struct("b_n", "b_cid")).where(_may_meet(percent))
+    a, b = _list_sides(rows, percent)
+    met = a.join(b, CELL).where((F.struct("a_n", "a_cid") < F.struct("b_n", "b_cid")) & _may_meet(percent))
+    if apart:
+        met = met.where("a_component <> b_component")
     return met.select(F.least("a_cid", "b_cid").alias("a"), F.greatest("a_cid", "b_cid").alias("b")).distinct()
 
 
@@ -358,7 +387,7 @@ def _similar_documents(
         return materialise(_compare(likely, whole_sets(materialise(ends(likely))), percent, True))
 
     if every:
-        links = materialise(links_among(materialise(_list_pairs(entered, percent))))
+        links = materialise(links_among(materialise(_list_pairs(materialise(entered), percent))))
         ends = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("n_links"))
         counts = member.groupBy("cid").agg(F.count("*").alias("n_documents")).join(ends, "cid", "left")
         return counts.select(F.col("cid").alias("class_id"), "n_documents", F.coalesce("n_links", F.lit(0)).alias("n_links")), links
@@ -370,10 +399,7 @@ def _similar_documents(
     placed = materialise(placed.select("key", "cid", "n", "pos", F.coalesce("component", "cid").alias("component")))
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     open_rows = placed.join(mixed, "key", "left_semi")
-    a, b = (open_rows.select("key", *(F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "pos", "component"))) for s in "ab")
-    rest = a.join(b, "key").where(
-        (F.col("a_cid") < F.col("b_cid")) & (F.col("a_component") != F.col("b_component")) & _may_meet(percent)
-    ).select(F.col("a_cid").alias("a"), F.col("b_cid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = _list_pairs(materialise(open_rows), percent, apart=True).join(tried, ["a", "b"], "left_anti")
     links = materialise(links.union(links_among(materialise(rest))))
     found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     of_member = member.join(found, F.col("cid") == F.col("node"), "left").select(

@@ -4,6 +4,7 @@ import random
 
 import pytest
 from cases import SCHEMA, documents, frame
+from pyspark.sql import functions as F
 
 from stratalens.llm import ngram_join, shared
 from stratalens.llm.components import components
@@ -106,6 +107,40 @@ def test_every_link_between_classes(spark, monkeypatch, seed, block):
     assert all(want_classes[20_000 + k][1] >= 18 for k in range(3, 60, 3))
 
 
+def form_letters(copies, own):
+    """Texts of one common part and ``own`` words of their own before it."""
+    common = [f"f{k}" for k in range(200)]
+    return [(k, " ".join([f"o{k}x{x}" for x in range(own)] + common), None, None, None) for k in range(copies)]
+
+
+@pytest.mark.parametrize("own, similar", [(30, False), (21, True)])
+def test_form_letters_form_no_pairs(spark, monkeypatch, own, similar):
+    """Lists of a common part that comes last in sets too different from each other."""
+    seen, sides = [], ngram_join._list_sides
+
+    def counted(rows, percent):
+        a, b = sides(rows, percent)
+        seen.append((rows.count(), a.join(b, ngram_join.CELL).count()))
+        return a, b
+
+    monkeypatch.setattr(ngram_join, "_list_sides", counted)
+    rows = form_letters(60, own)
+    assert of(ngram_join.similar_documents(frame(spark, rows))[0]) == grouped(sets_of(rows))
+    links, classes = linked(sets_of(rows))
+    assert bool(links) == similar
+    if not similar:
+        (entries, pairs), = seen
+        assert entries >= 60 and pairs == 0
+
+
+def test_size_bands(spark):
+    """A band and the next one hold every larger set similar to a set, also at the very bound."""
+    for percent in (80, 67, 100):
+        sizes = spark.range(1, 3000).select(F.col("id").alias("n"), F.floor(F.col("id") * 100 / percent).alias("m"))
+        band = ngram_join._size_band
+        assert sizes.where(band(F.col("m"), percent) > band(F.col("n"), percent) + 1).count() == 0
+
+
 def test_boundary_is_the_cheapest():
     cheap, dear = ngram_join.light_boundary({10: 100, 40: 100}, 1.0, 80), ngram_join.light_boundary({10: 100, 40: 100}, 50.0, 80)
     assert cheap < 10 <= dear
