@@ -235,13 +235,12 @@ def composite_ranking(
     areas: DataFrame,
     capacity: DataFrame,
     cohort: DataFrame,
+    counts: DataFrame,
     chains: Mapping[str, Sequence[str]] = DEFAULT_CHAINS,
-    counts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Ranking over the full-year segments of all years, and the reference table of all entities.
 
-    With ``counts``, the long counts that the scores come from, both tables also have the net gains
-    of every year.
+    Both have the net gains of every year, from ``counts``, the long counts that the scores come from.
     """
     points = [timepoint_label(y, p) for y in sorted(chains) for p in chains[y]]
     segments = build_segments(chains)
@@ -263,11 +262,10 @@ def composite_ranking(
         *[F.col(f"total_assessed_{points.index(p)}").alias(f"assessed_{name}_{y.suffix}")
           for y in report for name, p in (("begin", y.start), ("end", y.end))],
     ]
-    if counts is not None:
-        gains = net_gains_by_year(counts, years)
-        extra += [F.col(c) for c in gains.columns if c != "entity_id"]
-        ranked = ranked.join(gains, "entity_id", "left")
-        reasons = reasons.join(gains, "entity_id", "left")
+    gains = net_gains_by_year(counts, years)
+    extra += [F.col(c) for c in gains.columns if c != "entity_id"]
+    ranked = ranked.join(gains, "entity_id", "left")
+    reasons = reasons.join(gains, "entity_id", "left")
     return {
         "ranking": tag_cohort(ranked, cohort, "entity_id").orderBy(F.desc("priority_score"), F.asc("entity_id")),
         "reference": reference_table(reasons, "entity_id", report, cohort, extra),
@@ -279,6 +277,24 @@ def write_ranking(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
     return write_tables(tables, folder, "composite")
 
 
+def build_ranking(
+    spark: SparkSession,
+    path: str,
+    folder: str,
+    schools: DataFrame,
+    funds: DataFrame,
+    cohort: DataFrame,
+    enrollment: DataFrame | None = None,
+    chains: Mapping[str, Sequence[str]] = DEFAULT_CHAINS,
+) -> list[str]:
+    """Ranking and reference table of early reading, from the lake and the raw side tables to ``folder``."""
+    counts = lake_table(spark, path, "counts", EARLY_READING.name)
+    entities = lake_table(spark, path, "entities", EARLY_READING.name)
+    areas, capacity = capacity_tables(schools, funds, enrollment)
+    scored = scored_timepoints(counts, entities, EARLY_READING)
+    return write_ranking(composite_ranking(scored, areas, capacity, cohort, counts, chains), folder)
+
+
 def net_gains_by_year(counts: DataFrame, years: Sequence[str]) -> DataFrame:
     """One row per entity with ``net_gain_upper_<year>`` and ``net_gain_top_<year>``."""
     gains = yearly_net_gains(counts, years)

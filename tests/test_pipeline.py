@@ -98,6 +98,27 @@ def test_reload_replaces_one_timepoint(spark, early):
     assert by[("2024-25", "BoSY")].ordinal_mean == pytest.approx(moments(data[("2024-25", "BoSY")][101])[0])
 
 
+def test_build_ranking_writes_net_gains(spark, early):
+    path, _, root = early
+    schools = spark.createDataFrame(
+        [(s, "NCR", "North", "c0", "City 0") for s in SCHOOLS],
+        "entity_id bigint, psgc_region string, psgc_province string, area_code string, area_name string",
+    )
+    funds = spark.createDataFrame(
+        [("NCR", "North", "City 0", "City", 1000.0)],
+        "region string, province string, area string, area_type string, rpt_special_education_fund double",
+    )
+    cohort = spark.createDataFrame([(101,)], "entity_id bigint")
+    written = pipeline.build_ranking(spark, path, str(root / "ranked"), schools, funds, cohort)
+    want = {f"net_gain_{k}_{y}" for k in ("upper", "top") for y in ("2024_25", "2025_26")}
+    assert len(written) == 2
+    for stored in (spark.read.parquet(x) for x in written):
+        assert want <= set(stored.columns) and stored.count() > 0
+        assert stored.where("net_gain_top_2024_25 IS NOT NULL").count() > 0
+    with pytest.raises(TypeError):
+        pipeline.composite_ranking(schools, schools, schools, cohort)
+
+
 def test_ranking_and_reference(spark, early):
     path, data, root = early
     counts = pipeline.lake_table(spark, path, "counts", EARLY_READING.name)
