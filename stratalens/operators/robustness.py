@@ -127,7 +127,7 @@ def top_list_kendall(df: DataFrame, entity: str, first: str, second: str, n: int
     the second score part at one bit, below a common prefix; so for every bit, rows with the same
     prefix are ordered by their position under the first score, and each counts the rows before it whose
     bit differs.  These counts are sums over chunks of positions and running counts inside a chunk, so the
-    work is n log n and no task holds a whole list.
+    work is n log n and no task holds a whole list.  Rows of one position are counted first, so ties are one row.
     """
     pair = df.select(entity, F.col(first).cast("double").alias("_a"), F.col(second).cast("double").alias("_b"))
     if n is not None:
@@ -138,27 +138,29 @@ def top_list_kendall(df: DataFrame, entity: str, first: str, second: str, n: int
     placed = materialise(pair.where("_a_at IS NOT NULL AND _b_at IS NOT NULL").select("_a_at", "_b_at"))
     size = placed.count()
     bits = max(1, size.bit_length())
-    spread = placed.withColumn("_bit", F.explode(F.sequence(F.lit(0), F.lit(bits - 1)))).select(
+    keys, sums = ["_bit", "_prefix"], [F.sum(F.col("_n") * F.col("_high")).alias("_ones"), F.sum(F.col("_n") * (1 - F.col("_high"))).alias("_zeros")]
+    spread = placed.groupBy("_a_at", "_b_at").agg(F.count("*").alias("_n")).withColumn("_bit", F.explode(F.sequence(F.lit(0), F.lit(bits - 1)))).select(
         "_bit",
         F.expr("shiftright(_b_at, _bit + 1)").alias("_prefix"),
         (F.expr("shiftright(_b_at, _bit)") % 2).alias("_high"),
         F.col("_a_at").alias("_at"),
         F.floor(F.col("_a_at") / KENDALL_CHUNK).alias("_chunk"),
+        "_n",
     )
-    keys = ["_bit", "_prefix"]
-    ones, zeros = F.sum("_high"), F.sum(1 - F.col("_high"))
-    chunks = spread.groupBy(*keys, "_chunk").agg(ones.alias("_ones"), zeros.alias("_zeros"))
+    cells = spread.groupBy(*keys, "_chunk", "_at").agg(*sums)
+    chunks = cells.groupBy(*keys, "_chunk").agg(F.sum("_ones").alias("_ones"), F.sum("_zeros").alias("_zeros"))
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     before = chunks.select(
         *keys, "_chunk",
         F.coalesce(F.sum("_ones").over(earlier), F.lit(0)).alias("_ones_before"),
         F.coalesce(F.sum("_zeros").over(earlier), F.lit(0)).alias("_zeros_before"),
     )
-    inside = Window.partitionBy(*keys, "_chunk").orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
-    counted = spread.select(
-        *keys, "_chunk", "_high", F.coalesce(ones.over(inside), F.lit(0)).alias("_ones"), F.coalesce(zeros.over(inside), F.lit(0)).alias("_zeros")
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    counted = cells.select(
+        *keys, "_chunk", "_ones", "_zeros",
+        *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{c}_inside") for c in ("_ones", "_zeros")),
     ).join(before, [*keys, "_chunk"])
-    agree = F.when(F.col("_high") == 1, F.col("_zeros") + F.col("_zeros_before")).otherwise(-(F.col("_ones") + F.col("_ones_before")))
+    agree = F.col("_ones") * (F.col("_zeros_inside") + F.col("_zeros_before")) - F.col("_zeros") * (F.col("_ones_inside") + F.col("_ones_before"))
     return counted.agg(F.coalesce(F.sum(agree), F.lit(0)).alias("_sum")).select(
         F.lit(size).alias("entities"), F.try_divide(2.0 * F.col("_sum"), F.lit(size) * F.lit(size - 1)).alias("kendall")
     )

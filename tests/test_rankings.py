@@ -154,3 +154,22 @@ def test_keep_first_has_a_stated_order(spark):
     df = spark.createDataFrame([(1, "b", 2), (1, "a", 1), (2, None, 5)], "k int, v string, o int")
     got = {r.k: r.v for r in keep_first(df, ["k"], [F.col("o")]).collect()}
     assert got == {1: "a", 2: None}
+
+
+def test_kendall_counts_ties_once(spark, monkeypatch):
+    """A third of all rows tied under the first score, and pairs tied under both: no window row per tied row."""
+    rng = np.random.default_rng(3)
+    rows = [(i, 1.0 if i % 3 == 0 else float(rng.integers(2, 40)), float(rng.integers(0, 4))) for i in range(240)]
+    sign = lambda x: (x > 0) - (x < 0)
+    want = sum(sign(a[1] - b[1]) * sign(a[2] - b[2]) for a in rows for b in rows) / (240 * 239)
+    seen, joined = [], type(spark.range(1)).join
+
+    def counted(left, right, *args, **kwargs):
+        if "_ones_before" in right.columns:
+            seen.append(left.groupBy("_bit").count().agg(F.max("count")).first()[0])
+        return joined(left, right, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark.range(1)), "join", counted)
+    got = top_list_kendall(spark.createDataFrame(rows, "entity_id int, a double, b double"), "entity_id", "a", "b").first()
+    assert got.entities == 240 and got.kendall == pytest.approx(want)
+    assert seen and max(seen) <= len({r[1:] for r in rows}) < 200
