@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from . import credentials, decontaminate, lattice, mixture, ngram_join, repetition, separators, splitters, token_orc, warc
+from . import credentials, decontaminate, lattice, mixture, ngram_join, phrases, repetition, separators, splitters, token_orc, warc
 from .shared import new_folder, table
 
 MIX_SEED = "mix-1"
@@ -168,3 +168,48 @@ def op10_suffix_repetition(spark, folder):
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "covered_words", "longest_repeat",
     )))
+
+
+@query
+def op13_phrase_marginals(spark, folder):
+    """The first collocations of each language."""
+    return phrases.mine(table(spark, folder, "documents"))
+
+
+SQL["op13_phrase_marginals"] = r"""
+    WITH pieces AS (
+      SELECT lang, row_number() OVER () AS doc, unnest(ps) AS piece, generate_subscripts(ps, 1) AS p
+      FROM (SELECT coalesce(lang, 'und') AS lang, string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps FROM documents)),
+    words AS (
+      SELECT lang, piece_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+      FROM (SELECT lang, row_number() OVER () AS piece_id, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces)),
+    windows AS (
+      SELECT lang, w AS w1, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY piece_id ORDER BY i)),
+    totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+    counts AS (
+      SELECT lang, w1 AS phrase, 1 AS size, w1, NULL AS w2, NULL AS w3, count(*) AS f FROM windows GROUP BY lang, w1
+      UNION ALL
+      SELECT lang, w1 || ' ' || w2, 2, w1, w2, NULL, count(*) FROM windows WHERE w2 IS NOT NULL GROUP BY lang, w1, w2
+      UNION ALL
+      SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3, w1, w2, w3, count(*) FROM windows WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3),
+    cuts AS (
+      SELECT lang, phrase, size, w1, w2, w3, f, 1 AS k, w1 AS lp, CASE WHEN size = 2 THEN w2 ELSE w2 || ' ' || w3 END AS rp
+      FROM counts WHERE size > 1 AND f >= 10
+      UNION ALL
+      SELECT lang, phrase, size, w1, w2, w3, f, 2, w1 || ' ' || w2, w3 FROM counts WHERE size = 3 AND f >= 10),
+    priced AS (
+      SELECT c.lang, c.phrase, c.size, c.w1, c.w2, c.w3, c.f AS a, k, l.f AS l, r.f AS r,
+        CAST((CAST(1000000 AS HUGEINT) * c.f * c.f) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+      FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.lp JOIN counts r ON r.lang = c.lang AND r.phrase = c.rp),
+    scored AS (SELECT * FROM priced QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    holders AS (
+      SELECT lang, phrase, max(a) AS longer FROM (
+        SELECT lang, w1 || ' ' || w2 AS phrase, a FROM scored WHERE size = 3 UNION ALL SELECT lang, w2 || ' ' || w3, a FROM scored WHERE size = 3)
+      GROUP BY lang, phrase),
+    kept AS (
+      SELECT s.* FROM scored s LEFT JOIN holders h ON s.lang = h.lang AND s.phrase = h.phrase AND s.size = 2
+      WHERE h.longer IS NULL OR 100 * h.longer < 50 * a),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
