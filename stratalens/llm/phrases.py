@@ -36,7 +36,7 @@ BREAKS = ",;:!?\n\x0b\x0c\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # A full stop marks every end of a piece, since no word holds one.
 _MARKED = bytes.maketrans((_UPPER + BREAKS).encode(), (_UPPER.lower() + "." * len(BREAKS)).encode())
-WINDOW_WORDS = 1 << 21
+WINDOW_WORDS = 1 << 20
 PHRASE_SALTS = 64
 
 
@@ -81,7 +81,7 @@ def _numbered(words: DataFrame) -> DataFrame:
     placed = materialise(words.select("lang", "word").orderBy("lang", "word").withColumn("place", F.monotonically_increasing_id()))
     part = F.shiftright("place", 33)
     sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
-    offsets = F.create_map(*(F.lit(x) for pair in running_offsets([(r.part, r.n) for r in sizes]) for x in pair))
+    offsets = F.create_map(*(F.lit(x) for pair in running_offsets([(r.part, r.n) for r in sizes] or [(0, 0)]) for x in pair))
     return placed.select("lang", "word", (offsets[part] + F.col("place").bitwiseAND((1 << 33) - 1) + 1).cast("int").alias("id"))
 
 
