@@ -24,6 +24,7 @@ NEED_WEIGHTS = {
 }
 REQUIRED = ("mean_end", "delta_mean", "assessed_count", "fund_per_learner")
 SECONDARY = ("sd_end", "skew_end", "delta_sd", "delta_skew")
+NOWHERE_SALTS = 1 << 14
 
 
 def area_capacity(
@@ -53,12 +54,10 @@ def area_capacity(
 
 def with_capacity(df: DataFrame, crosswalk: DataFrame, capacity: DataFrame, entity: str, area: str) -> DataFrame:
     """Add the crosswalk columns of each entity and its area's capacity; entities without an area keep their row."""
-    located = df.join(crosswalk, entity, "left")
-    # Rows without an area go around the join; under one NULL key they would meet in one task.
-    here = located.filter(F.col(area).isNotNull()).join(capacity, area, "left")
-    nowhere = located.filter(F.col(area).isNull())
-    missing = [F.lit(None).cast(t).alias(c) for c, t in capacity.dtypes if c != area]
-    return here.unionByName(nowhere.select("*", *missing))
+    # Rows without an area are dealt out by entity; under one NULL key they would meet in one task.
+    salt = F.when(F.col(area).isNull(), F.pmod(F.xxhash64(entity), F.lit(NOWHERE_SALTS)) + 1).otherwise(F.lit(0))
+    located = df.join(crosswalk, entity, "left").withColumn("_salt", salt.cast("long"))
+    return located.join(capacity.withColumn("_salt", F.lit(0).cast("long")), [area, "_salt"], "left").drop("_salt")
 
 
 def segment_inputs(
