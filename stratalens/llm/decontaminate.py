@@ -12,7 +12,7 @@ pattern, or the whole item if it is shorter.  Patterns of one length form one ta
 
 Documents are scanned where they lie: no shuffle, no join.  Patterns travel to the
 executors in chunks of at most ``chunk`` windows, whose number is counted before; a larger
-benchmark is scanned in several passes, which add their hits to those of earlier passes.
+benchmark is scanned in several passes over numbered rows, whose hits are joined to the rows once.
 
 Defined results: NULL or empty text has no words and no hits.  Rows with the same item id
 are one item; an item without words has no pattern.  NULL item ids are left out.  Rows and columns of
@@ -22,9 +22,10 @@ the documents stay as they are.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -34,6 +35,8 @@ from .shared import drop_worker_tables
 _CUTS = bytes(
     (b + 32 if 65 <= b <= 90 else b) if b > 127 or chr(b).isalnum() else 32 for b in range(256)
 )
+# The same words for the JVM; A to Z are letters there.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PATTERNS = "window string, items array<string>"
 HITS = "n_words long, n_hit long, spans array<long>, items array<string>"
 
@@ -91,25 +94,23 @@ def windows(benchmark: DataFrame, *, id_column: str = "item_id", text_column: st
 
 
 def _scan(patterns: list[tuple[str, list[str]]]):
-    """A column function that adds the hits of these patterns to earlier ones."""
+    """A column function that finds the hits of these patterns."""
 
     @F.pandas_udf(HITS)
-    def scan(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         drop_worker_tables()
         owners = {tuple(w.encode() for w in p.split(" ")): i for p, i in patterns}
         by_length: dict[int, list[tuple]] = {}
         for p in owners:
             by_length.setdefault(len(p), []).append(p)
         tables = [WuManber(p, n) for n, p in sorted(by_length.items())]
-        for texts, spans_before, items_before in batches:
+        for texts in batches:
             rows = []
-            for text, spans, items in zip(texts, spans_before, items_before):
+            for text in texts:
                 w = search_words(text)
                 found = [(start, start + t.length, p) for t in tables for start, p in t.find(w)]
-                spans = [] if spans is None else list(spans)
-                merged = _union([*zip(spans[::2], spans[1::2]), *((a, b) for a, b, _ in found)])
-                names = set() if items is None else set(items)
-                names.update(i for _, _, p in found for i in owners[p])
+                merged = _union([(a, b) for a, b, _ in found])
+                names = {i for _, _, p in found for i in owners[p]}
                 rows.append((len(w), sum(b - a for a, b in merged), [x for s in merged for x in s], sorted(names)))
             yield pd.DataFrame(rows, columns=["n_words", "n_hit", "spans", "items"])
 
@@ -141,13 +142,33 @@ def mark_hits(
     """
     patterns = materialise(patterns)
     passes = max(1, -(-patterns.count() // chunk))
-    for k in range(passes):
-        part = patterns if passes == 1 else patterns.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == k)
-        scan = _scan([(x.window, x["items"]) for x in part.collect()])
-        before = [F.lit(None).cast(t) for t in ("array<long>", "array<string>")] if k == 0 else [
-            F.col(f"{into}.spans"), F.col(f"{into}.items")]
-        docs = docs.withColumn(into, scan(F.col(text_column), *before))
-        if k < passes - 1:
-            docs = materialise(docs)
-    return docs
-
+    part = lambda k: _scan([(x.window, x["items"]) for x in patterns.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == k).collect()])
+    if passes == 1:
+        return docs.withColumn(into, part(0)(F.col(text_column)))
+    # Rows are numbered and written once, whatever the number of passes; a pass writes its hits only.
+    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()))
+    hits = [
+        materialise(rows.select("__row", part(k)(F.col(text_column)).alias("hit")).where("hit.n_hit > 0").select("__row", "hit.spans", "hit.items"))
+        for k in range(passes)
+    ]
+    merged = reduce(DataFrame.union, hits).groupBy("__row").agg(
+        F.flatten(F.collect_list("spans")).alias("__spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("__items")
+    ).withColumn("__spans", _merged(F.col("__spans")))
+    found = F.struct(
+        F.coalesce(F.regexp_count(F.col(text_column), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
+        F.coalesce("__spans.n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("__spans.spans", F.array().cast("array<long>")).alias("spans"),
+        F.coalesce("__items", F.array().cast("array<string>")).alias("items"),
+    )
+    return rows.join(merged, "__row", "left").withColumn(into, found).select(*docs.columns, into)
+
+
+def _merged(spans: Column) -> Column:
+    """The union of spans that several passes found in one text."""
+
+    @F.pandas_udf("n_hit long, spans array<long>")
+    def merge(rows: pd.Series) -> pd.DataFrame:
+        found = [_union([*zip(s[::2], s[1::2])]) for s in rows]
+        return pd.DataFrame({"n_hit": [sum(b - a for a, b in m) for m in found], "spans": [[x for s in m for x in s] for m in found]})
+
+    return merge(spans)

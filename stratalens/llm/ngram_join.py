@@ -58,7 +58,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .components import components
-from .shared import BLANKS, batch_rows, drop_worker_tables, few, only
+from .shared import BLANKS, batch_rows, few, lean, only
 from .word_tokens import slices
 
 LONG_LIST = 32
@@ -107,7 +107,6 @@ def _map_sets(docs: DataFrame, width: int, schema: pa.Schema, ddl: str, row: Cal
     """Rows made from (doc_id, set) of every document (doc_id, text)."""
 
     def work(batches):
-        drop_worker_tables()
         for batch in batches:
             ids, at = batch.column(0).to_pylist(), 0
             for texts in slices(batch.column(1)):
@@ -115,7 +114,7 @@ def _map_sets(docs: DataFrame, width: int, schema: pa.Schema, ddl: str, row: Cal
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return docs.mapInArrow(work, ddl)
+    return docs.mapInArrow(lean(work), ddl)
 
 
 def _with_held(sets: DataFrame, keys: DataFrame, then: Callable[[pd.DataFrame], pd.DataFrame], ddl: str) -> DataFrame:
@@ -137,7 +136,7 @@ def _with_held(sets: DataFrame, keys: DataFrame, then: Callable[[pd.DataFrame],
                 ends = np.cumsum([len(t) for t in tokens], dtype=np.int64)
                 yield then(pdf.assign(tokens=tokens, held=[t[hit[e - len(t):e]] for t, e in zip(tokens, ends)]))
 
-        return sets.mapInPandas(pick, ddl)
+        return sets.mapInPandas(lean(pick), ddl)
     found = _exploded(sets).join(keys, "key", "left_semi").groupBy("cid").agg(F.collect_list("key").alias("held"))
     joined = sets.join(found, "cid", "left").select("cid", "n", "tokens", "held")
 
@@ -146,7 +145,7 @@ def _with_held(sets: DataFrame, keys: DataFrame, then: Callable[[pd.DataFrame],
             held = [np.sort(np.array([] if h is None else h, dtype=np.int64).view(TOKEN)) for h in pdf["held"]]
             yield then(pdf.assign(tokens=[np.frombuffer(t, TOKEN) for t in pdf["tokens"]], held=held))
 
-    return joined.mapInPandas(unpack, ddl)
+    return joined.mapInPandas(lean(unpack), ddl)
 
 
 def _exploded(sets: DataFrame) -> DataFrame:
@@ -164,7 +163,7 @@ def _exploded(sets: DataFrame) -> DataFrame:
                     schema=kind,
                 )
 
-    return sets.select("cid", "n", "tokens").mapInArrow(spread, "key long, cid long, n int")
+    return sets.select("cid", "n", "tokens").mapInArrow(lean(spread), "key long, cid long, n int")
 
 
 def _set_keys(n: int, prefix: np.ndarray, light_up_to: int, percent: int) -> tuple[np.ndarray, np.ndarray]:

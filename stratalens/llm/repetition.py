@@ -5,7 +5,8 @@ short texts at once.  The symbols of a block are (text, word) pairs, and a symbo
 ends each text, so no repeat crosses texts.  Prefix doubling ranks windows of 1, 2, 4, ...
 words; only positions that still tie are sorted again, which ends early for ordinary
 prose.  The last ranks give the suffix array, and the ranks of all rounds give the common
-prefix of neighbours in it by halving steps.
+prefix of neighbours in it by halving steps.  A text longer than ``ROUND_WORDS`` keeps the last ranks only, and
+its common prefixes are found in one linear pass.
 
 A suffix and its neighbour share the longest repeat that starts there, so the spans
 ``[i, i + longest(i))`` of at least ``min_repeat`` words cover the same words as all maximal
@@ -26,9 +27,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BLANKS, drop_worker_tables
+from .shared import BLANKS, drop_worker_tables, free_memory
 
 BLOCK_WORDS = 100_000
+ROUND_WORDS = 1_000_000
 SYMBOLS = "#*$%&|<>"
 FIGURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -57,6 +59,9 @@ class SuffixBlock:
         counts = np.bincount(symbols, minlength=base) if codes else np.zeros(0, dtype=np.int64)
         starts = np.cumsum(counts) - counts
         rank = starts[symbols] if codes else np.zeros(0, dtype=np.int64)
+        self.symbols = symbols
+        # The ranks of every round make common prefixes a few array steps, but take much room for one very long text.
+        self.whole = self.size <= ROUND_WORDS
         self.rounds = [rank]
         tied = np.flatnonzero(counts[symbols] > 1) if codes else np.zeros(0, dtype=np.int64)
         step = 1
@@ -72,10 +77,12 @@ class SuffixBlock:
             key_start = np.maximum.accumulate(np.where(new_key, place, 0))
             rank = rank.copy()
             rank[at] = lead + key_start - lead_start
-            self.rounds.append(rank)
+            if self.whole or step == 1:
+                self.rounds.append(rank)
             run = np.diff(np.append(np.flatnonzero(new_key), len(at)))
             tied = at[np.repeat(run > 1, run)]
             step *= 2
+        self.rank = rank
 
     def windows_seen_twice(self, length: int) -> np.ndarray:
         """For lengths 2 to 4: the starts of windows that occur at least twice in their text."""
@@ -92,6 +99,12 @@ class SuffixBlock:
     def longest_repeats(self, least: int) -> np.ndarray:
         """For each position the longest substring from there that occurs elsewhere too, 0 if below ``least``."""
         longest = np.zeros(self.size, dtype=np.int64)
+        if not self.whole:
+            left, right, common = self._neighbour_prefixes()
+            np.maximum.at(longest, left, common)
+            np.maximum.at(longest, right, common)
+            longest[longest < least] = 0
+            return longest
         level = least.bit_length() - 1
         if len(self.rounds) <= level:
             return longest
@@ -110,6 +123,31 @@ class SuffixBlock:
         longest[longest < least] = 0
         return longest
 
+    def _neighbour_prefixes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Neighbours in the suffix array and their common prefix, from ranks and symbols alone.
+
+        Going through the text, the common prefix shrinks by one at most, so all comparisons together are linear.
+        """
+        suffixes = np.empty(self.size, dtype=np.int64)
+        suffixes[self.rank] = np.arange(self.size)
+        before = np.full(self.size, -1, dtype=np.int64)
+        before[suffixes[1:]] = suffixes[:-1]
+        common = np.zeros(self.size, dtype=np.int64)
+        symbols, above, out, length = memoryview(self.symbols), memoryview(before), memoryview(common), 0
+        for i in range(self.size):
+            j = above[i]
+            if j < 0:
+                length = 0
+                continue
+            # End marks are symbols of their own, so a comparison ends inside the block.
+            while symbols[i + length] == symbols[j + length]:
+                length += 1
+            out[i] = length
+            if length:
+                length -= 1
+        at = np.flatnonzero(common)
+        return before[at], at, common[at]
+
     def covered(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         """How many positions of each text lie in spans given by start and length."""
         edges = np.zeros(self.size + 1, dtype=np.int64)
@@ -166,6 +204,7 @@ def repetition_figures(docs: DataFrame, *, text_column: str = "text", into: str
         for texts in batches:
             rows = [row for block in _blocks(texts) for row in figures(block, min_repeat)]
             yield pd.DataFrame(rows, columns=[f.split()[0] for f in FIGURES.split(", ")])
+        free_memory()
 
     return docs.withColumn(into, measure(F.col(text_column)))
 

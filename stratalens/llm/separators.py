@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .shared import open_folder
+from .shared import one_task_each, open_folder
 from .word_tokens import encoder, slices
 
 BLOCKS = "file string, block long, n_ends long, last_end long, ends array<long>, size long"
@@ -101,10 +101,10 @@ def count_tokens(
             yield pd.DataFrame(rows, columns=["file", "block", "n_ends", "last_end", "ends", "size"]).astype({"last_end": "Int64"})
 
     blocks = (
-        files.select("file").distinct().mapInPandas(sizes, "file string, size long").where("size > 0")
+        one_task_each(materialise(files.select("file").distinct())).mapInPandas(sizes, "file string, size long").where("size > 0")
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / block_tokens))))
     )
-    found = materialise(blocks.repartition("file", "block").mapInPandas(scan, BLOCKS))
+    found = materialise(one_task_each(materialise(blocks)).mapInPandas(scan, BLOCKS))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = found.select(
         "file", "block",

@@ -7,6 +7,7 @@ bytes touches A to Z only.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
@@ -14,6 +15,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 SENT_ROWS = 1_000_000
+MOST_TASKS = 20_000
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -70,9 +73,37 @@ def worker_table(key, make: Callable):
     return _TABLES[key]
 
 
+def free_memory() -> None:
+    """Give back what this Python worker no longer uses; allocators keep it otherwise, and Spark keeps the worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def drop_worker_tables() -> None:
     """Free what an earlier operator left in this Python worker, which Spark uses again."""
     _TABLES.clear()
+    free_memory()
+
+
+def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` over batches, after which the worker gives back its memory: it may idle while other stages run."""
+
+    def run(batches: Iterator) -> Iterator:
+        drop_worker_tables()
+        yield from work(batches)
+        free_memory()
+
+    return run
+
+
+def one_task_each(rows: DataFrame) -> DataFrame:
+    """Rows that stand for files or blocks, dealt out one by one.
+
+    They are too small for Spark to tell how much work hangs on them; with a number given, it does not put them together.
+    """
+    return rows.repartition(max(1, min(rows.count(), MOST_TASKS)))
 
 
 def few(df: DataFrame) -> bool:

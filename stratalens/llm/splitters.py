@@ -24,9 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .shared import range_index, running_offsets
+from .shared import MOST_TASKS, range_index, running_offsets
 
 KEY = ("doc_id", "text_crc32", "size")
+COPY_RUN = 1 << 14
 ROW_OVERHEAD = 8
 
 
@@ -115,7 +116,7 @@ def assign_shards(
         (F.col("bytes_before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(before), F.lit(0))).alias("at"),
         (F.col("rows_before") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("position"),
     )
-    each = summed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    each = _copies(keys, summed)
     sharded = materialise(each.select(
         *KEY,
         F.least(F.lit(shards - 1), F.expr(f"(2 * (at + copy * size) + size) * {shards} div {2 * max(whole, 1)}")).cast("int").alias("shard"),
@@ -125,6 +126,22 @@ def assign_shards(
     return sharded.join(F.broadcast(first), "shard").select(*KEY, "shard", (F.col("position") - F.col("first")).alias("slot"))
 
 
+def _copies(keys: DataFrame, summed: DataFrame) -> DataFrame:
+    """Each row of ``summed`` ``n`` times, with ``copy`` from 0 on; ``keys`` has the same ``n``.
+
+    A key with very many copies is cut into runs of ``COPY_RUN`` first, which are dealt out one by one.
+    """
+    number = F.col("n").cast("long")
+    runs = keys.where(number > COPY_RUN).agg(F.sum(F.ceil(number / COPY_RUN))).first()[0]
+    few = summed.where(number <= COPY_RUN).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)))
+    if not runs:
+        return few
+    cut = summed.where(number > COPY_RUN).withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((number - 1) / COPY_RUN))))
+    cut = cut.repartition(min(int(runs), MOST_TASKS)).withColumn("run", F.col("run") * COPY_RUN)
+    many = cut.withColumn("copy", F.explode(F.sequence(F.col("run"), F.least(number, F.col("run") + COPY_RUN) - 1))).drop("run")
+    return few.unionByName(many)
+
+
 def shard_ends(assigned: DataFrame) -> list[tuple]:
     """The last key of every shard but the last."""
     ends = assigned.groupBy("shard").agg(F.max(F.struct(*KEY)).alias("last")).orderBy("shard").collect()

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .shared import open_folder, range_index
+from .shared import MOST_TASKS, one_task_each, open_folder, range_index
 
 SPACE = uuid.UUID("6f1c1d52-2d0b-5c8e-9d5b-3f0c0a7c4d11")
 FILES = "name string, hidden string, records long, bytes long, sha1 string, first_key long, last_key long"
@@ -169,7 +169,7 @@ def write_archives(
         yield pd.DataFrame(done, columns=[f.split()[0] for f in FILES.split(", ")]).astype({"first_key": "Int64", "last_key": "Int64"})
 
     sharded = _with_roles(rows, revisit_bytes).withColumn("shard", range_index(borders, F.col("key"), F.col("digest")))
-    sorted_rows = sharded.repartition("shard").sortWithinPartitions("shard", "key", "digest")
+    sorted_rows = sharded.repartition(min(len(borders) + 1, MOST_TASKS), "shard").sortWithinPartitions("shard", "key", "digest")
     pending = materialise(sorted_rows.mapInPandas(write, FILES))
     _commit(pending, path)
 
@@ -247,7 +247,7 @@ def read_archives(spark: SparkSession, path: str, *, with_payload: bool = False)
                 yield _frame(rows, names)
 
     files = spark.read.parquet(f"{path}/manifest").select("name")
-    return files.repartition("name").mapInPandas(read, RECORDS)
+    return one_task_each(files).mapInPandas(read, RECORDS)
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
