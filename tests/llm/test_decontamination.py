@@ -7,6 +7,7 @@ from cases import SCHEMA, frame, lowered
 
 from stratalens.llm import decontaminate
 from stratalens.llm.decontaminate import WuManber, mark_hits, windows
+from stratalens.session import materialise
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -58,3 +59,15 @@ def test_empty_tables(spark):
     assert mark_hits(no_docs, windows(items)).count() == 0
     r = mark_hits(frame(spark, [(1, "a b", None, None, 3)]), decontaminate.windows(no_items)).first()
     assert (r.hits.n_words, r.hits.n_hit) == (2, 0)
+
+
+def test_texts_are_written_once_for_any_number_of_passes(spark, monkeypatch):
+    items, docs = inputs()
+    benchmark = windows(spark.createDataFrame(items, "item_id long, text string"))
+    written = []
+    monkeypatch.setattr(decontaminate, "materialise", lambda df: written.append(df.columns) or materialise(df))
+    one = mark_hits(frame(spark, docs), benchmark).collect()
+    assert len(written) == 1
+    many = mark_hits(frame(spark, docs), benchmark, chunk=10).collect()
+    assert sum("text" in columns for columns in written) == 1 and len(written) > 5
+    assert sorted(map(str, one)) == sorted(map(str, many))

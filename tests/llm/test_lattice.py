@@ -68,3 +68,29 @@ def test_without_training_or_rows(spark):
     r = score_texts(df, tokenizer_path(PIECES), F.lit(True)).first()
     assert (r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0) and r.score < 0
     assert score_texts(spark.createDataFrame([], SCHEMA), tokenizer_path(PIECES), F.lit(False)).count() == 0
+
+
+def test_score_from_training_texts_to_end(spark):
+    """The score of whole texts, recomputed from counts of the vocabulary's own segmentation and all spellings."""
+    import sentencepiece
+
+    rows = [(1, "the cat sat", None, None, 0), (2, "The cat, the", None, None, 0), (3, "at a hat", None, None, 0), (4, "", None, None, 0), (5, None, None, None, 0)]
+    held = {3}
+    got = {r.doc_id: r.score for r in score_texts(frame(spark, rows), tokenizer_path(PIECES), F.col("doc_id") == 3).collect()}
+    model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(PIECES))
+    counts, ends = collections.Counter(), 0
+    for i, text, *_ in rows:
+        if i not in held:
+            ends += 1
+            for w in WORD.findall(lowered(text)):
+                counts.update(model.encode(w))
+    usable = [i for i in range(len(model)) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and "▁" not in model.id_to_piece(i)[1:]]
+    total = sum(counts[i] for i in usable) + ends + len(usable) + 1
+    chance = {model.id_to_piece(i): (counts[i] + 1) / total for i in usable if not model.is_byte(i)}
+
+    def spelled(text):
+        return sum((chance[text[:n]] * spelled(text[n:]) for n in range(1, len(text) + 1) if text[:n] in chance), 0.0) if text else 1.0
+
+    for i, text, *_ in rows:
+        want = sum(math.log10(spelled("▁" + w)) for w in WORD.findall(lowered(text))) + math.log10((ends + 1) / total)
+        assert math.isclose(got[i], want, rel_tol=1e-9), i

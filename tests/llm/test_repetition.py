@@ -6,6 +6,7 @@ import re
 import pytest
 from cases import SCHEMA, documents, frame
 
+from stratalens.llm import repetition
 from stratalens.llm.repetition import SuffixBlock, figures, judge
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,3 +74,15 @@ def test_repeat_beyond_the_base_rule(spark):
 
 def test_empty_table(spark):
     assert judge(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_one_very_long_text_keeps_few_ranks(monkeypatch, seed):
+    draw = random.Random(100 + seed)
+    texts = [" ".join(draw.choice("abc"[: 1 + seed % 3]) for _ in range(draw.randrange(80))) for _ in range(15)]
+    want = {least: figures(texts, least) for least in (1, 2, 3, 7, 10)}
+    monkeypatch.setattr(repetition, "ROUND_WORDS", 0)
+    for least, rows in want.items():
+        assert figures(texts, least) == rows
+    block = SuffixBlock([[b"x"] * 5000])
+    assert len(block.rounds) == 2 and block.longest_repeats(10).max() == 4999

@@ -4,6 +4,7 @@ import zlib
 
 import pytest
 from cases import SCHEMA, documents, frame
+from pyspark.sql import functions as F
 
 from stratalens.llm import splitters
 
@@ -55,3 +56,22 @@ def test_write_and_empty(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == df.count() and back.select("shard").distinct().count() == 5
     assert splitters.assign_shards(splitters.measured(spark.createDataFrame([], SCHEMA)), 5).count() == 0
+
+
+def test_very_many_copies_of_one_key(spark):
+    """Copies are made in runs by several tasks, and no row holds an array of all of them."""
+    n = 40 * splitters.COPY_RUN + 5
+    keys = spark.createDataFrame([(1, 5, 10, n), (2, 6, 10, 3)], "doc_id long, text_crc32 long, size long, n long")
+    made = splitters._copies(keys, keys)
+    spread = made.where("doc_id = 1").groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) > 3
+    got = made.groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_distinct("copy").alias("own"), F.min("copy"), F.max("copy")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, n, n, 0, n - 1), (2, 3, 3, 0, 2)]
+
+
+def test_shards_of_copies_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(splitters, "COPY_RUN", 7)
+    df = frame(spark, CASES["one row repeated"])
+    cut = splitters.assign_shards(splitters.measured(df), 5).collect()
+    monkeypatch.setattr(splitters, "COPY_RUN", 1 << 14)
+    assert sorted(map(str, cut)) == sorted(map(str, splitters.assign_shards(splitters.measured(df), 5).collect()))

@@ -7,10 +7,12 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import SCHEMA, documents, frame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratalens.llm import separators, token_orc
 from stratalens.llm.queries import tokenizer_path
+from stratalens.llm.shared import one_task_each
 from stratalens.llm.word_tokens import WordEncoder
 
 END = 49407
@@ -97,3 +99,33 @@ def test_empty_tables(spark, tmp_path):
     assert token_orc.with_checksum(token_orc.read_tokens(spark, str(tmp_path / "orc"))).count() == 0
     names = separators.write_flat(empty, str(tmp_path / "flat"), tokenizer_path(), END)
     assert separators.count_tokens(spark, str(tmp_path / "flat"), names, END).count() == 0
+
+
+def scanned(df):
+    """How many rows the scan below a query gave out, from its metrics."""
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_orc_lookup_reads_few_rows(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    rows = [(2 * i, f"word {i}", None, None, 0) for i in range(24_000)]
+    token_orc.write_tokens(frame(spark, rows), path, tokenizer_path())
+    files = token_orc.token_files(spark, path)
+    assert scanned(files) == len(rows)
+    assert 0 < scanned(files.where("doc_id = 20000")) <= 1000
+    # Odd ids lie inside the range of a row index, so only a Bloom filter can rule them out.
+    assert sum(scanned(files.where(f"doc_id = {i}")) for i in range(10_001, 10_041, 2)) <= 2000
+
+
+def test_blocks_are_scanned_by_many_tasks(spark, tmp_path):
+    for n in range(40):
+        (tmp_path / f"f{n}.bin").write_bytes(np.array([n + 100, 9, n + 100, n + 100, 9], "<u2").tobytes())
+    files = spark.createDataFrame([(f"f{n}.bin",) for n in range(40)], "file string")
+    assert one_task_each(files).rdd.getNumPartitions() == 40
+    counts = separators.count_tokens(spark, str(tmp_path), files, 9, block_tokens=2)
+    assert counts.where("complete").count() == 80
+    # Tiny rows stay apart although adaptive execution puts small partitions together.
+    seen = one_task_each(files).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert seen > 30

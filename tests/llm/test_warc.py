@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratalens.llm import warc
 
@@ -61,3 +62,29 @@ def test_damage_is_found(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     warc.write_archives(spark.createDataFrame([], SCHEMA), str(tmp_path))
     assert warc.read_archives(spark, str(tmp_path)).count() == 0
+
+
+def test_commit_survives_lost_and_repeated_attempts(spark, tmp_path):
+    """Files of an attempt that died stay out; a rename that was done before its task died is not an error."""
+    stray = tmp_path / "w" / "_temporary" / "attempt-999"
+    stray.mkdir(parents=True)
+    (stray / "shard-000000-0000.warc.gz").write_bytes(b"half a file")
+    rows = pages()
+    warc.write_archives(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "w"), shard_bytes=20_000, roll_bytes=5_000)
+    assert warc.read_archives(spark, str(tmp_path / "w")).count() == len(rows)
+    done = tmp_path / "r"
+    hidden = done / "_temporary" / "attempt-1"
+    hidden.mkdir(parents=True)
+    (done / "a.warc.gz").write_bytes(b"renamed before")
+    (hidden / "b.warc.gz").write_bytes(b"not yet")
+    pending = spark.createDataFrame([(f"{n}.warc.gz", f"{hidden}/{n}.warc.gz", 1, 14, "x", 1, 2) for n in "ab"], warc.FILES)
+    warc._commit(pending, str(done))
+    assert (done / "a.warc.gz").read_bytes() == b"renamed before" and (done / "b.warc.gz").read_bytes() == b"not yet"
+    assert {r.name for r in spark.read.parquet(f"{done}/manifest").collect()} == {"a.warc.gz", "b.warc.gz"}
+
+
+def test_archives_are_read_by_many_tasks(spark, tmp_path):
+    warc.write_archives(spark.createDataFrame(pages(), SCHEMA), str(tmp_path), shard_bytes=20_000, roll_bytes=2_000)
+    files = len(list(tmp_path.glob("*.warc.gz")))
+    back = warc.read_archives(spark, str(tmp_path))
+    assert files > 20 and back.select(F.spark_partition_id().alias("p")).distinct().count() > files // 2
