@@ -30,11 +30,13 @@ from ..operators.robustness import (
 )
 from ..plans.chain import chain_progress
 from ..plans.pairwise import pairwise_table
+from ..plans.pipeline import export_all_pairs, net_gains_by_year
 from ..plans.ranking import (
     NEED_WEIGHTS,
     area_capacity,
     complete_inputs,
     composite_inputs,
+    coverage_funnel,
     pillar_scores,
     priority_list,
     rank_entities,
@@ -45,33 +47,31 @@ from ..plans.ranking import (
 )
 from ..plans.reference import (
     REASON_FIELDS,
-    ReportYear,
     reference_order,
     reference_table,
     validity_crosstab,
     with_reasons,
 )
 from ..plans.scoring import score_timepoints, weights_at
-from ..plans.segments import build_segments
+from ..plans.segments import make_segment, present_chain
 from ..scales import Group, Instrument, Scale
 from ..session import materialise
 from .distributions import sql_validity
-from .registry import YEARS, query, r, rounded, sql_counts, sql_moments, sql_shares, table
-from .segments import sql_chain_ctes, sql_reason
+from .registry import query, r, rounded, scratch, sql_counts, sql_moments, sql_segments, sql_shares, table
+from .segments import report_years, sql_chain_ctes, sql_reason
 
 QUANTITY = Scale("quantity", ("1-10", "11-20", "21-30", "31-40", "41-50"))
 SUPPLY = Instrument("supply", QUANTITY, tuple(Group(f, s) for f in ("A", "N", "R") for s in ("F", "O")))
-SUPPLY_CHAINS = {y: ("BoSY", "EoSY") for y in YEARS}
-SUPPLY_POINTS = [f"{p} {y}" for y in YEARS for p in SUPPLY_CHAINS[y]]
-SUPPLY_SEGMENTS = build_segments(SUPPLY_CHAINS)
-NUMBER = {s.label: s.index + 1 for s in SUPPLY_SEGMENTS}
-POSITION = {p: i for i, p in enumerate(SUPPLY_POINTS)}
 SUPPLY_STRICT = 3
+RANKED_YEARS = ("1999", "2000")
 
 
-def supply_counts(spark, folder):
-    """Lines are counted under numbers for year and half-year; labels are written on the counts."""
+def supply_counts(spark, folder, year=None):
+    """Lines, of one year if given, are counted under numbers for year and half-year; labels are written on the counts."""
     lines = table(spark, folder, "lineitem")
+    if year is not None:
+        first, after = (F.lit(f"{int(year) + n}-01-01").cast(lines.schema["l_shipdate"].dataType) for n in (0, 1))
+        lines = lines.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < after))
     keys = [
         F.col("l_suppkey").alias("entity_id"),
         F.year("l_shipdate").alias("_year"),
@@ -80,22 +80,30 @@ def supply_counts(spark, folder):
         F.col("l_linestatus").alias("lang"),
     ]
     counts = records_to_counts(lines, keys, F.ceil(F.col("l_quantity") / 10), 5)
-    label = F.concat_ws(" ", F.when(F.col("_first_half"), "BoSY").otherwise("EoSY"), F.col("_year").cast("string"))
-    return counts.select("entity_id", label.alias("timepoint_label"), "grade", "lang", "counts")
+    counts = counts.withColumns({"school_year": F.col("_year").cast("string"), "period": F.when(F.col("_first_half"), "BoSY").otherwise("EoSY")})
+    label = F.concat_ws(" ", "period", "school_year").alias("timepoint_label")
+    return counts.select("entity_id", "school_year", "period", label, "grade", "lang", "counts")
 
 
-def supply_scores(spark, folder):
-    scored = score_timepoints(
-        supply_counts(spark, folder), SUPPLY, ["entity_id", "timepoint_label"], scoring="ordinal",
-        min_assessed=SUPPLY_STRICT,
-    )
+def supply_scores(counts):
+    scored = score_timepoints(counts, SUPPLY, ["entity_id", "timepoint_label"], scoring="ordinal", min_assessed=SUPPLY_STRICT)
     return scored.withColumnRenamed("derived_total", "total_assessed")
 
 
-def supply_progress(spark, folder):
-    return chain_progress(
-        supply_scores(spark, folder), "entity_id", SUPPLY_POINTS, SUPPLY_SEGMENTS, carry=REASON_FIELDS
-    )
+class SupplyChain:
+    """Counts, written once, and chain progress over the timepoints they hold."""
+
+    def __init__(self, spark, folder):
+        self.counts = materialise(supply_counts(spark, folder))
+        self.points, self.segments = present_chain(self.counts)
+        self.progress = chain_progress(supply_scores(self.counts), "entity_id", self.points, self.segments, carry=REASON_FIELDS)
+        self.number = {s.label: n for n, s in enumerate(self.segments, start=1)}
+
+    def position(self, point):
+        return self.points.index(point)
+
+    def gains(self):
+        return net_gains_by_year(self.counts, RANKED_YEARS)
 
 
 def crosswalk(spark, folder):
@@ -129,17 +137,8 @@ def located(spark, folder, inputs):
 
 
 def learning_inputs(spark, folder):
-    inputs = segment_inputs(
-        supply_progress(spark, folder), "entity_id", NUMBER["Learning_2000"], POSITION["EoSY 2000"]
-    )
-    return located(spark, folder, inputs)
-
-
-def two_year_inputs(spark, folder):
-    inputs = composite_inputs(
-        supply_progress(spark, folder), "entity_id", [NUMBER["Learning_1999"], NUMBER["Learning_2000"]],
-        POSITION["EoSY 2000"],
-    )
+    chain = SupplyChain(spark, folder)
+    inputs = segment_inputs(chain.progress, "entity_id", chain.number["Learning_2000"], chain.position("EoSY 2000"))
     return located(spark, folder, inputs)
 
 
@@ -160,6 +159,9 @@ def sql_pick(grade: str) -> str:
     return f"CASE WHEN {f} > 0 THEN {f} ELSE {o} END"
 
 
+SUPPLY_SEGMENTS = sql_segments(
+    "lineitem", "CAST(year(l_shipdate) AS VARCHAR)", "CASE WHEN month(l_shipdate) <= 6 THEN 'BoSY' ELSE 'EoSY' END"
+)
 SUPPLY_CHAIN = sql_chain_ctes(
     SUPPLY_MOMENTS, SUPPLY_FLAGS, SUPPLY_SEGMENTS, total=" + ".join(sql_pick(g) for g in "ANR")
 )
@@ -172,6 +174,13 @@ CAPACITY_SQL = """enrolled AS (SELECT s_nationkey AS area, CAST(count(*) AS DOUB
     FROM funds LEFT JOIN enrolled USING (area))"""
 
 
+GAIN_COLUMNS = [f"net_gain_{k}_{y}" for y in RANKED_YEARS for k in ("upper", "top")]
+GAINS_SQL = "gains AS (SELECT entity_id, " + ", ".join(
+    f"sum(CASE WHEN tp = 'EoSY {y}' THEN {cells} END) - sum(CASE WHEN tp = 'BoSY {y}' THEN {cells} END) AS net_gain_{k}_{y}"
+    for y in RANKED_YEARS for k, cells in (("upper", "c4 + c5"), ("top", "c5"))
+) + " FROM base GROUP BY entity_id)"
+
+
 def sql_inputs(segments: list[str], end: str) -> str:
     """CTE inputs: rounded ranking inputs of entities strict in all segments."""
     joins = " ".join(
@@ -288,11 +297,15 @@ def priority_ranking(spark, folder):
     return rounded(ranked.select("entity_id", "area_name", *RANK_COLUMNS, "priority_band"))
 
 
-@query("composite_ranking", f"""WITH {TWO_YEAR_SQL}, {RANKED_SQL}
-SELECT entity_id, area_name, {RANK_OUT}, {BAND_SQL} FROM ranked""")
+@query("composite_ranking", f"""WITH {TWO_YEAR_SQL}, {RANKED_SQL}, {GAINS_SQL}
+SELECT entity_id, area_name, {RANK_OUT}, {BAND_SQL}, {', '.join(GAIN_COLUMNS)} FROM ranked LEFT JOIN gains USING (entity_id)""")
 def composite_ranking(spark, folder):
-    ranked = rank_entities(two_year_inputs(spark, folder), "entity_id")
-    return rounded(ranked.select("entity_id", "area_name", *RANK_COLUMNS, "priority_band"))
+    """Ranking over two years, with the net gains of both."""
+    chain = SupplyChain(spark, folder)
+    numbers = [chain.number[f"Learning_{y}"] for y in RANKED_YEARS]
+    inputs = composite_inputs(chain.progress, "entity_id", numbers, chain.position("EoSY 2000"))
+    ranked = rank_entities(located(spark, folder, inputs), "entity_id").join(chain.gains(), "entity_id", "left")
+    return rounded(ranked.select("entity_id", "area_name", *RANK_COLUMNS, "priority_band", *GAIN_COLUMNS))
 
 
 @query("ranking_summary", f"""WITH {LEARNING_SQL}
@@ -532,16 +545,12 @@ def pillar_summary(spark, folder):
     return rounded(totals.withColumn("median", middle.scalar()))
 
 
-REPORT = (
-    ReportYear("SY 1999", "1999", "BoSY 1999", "EoSY 1999", NUMBER["Learning_1999"]),
-    ReportYear("SY 2000", "2000", "BoSY 2000", "EoSY 2000", NUMBER["Learning_2000"]),
-)
-REFERENCE_SQL = f"""{SUPPLY_CHAIN}, {CAPACITY_SQL}, {COHORT_SQL},
-r1 AS ({sql_reason('SY 1999', 'BoSY', 'BoSY 1999', 'EoSY', 'EoSY 1999', NUMBER['Learning_1999'] - 1, SUPPLY_STRICT)}),
-r2 AS ({sql_reason('SY 2000', 'BoSY', 'BoSY 2000', 'EoSY', 'EoSY 2000', NUMBER['Learning_2000'] - 1, SUPPLY_STRICT)}),
+REFERENCE_SQL = f"""{SUPPLY_CHAIN}, {CAPACITY_SQL}, {COHORT_SQL}, {GAINS_SQL},
+r1 AS ({sql_reason('1999', SUPPLY_STRICT)}),
+r2 AS ({sql_reason('2000', SUPPLY_STRICT)}),
 y1 AS (SELECT * FROM chain WHERE segment_label = 'Learning_1999'),
 y2 AS (SELECT * FROM chain WHERE segment_label = 'Learning_2000'),
-reference AS (SELECT y1.entity_id, s_name AS name, n_name AS area_name, fund_per_learner,
+reference AS (SELECT y1.entity_id, s_name AS name, n_name AS area_name, fund_per_learner, {', '.join(GAIN_COLUMNS)},
   CASE WHEN y1.valid_strict THEN 'Yes' ELSE 'No' END AS valid_1999,
   CASE WHEN y2.valid_strict THEN 'Yes' ELSE 'No' END AS valid_2000,
   CASE WHEN y1.valid_strict AND y2.valid_strict THEN 'Yes' ELSE 'No' END AS valid_composite,
@@ -549,17 +558,19 @@ reference AS (SELECT y1.entity_id, s_name AS name, n_name AS area_name, fund_per
   y1.delta AS delta_mean_1999, y2.delta AS delta_mean_2000,
   concat_ws(' | ', r1.reason, r2.reason) AS exclusion_reason
   FROM y1 JOIN y2 USING (entity_id) JOIN r1 USING (entity_id) JOIN r2 USING (entity_id)
-  LEFT JOIN cohort ON cohort.entity_id = y1.entity_id
+  LEFT JOIN cohort ON cohort.entity_id = y1.entity_id LEFT JOIN gains ON gains.entity_id = y1.entity_id
   LEFT JOIN supplier ON s_suppkey = y1.entity_id LEFT JOIN nation ON n_nationkey = s_nationkey
   LEFT JOIN capacity ON capacity.area = s_nationkey)"""
 
 
 def supply_reference(spark, folder):
-    progress = with_reasons(supply_progress(spark, folder), REPORT, SUPPLY_POINTS, min_assessed=SUPPLY_STRICT)
+    chain = SupplyChain(spark, folder)
+    report = report_years(RANKED_YEARS, chain.segments)
+    progress = with_reasons(chain.progress, report, chain.points, min_assessed=SUPPLY_STRICT)
     names = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.col("s_name").alias("name"))
-    named = located(spark, folder, progress).join(names, "entity_id", "left")
+    named = located(spark, folder, progress).join(names, "entity_id", "left").join(chain.gains(), "entity_id", "left")
     return reference_table(
-        named, "entity_id", REPORT, cohort(spark, folder), ["name", "area_name", "fund_per_learner"]
+        named, "entity_id", report, cohort(spark, folder), ["name", "area_name", "fund_per_learner", *GAIN_COLUMNS]
     )
 
 
@@ -577,23 +588,21 @@ def validity_crosstab_query(spark, folder):
     return validity_crosstab(supply_reference(spark, folder), "valid_1999", "valid_2000")
 
 
-@query("coverage_funnel", f"""WITH {SUPPLY_CHAIN}
-SELECT segment_label, count(*) AS total, count(*) FILTER (WHERE valid) AS valid,
-  count(*) FILTER (WHERE valid_strict) AS strict, count(delta) AS scored FROM chain GROUP BY segment_label""")
-def coverage_funnel(spark, folder):
-    """From all entities to valid, strict and scored ones, per segment."""
-    from ..plans.chain import chain_long
-
-    long = chain_long(supply_progress(spark, folder), "entity_id", SUPPLY_SEGMENTS)
-    return long.groupBy("segment_label").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if("valid").alias("valid"),
-        F.count_if("valid_strict").alias("strict"),
-        F.count("delta").alias("scored"),
-    )
+@query("coverage_funnel", f"""WITH {SUPPLY_CHAIN}, {CAPACITY_SQL}
+SELECT chain.segment_label, count(*) AS total, count(*) FILTER (WHERE chain.valid) AS valid,
+  count(*) FILTER (WHERE chain.valid_strict) AS strict, count(delta) AS scored,
+  count(*) FILTER (WHERE chain.valid_strict AND e.perf IS NOT NULL AND delta IS NOT NULL AND e.total IS NOT NULL
+    AND fund_per_learner IS NOT NULL) AS ranked
+FROM chain JOIN segs USING (seg_idx) LEFT JOIN tf e ON e.entity_id = chain.entity_id AND e.tp = tp1
+LEFT JOIN supplier ON s_suppkey = chain.entity_id LEFT JOIN capacity ON area = s_nationkey
+GROUP BY chain.segment_label""")
+def coverage_funnel_query(spark, folder):
+    """From all entities to valid, strict, scored and ranked ones, per segment."""
+    chain = SupplyChain(spark, folder)
+    return coverage_funnel(located(spark, folder, chain.progress), chain.points, chain.segments)
 
 
-PAIR = SUPPLY_SEGMENTS[NUMBER["Learning_2000"] - 1]
+PAIR = make_segment(0, ("2000", "BoSY"), ("2000", "EoSY"))
 PAIR_WEIGHTS = {"1-10": 0, "11-20": 13, "21-30": 42, "31-40": 77, "41-50": 100}
 PAIR_ORDER = (2, 3, 1, 0, 4)
 
@@ -627,12 +636,53 @@ SELECT f.entity_id, va AS "Has {PAIR.start} Data", vb AS "Has {PAIR.end} Data",
   a.* EXCLUDE (entity_id), b.* EXCLUDE (entity_id)
 FROM f LEFT JOIN a USING (entity_id) LEFT JOIN b USING (entity_id)""")
 def pairwise_wide(spark, folder):
-    return rounded(pairwise_table(
-        supply_counts(spark, folder), supply_scores(spark, folder), SUPPLY, PAIR, weights=PAIR_WEIGHTS
-    ))
+    counts = materialise(supply_counts(spark, folder, year="2000"))
+    return rounded(pairwise_table(counts, supply_scores(counts), SUPPLY, PAIR, weights=PAIR_WEIGHTS))
 
 
-@query("pca_weights")
+@query("pairwise_export", f"""WITH {SUPPLY_CHAIN},
+a AS (SELECT seg_idx, entity_id, {sql_pair_side('shares', 'From')} FROM segs JOIN shares ON tp = tp0 GROUP BY seg_idx, entity_id),
+b AS (SELECT seg_idx, entity_id, {sql_pair_side('shares', 'To')} FROM segs JOIN shares ON tp = tp1 GROUP BY seg_idx, entity_id),
+ta AS (SELECT * FROM segs JOIN tf ON tp = tp0), tb AS (SELECT * FROM segs JOIN tf ON tp = tp1),
+k AS (SELECT seg_idx, entity_id FROM ta UNION SELECT seg_idx, entity_id FROM tb),
+f AS (SELECT seg_idx, entity_id, coalesce(ta.valid, false) AS va, coalesce(tb.valid, false) AS vb, ta.perf AS pa, tb.perf AS pb,
+  coalesce(abs(tb.total - ta.total) / nullif(ta.total, 0) > 0.25, true) AS mm
+  FROM k LEFT JOIN ta USING (seg_idx, entity_id) LEFT JOIN tb USING (seg_idx, entity_id))
+SELECT segs.segment_label, segs.tp_from, segs.tp_to, f.entity_id, va AS "Has From Data", vb AS "Has To Data", mm AS "Student Count Mismatch",
+  va AND vb AND NOT mm AS "Valid for Progress Analysis", {r('pa', '"From Performance"')}, {r('pb', '"To Performance"')},
+  {r('CASE WHEN va AND vb AND NOT mm THEN pb - pa END', '"Progress Score"')},
+  a.* EXCLUDE (seg_idx, entity_id), b.* EXCLUDE (seg_idx, entity_id)
+FROM f JOIN segs USING (seg_idx) LEFT JOIN a USING (seg_idx, entity_id) LEFT JOIN b USING (seg_idx, entity_id)""")
+def pairwise_export(spark, folder):
+    """Every segment's pairwise table as CSV, written in one job and read back by its label."""
+    counts = materialise(supply_counts(spark, folder))
+    scores = supply_scores(counts)
+    path, schema = export_all_pairs(counts, scores, SUPPLY, scratch(spark), "progress", weights=PAIR_WEIGHTS, metadata=())
+    return rounded(spark.read.option("header", True).schema(schema).csv(path))
+
+
+PCA_GROUPS = ", ".join(f"('{g.grade}', '{g.lang}', {i * 5})" for i, g in enumerate(SUPPLY.groups))
+PCA_LEVELS = ", ".join(f"({i}, '{level}')" for i, level in enumerate(QUANTITY.levels))
+
+
+@query("pca_weights", f"""
+WITH RECURSIVE {SUPPLY_MOMENTS.rsplit(', moments AS', 1)[0]},
+cells AS (SELECT entity_id, tp, first + k - 1 AS c, [p1, p2, p3, p4, p5][k] AS x
+  FROM shares JOIN (VALUES {PCA_GROUPS}) g(grade, lang, first) USING (grade, lang), range(1, 6) t(k)),
+complete AS (SELECT entity_id, tp FROM cells GROUP BY ALL HAVING count(x) = 30),
+z AS (SELECT entity_id, tp, c, (x - avg(x) OVER w) / stddev_samp(x) OVER w AS z FROM cells JOIN complete USING (entity_id, tp)
+  WINDOW w AS (PARTITION BY c)),
+pairs AS (SELECT a.c AS i, b.c AS j, sum(a.z * b.z) AS v FROM z a JOIN z b USING (entity_id, tp) GROUP BY 1, 2),
+matrix AS (SELECT list(line ORDER BY i) AS m FROM (SELECT i, list(v ORDER BY j) AS line FROM pairs GROUP BY i)),
+power AS (SELECT 0 AS step, [sin(i + 1.0) for i in range(30)] AS v
+  UNION ALL
+  SELECT step + 1, [x / sqrt(list_dot_product(y, y)) for x in y]
+  FROM (SELECT step, list_transform(m, lambda line: list_dot_product(line, v)) AS y FROM power, matrix WHERE step < 3000)),
+found AS (SELECT unnest(v) AS loading, generate_subscripts(v, 1) - 1 AS c FROM power WHERE step = 3000),
+averaged AS (SELECT c % 5 AS k, avg(loading) AS x FROM found GROUP BY 1),
+signed AS (SELECT k, x * CASE WHEN (SELECT x FROM averaged WHERE k = 4) < 0 THEN -1 ELSE 1 END AS x FROM averaged)
+SELECT level, CAST(round(100 * (x - min(x) OVER ()) / (max(x) OVER () - min(x) OVER ())) AS INTEGER) AS weight, {r('x', 'loading')}
+FROM signed JOIN (VALUES {PCA_LEVELS}) l(k, level) USING (k)""")
 def pca_weights(spark, folder):
     """Level weights from the first principal component over all suppliers and timepoints."""
     counts = supply_counts(spark, folder)

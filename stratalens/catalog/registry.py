@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.counts import records_to_counts, sum_counts
 from ..scales import Group, Instrument, Scale
+from ..session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -33,6 +35,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder next to the checkpoints, which all executors can reach."""
+    return f"{ensure_checkpoint_dir(spark)}/stratalens-{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -57,8 +64,6 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 STATUSES = ("F", "O", "P")
 SALES = Instrument("sales", PRIORITY, tuple(Group(s) for s in SEGMENTS))
 SALES_BY_STATUS = Instrument("sales_by_status", PRIORITY, tuple(Group(s, o) for s in SEGMENTS for o in STATUSES))
-YEARS = ("1995", "1996", "1997", "1998", "1999", "2000", "2001")
-CHAINS = {y: ("BoSY", "EoSY") for y in YEARS}
 
 
 def priority_level() -> Column:
@@ -77,6 +82,12 @@ def order_period() -> Column:
     return F.when(F.month("o_orderdate") <= 6, "BoSY").otherwise("EoSY")
 
 
+def line_timepoints(spark, folder) -> DataFrame:
+    """(school_year, period) of every order line, by its ship date."""
+    period = F.when(F.month("l_shipdate") <= 6, "BoSY").otherwise("EoSY")
+    return table(spark, folder, "lineitem").select(F.year("l_shipdate").cast("string").alias("school_year"), period.alias("period"))
+
+
 def customer_counts(spark, folder, keys: dict[str, Column], level: Column | None = None, size: int = 5) -> DataFrame:
     """Order counts per customer and further keys of the order."""
     orders = table(spark, folder, "orders")
@@ -136,6 +147,40 @@ def sql_shares(source: str, size: int = 5) -> str:
     return f"SELECT *, {cells} FROM (SELECT *, {total} AS s FROM {source})"
 
 
+def sql_segments(source: str, year: str, period: str) -> str:
+    """CTEs up to ``segs``: all segments of the timepoints that a table holds."""
+    rank = "CASE p WHEN 'BoSY' THEN 0 WHEN 'MoSY' THEN 1 ELSE 2 END"
+    return f"""tps AS (SELECT DISTINCT {year} AS y, {period} AS p FROM {source}),
+    placed AS (SELECT y, p, row_number() OVER w AS i, lead(p) OVER w AS following, count(*) OVER (PARTITION BY y) AS n,
+      last_value(p) OVER (PARTITION BY y ORDER BY {rank} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS final
+      FROM tps WINDOW w AS (PARTITION BY y ORDER BY {rank})),
+    pairs AS (SELECT y AS y0, p AS p0, y AS y1, following AS p1, 0 AS section, i FROM placed WHERE following IS NOT NULL
+      UNION ALL SELECT y, p, y, final, 0, 99 FROM placed WHERE i = 1 AND n > 2
+      UNION ALL SELECT min(y), p, max(y), p, CASE p WHEN 'BoSY' THEN 1 ELSE 2 END, 0 FROM tps WHERE p IN ('BoSY', 'EoSY')
+        GROUP BY p HAVING min(y) <> max(y)
+      UNION ALL SELECT min(y) FILTER (WHERE p = 'BoSY'), 'BoSY', max(y) FILTER (WHERE p = 'EoSY'), 'EoSY', 3, 0 FROM tps
+        HAVING min(y) FILTER (WHERE p = 'BoSY') <> max(y) FILTER (WHERE p = 'EoSY')),
+    segs AS (SELECT CAST(row_number() OVER (ORDER BY section, y0, i) - 1 AS INTEGER) AS seg_idx,
+      CASE WHEN y0 = y1 AND p0 = 'BoSY' AND p1 = 'EoSY' THEN 'Learning_' || y0 WHEN y0 = y1 THEN p0 || p1 || '_' || y0
+        WHEN p0 = p1 THEN 'YoY_' || p0 || '_' || y0 || '_to_' || y1 ELSE 'EndToEnd_' || y0 || '_to_' || y1 END AS segment_label,
+      CASE WHEN y0 = y1 THEN 'within_year' WHEN p0 = p1 THEN 'year_over_year' ELSE 'end_to_end' END AS segment_kind,
+      p0 || ' ' || y0 AS tp0, p1 || ' ' || y1 AS tp1, p0 || ' ' || y0 AS tp_from, p1 || ' ' || y1 AS tp_to FROM pairs)"""
+
+
+def sql_learning(source: str, year: str, period: str) -> str:
+    """CTE ``segs``: begin to end of each year that has both."""
+    return f"""segs AS (SELECT CAST(row_number() OVER (ORDER BY y) - 1 AS INTEGER) AS seg_idx, 'Learning_' || y AS segment_label,
+      'within_year' AS segment_kind, 'BoSY ' || y AS tp0, 'EoSY ' || y AS tp1, 'BoSY ' || y AS tp_from, 'EoSY ' || y AS tp_to
+      FROM (SELECT {year} AS y FROM {source} GROUP BY 1 HAVING count(DISTINCT {period}) = 2))"""
+
+
+def sql_steps(source: str, point: str) -> str:
+    """CTE ``segs``: neighbours of the distinct values of a column."""
+    return f"""segs AS (SELECT CAST(row_number() OVER (ORDER BY y) - 1 AS INTEGER) AS seg_idx, 'Step_' || y || '_to_' || n AS segment_label,
+      'step' AS segment_kind, y AS tp0, n AS tp1, y AS tp_from, n AS tp_to
+      FROM (SELECT y, lead(y) OVER (ORDER BY y) AS n FROM (SELECT DISTINCT {point} AS y FROM {source})) WHERE n IS NOT NULL)"""
+
+
 def sql_moments(source: str, size: int = 5, null_all: bool = False) -> str:
     """Moments of the shares in ``source``, one row per group."""
     n = range(1, size + 1)

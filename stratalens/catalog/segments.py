@@ -13,17 +13,16 @@ from ..plans.chain import chain_long, chain_progress, segment_summary
 from ..plans.gold import begin_depth, begin_total, segment_table, timepoint_table, year_over_year
 from ..plans.reference import REASON_FIELDS, ReportYear, with_reasons
 from ..plans.scoring import score_timepoints
-from ..plans.segments import build_segments, consecutive_segments, learning_segments, make_segment
+from ..plans.segments import make_segment, present_chain, present_learning, present_segments, present_steps, present_timepoints
 from ..scales import READING_7, Group, Instrument, Scale
+from ..session import materialise
 from .distributions import STRICT_AT, VALIDITY_SQL
 from .registry import (
-    CHAINS,
     SALES,
     SQL_PERIOD,
     SQL_WEEKDAY,
     SQL_YEAR,
     STATUSES,
-    YEARS,
     customer_counts,
     order_period,
     order_year,
@@ -33,15 +32,15 @@ from .registry import (
     sales_counts,
     sql_counts,
     sql_emd,
+    sql_learning,
     sql_moments,
+    sql_segments,
     sql_shares,
+    sql_steps,
     table,
     weekday_level,
 )
 
-POINTS = [f"{p} {y}" for y in YEARS for p in CHAINS[y]]
-SEGMENT_LIST = build_segments(CHAINS)
-
 
 def sql_segment_rows(segments) -> str:
     rows = ", ".join(
@@ -76,33 +75,40 @@ TP = f"concat_ws(' ', {SQL_PERIOD}, {SQL_YEAR})"
 SALES_TP = {"entity_id": "CAST(c_nationkey AS BIGINT)", "tp": TP, "grade": "c_mktsegment"}
 SALES_MOMENTS = f"base AS ({sql_counts(SALES_TP)}), shares AS ({sql_shares('base')}), moments AS ({sql_moments('shares')})"
 
-STEPS = consecutive_segments(YEARS)
+ORDER_SEGMENTS = sql_segments("orders", SQL_YEAR, SQL_PERIOD)
+STEPS = sql_steps("orders", SQL_YEAR)
 CUSTOMER_YEARS = {"entity_id": "o_custkey", "tp": SQL_YEAR, "grade": "o_orderstatus"}
 
 
+def step_changes(spark, folder, keep):
+    """Changes of customers between neighbouring years of those that orders have."""
+    counts = materialise(customer_counts(spark, folder, {"yr": order_year(), "grade": F.col("o_orderstatus")}))
+    steps = present_steps(counts.select("yr"))
+    return segment_changes(counts, ["entity_id"], ["grade"], "yr", steps, 5, keep=keep)
+
+
 @query("emd_segments", f"""
 WITH base AS ({sql_counts(CUSTOMER_YEARS, source='orders')}), shares AS ({sql_shares('base')}),
-moments AS ({sql_moments('shares')}), segs AS ({sql_segment_rows(STEPS)}), {sql_changes(5, 'both')} {CHANGES_OUT}""")
+moments AS ({sql_moments('shares')}), {STEPS}, {sql_changes(5, 'both')} {CHANGES_OUT}""")
 def emd_segments(spark, folder):
     """Neighbouring years, customers present in both."""
-    counts = customer_counts(spark, folder, {"yr": order_year(), "grade": F.col("o_orderstatus")})
-    return rounded(segment_changes(counts, ["entity_id"], ["grade"], "yr", STEPS, 5, keep="both"))
+    return rounded(step_changes(spark, folder, "both"))
 
 
 @query("segment_deltas", f"""
-WITH {SALES_MOMENTS}, segs AS ({sql_segment_rows(SEGMENT_LIST)}), {sql_changes(5)} {CHANGES_OUT}""")
+WITH {SALES_MOMENTS}, {ORDER_SEGMENTS}, {sql_changes(5)} {CHANGES_OUT}""")
 def segment_deltas(spark, folder):
-    """All segments of the chains: within years, year over year, end to end."""
-    return rounded(segment_table(sales_counts(spark, folder), SALES, SEGMENT_LIST))
+    """All segments of the timepoints present: within years, year over year, end to end."""
+    counts = materialise(sales_counts(spark, folder))
+    return rounded(segment_table(counts, SALES, present_segments(present_timepoints(counts))))
 
 
 @query("segment_deltas_start_side", f"""
 WITH base AS ({sql_counts(CUSTOMER_YEARS, source='orders')}), shares AS ({sql_shares('base')}),
-moments AS ({sql_moments('shares')}), segs AS ({sql_segment_rows(STEPS)}), {sql_changes(5)} {CHANGES_OUT}""")
+moments AS ({sql_moments('shares')}), {STEPS}, {sql_changes(5)} {CHANGES_OUT}""")
 def segment_deltas_start_side(spark, folder):
     """Customers present at the start keep their row when the end is missing."""
-    counts = customer_counts(spark, folder, {"yr": order_year(), "grade": F.col("o_orderstatus")})
-    return rounded(segment_changes(counts, ["entity_id"], ["grade"], "yr", STEPS, 5))
+    return rounded(step_changes(spark, folder, "start"))
 
 
 WEEKDAYS = Instrument("weekdays", READING_7, tuple(Group(s) for s in STATUSES), null_as_zero=True, zero_sd="null_all")
@@ -136,8 +142,8 @@ def yoy_inner(spark, folder):
 
 FLAGS = Scale("return_flag", ("A", "N", "R"))
 RETURNS = Instrument("returns", FLAGS, (Group("F"), Group("O")), null_as_zero=True, zero_sd="null_all")
-LEARNING = learning_segments(CHAINS)
 SHIP_YEAR, SHIP_PERIOD = "CAST(year(l_shipdate) AS VARCHAR)", "CASE WHEN month(l_shipdate) <= 6 THEN 'BoSY' ELSE 'EoSY' END"
+LEARNING = sql_learning("lineitem", SHIP_YEAR, SHIP_PERIOD)
 RETURN_LEVEL = "(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END)"
 RETURN_TP = {"entity_id": "l_suppkey", "tp": f"concat_ws(' ', {SHIP_PERIOD}, {SHIP_YEAR})", "grade": "l_linestatus"}
 
@@ -158,11 +164,12 @@ def return_counts(spark, folder):
 
 @query("chain_segments_3level", f"""
 WITH base AS ({sql_counts(RETURN_TP, RETURN_LEVEL, 3, 'lineitem')}), shares AS ({sql_shares('base', 3)}),
-moments AS ({sql_moments('shares', 3, null_all=True)}), segs AS ({sql_segment_rows(LEARNING)}), {sql_changes(3)}
+moments AS ({sql_moments('shares', 3, null_all=True)}), {LEARNING}, {sql_changes(3)}
 {CHANGES_OUT}""")
 def chain_segments_3level(spark, folder):
     """Begin-to-end segments of each year on a 3-level scale."""
-    return rounded(segment_table(return_counts(spark, folder), RETURNS, LEARNING))
+    counts = materialise(return_counts(spark, folder))
+    return rounded(segment_table(counts, RETURNS, present_learning(present_timepoints(counts))))
 
 
 MOMENT_NAMES = ("ordinal_mean", "ordinal_sd", "ordinal_skew", "ordinal_kurt", "bimodality_coef")
@@ -201,18 +208,18 @@ def timepoints_depth(spark, folder):
     return rounded(begin_depth(counts, keys).join(begin_total(counts, STATUSES, None, keys), keys).join(by_column, keys))
 
 
-def chain_inputs(spark, folder):
+def chain_inputs(counts):
     """Scores, flags and totals of every timepoint, as chain progress takes them."""
-    counts = sales_counts(spark, folder).withColumn("timepoint_label", F.concat_ws(" ", "period", "school_year"))
+    counts = counts.withColumn("timepoint_label", F.concat_ws(" ", "period", "school_year"))
     scored = score_timepoints(
         counts, SALES, ["entity_id", "timepoint_label"], scoring="ordinal", min_assessed=STRICT_AT
     )
     return scored.withColumnRenamed("derived_total", "total_assessed")
 
 
-def sql_chain_ctes(moments: str, flags: str, segments, total: str = "sum(s)", threshold: float = 0.25) -> str:
-    """CTE chain: one row per entity and segment; ``tf`` has scores and flags per timepoint."""
-    return f"""{moments}, segs AS ({sql_segment_rows(segments)}),
+def sql_chain_ctes(moments: str, flags: str, segments: str, total: str = "sum(s)", threshold: float = 0.25) -> str:
+    """CTE chain: one row per entity and segment of the CTEs ``segments``; ``tf`` has scores and flags per timepoint."""
+    return f"""{moments}, {segments},
     flags AS ({flags}),
     t AS (SELECT entity_id, tp, avg(ordinal_mean) AS perf, avg(ordinal_sd) AS sd, avg(ordinal_skew) AS skew,
       {total} AS total FROM moments GROUP BY entity_id, tp),
@@ -233,20 +240,31 @@ def sql_chain_ctes(moments: str, flags: str, segments, total: str = "sum(s)", th
 
 def sql_chain() -> str:
     flags = VALIDITY_SQL.replace("entity_id, school_year, period", "entity_id, tp")
-    return sql_chain_ctes(SALES_MOMENTS, flags, SEGMENT_LIST)
+    return sql_chain_ctes(SALES_MOMENTS, flags, ORDER_SEGMENTS)
+
+
+def chain_of(spark, folder):
+    """Chain progress over the timepoints present, those timepoints, and their segments."""
+    counts = materialise(sales_counts(spark, folder))
+    points, segments = present_chain(counts)
+    progress = chain_progress(chain_inputs(counts), "entity_id", points, segments, carry=REASON_FIELDS)
+    return progress, points, segments
 
 
 def progress_of(spark, folder):
-    return chain_progress(
-        chain_inputs(spark, folder), "entity_id", POINTS, SEGMENT_LIST, carry=REASON_FIELDS
-    )
+    return chain_of(spark, folder)[0]
+
+
+def long_chain(spark, folder):
+    progress, _, segments = chain_of(spark, folder)
+    return chain_long(progress, "entity_id", segments)
 
 
 @query("chain_progress", f"""
 WITH {sql_chain()} SELECT entity_id, seg_idx, segment_label, count_stable, valid, valid_strict,
   {r('delta', 'delta')}, {r('sd_delta', 'sd_delta')}, {r('skew_delta', 'skew_delta')} FROM chain""")
 def chain_progress_query(spark, folder):
-    return rounded(chain_long(progress_of(spark, folder), "entity_id", SEGMENT_LIST))
+    return rounded(long_chain(spark, folder))
 
 
 @query("chain_composite", f"""
@@ -268,7 +286,7 @@ WITH {sql_chain()} SELECT seg_idx, segment_label, count(*) AS entities, count(*)
   count(*) FILTER (WHERE valid_strict) AS n_strict, {r('avg(delta)', 'mean_delta')}
 FROM chain GROUP BY seg_idx, segment_label""")
 def segment_summary_query(spark, folder):
-    return rounded(segment_summary(chain_long(progress_of(spark, folder), "entity_id", SEGMENT_LIST)))
+    return rounded(segment_summary(long_chain(spark, folder)))
 
 
 @query("first_known_metadata", """
@@ -308,10 +326,10 @@ def segment_histogram(spark, folder):
     return progress_of(spark, folder).groupBy("segments_available").agg(F.count(F.lit(1)).alias("entities"))
 
 
-REASON_YEARS = (
-    ReportYear("SY 1999", "1999", "BoSY 1999", "EoSY 1999", 5),
-    ReportYear("SY 2001", "2001", "BoSY 2001", "EoSY 2001", 7),
-)
+def report_years(years, segments):
+    """Report years with the numbers that their segments have among those present."""
+    numbers = {s.label: n for n, s in enumerate(segments, start=1)}
+    return [ReportYear(f"SY {y}", y, f"BoSY {y}", f"EoSY {y}", numbers[f"Learning_{y}"]) for y in years]
 
 
 def sql_tags(alias: str, label: str, min_assessed: int) -> str:
@@ -325,42 +343,38 @@ def sql_tags(alias: str, label: str, min_assessed: int) -> str:
         THEN 'min ' || {alias}.min_group_assessed || ' assessed/group at {label}' END"""
 
 
-def sql_reason(heading: str, label0: str, tp0: str, label1: str, tp1: str, index: int, at: int) -> str:
+def sql_reason(year: str, at: int) -> str:
+    label0, tp0, label1, tp1, heading = "BoSY", f"BoSY {year}", "EoSY", f"EoSY {year}", f"SY {year}"
     tags = f"{sql_tags('a', label0, at)}, {sql_tags('b', label1, at)}"
     return f"""SELECT c.entity_id, CASE WHEN NOT c.valid_strict THEN '{heading}: ' || coalesce(nullif(concat_ws('; ', {tags},
       CASE WHEN NOT c.count_stable AND a.entity_id IS NOT NULL AND b.entity_id IS NOT NULL AND a.valid AND b.valid
         THEN 'unstable count (>25% change)' END), ''), 'failed strict validation') END AS reason
-      FROM (SELECT * FROM chain WHERE seg_idx = {index}) c
+      FROM (SELECT * FROM chain WHERE segment_label = 'Learning_{year}') c
       LEFT JOIN (SELECT * FROM flags WHERE tp = '{tp0}') a ON a.entity_id = c.entity_id
       LEFT JOIN (SELECT * FROM flags WHERE tp = '{tp1}') b ON b.entity_id = c.entity_id"""
 
 
-REASON_SQL = f"""{sql_chain()}, r1 AS ({sql_reason('SY 1999', 'BoSY', 'BoSY 1999', 'EoSY', 'EoSY 1999', 4, STRICT_AT)}),
-r2 AS ({sql_reason('SY 2001', 'BoSY', 'BoSY 2001', 'EoSY', 'EoSY 2001', 6, STRICT_AT)}),
+REASON_SQL = f"""{sql_chain()}, r1 AS ({sql_reason('1999', STRICT_AT)}),
+r2 AS ({sql_reason('2001', STRICT_AT)}),
 reasons AS (SELECT entity_id, concat_ws(' | ', r1.reason, r2.reason) AS exclusion_reason FROM r1 JOIN r2 USING (entity_id))"""
 
 
 @query("exclusion_reason", f"WITH {REASON_SQL} SELECT * FROM reasons")
 def exclusion_reason_query(spark, folder):
-    progress = with_reasons(progress_of(spark, folder), REASON_YEARS, POINTS, min_assessed=STRICT_AT)
+    progress, points, segments = chain_of(spark, folder)
+    progress = with_reasons(progress, report_years(("1999", "2001"), segments), points, min_assessed=STRICT_AT)
     return progress.select("entity_id", "exclusion_reason")
 
 
 @query("hidden_reshuffle", f"""
 WITH base AS ({sql_counts(CUSTOMER_YEARS, source='orders')}), shares AS ({sql_shares('base')}),
-moments AS ({sql_moments('shares')}), segs AS ({sql_segment_rows(STEPS)}), {sql_changes(5, 'both')},
+moments AS ({sql_moments('shares')}), {STEPS}, {sql_changes(5, 'both')},
 q AS (SELECT seg_idx, quantile_cont(emd_mean, 0.75) AS q75 FROM changes GROUP BY seg_idx)
 SELECT entity_id, seg_idx, {r('delta_mean', 'delta_mean')}, {r('emd_mean', 'emd_mean')}
 FROM changes JOIN q USING (seg_idx) WHERE abs(delta_mean) < 0.1 AND emd_mean > q75""")
 def hidden_reshuffle(spark, folder):
     """Entities whose mean hardly moves although their distribution does."""
-    from ..session import materialise
-
-    counts = customer_counts(spark, folder, {"yr": order_year(), "grade": F.col("o_orderstatus")})
-    changes = materialise(
-        segment_changes(counts, ["entity_id"], ["grade"], "yr", STEPS, 5, keep="both")
-        .select("entity_id", "seg_idx", "delta_mean", "emd_mean")
-    )
+    changes = materialise(step_changes(spark, folder, "both").select("entity_id", "seg_idx", "delta_mean", "emd_mean"))
     limits = exact_quantiles(changes, "emd_mean", [0.75], ["seg_idx"])
     out = changes.join(F.broadcast(limits.select("seg_idx", "quantile")), "seg_idx")
     return rounded(
@@ -370,12 +384,11 @@ def hidden_reshuffle(spark, folder):
 
 @query("delta_distance_correlation", f"""
 WITH base AS ({sql_counts(CUSTOMER_YEARS, source='orders')}), shares AS ({sql_shares('base')}),
-moments AS ({sql_moments('shares')}), segs AS ({sql_segment_rows(STEPS)}), {sql_changes(5, 'both')}
+moments AS ({sql_moments('shares')}), {STEPS}, {sql_changes(5, 'both')}
 SELECT seg_idx, {r('corr(delta_mean, emd_mean)', 'correlation')}, {r('avg(emd_mean)', 'mean_emd')},
   {r('stddev_samp(emd_mean)', 'sd_emd')} FROM changes GROUP BY seg_idx""")
 def delta_distance_correlation(spark, folder):
-    counts = customer_counts(spark, folder, {"yr": order_year(), "grade": F.col("o_orderstatus")})
-    changes = segment_changes(counts, ["entity_id"], ["grade"], "yr", STEPS, 5, keep="both")
+    changes = step_changes(spark, folder, "both")
     return rounded(changes.groupBy("seg_idx").agg(
         F.corr("delta_mean", "emd_mean").alias("correlation"),
         F.avg("emd_mean").alias("mean_emd"),

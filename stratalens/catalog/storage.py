@@ -2,33 +2,36 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions.distribution import levels
 from ..operators.counts import long_to_wide, records_to_counts
+from ..plans import pipeline
 from ..scales import EARLY_READING, MATH_5, READING_5, READING_7, mathematics, upper_reading
-from ..session import ensure_checkpoint_dir, materialise
+from ..session import materialise
 from ..sources import bronze, discovery, lake
 from .registry import (
     SQL_WEEKDAY,
     SQL_YEAR,
-    YEARS,
     customer_counts,
+    line_timepoints,
     order_period,
+    order_year,
+    priority_level,
     query,
+    r,
+    rounded,
     sales_counts,
+    scratch,
     sql_counts,
+    sql_learning,
+    sql_moments,
+    sql_shares,
     table,
     weekday_level,
 )
 from .rankings import SUPPLY_LEVEL
-
-
-def scratch(spark) -> str:
-    """A new folder next to the checkpoints, which all executors can reach."""
-    return f"{ensure_checkpoint_dir(spark)}/stratalens-{uuid.uuid4().hex}"
+from .segments import CHANGES_OUT, sql_changes
 
 
 def number_text(column):
@@ -47,8 +50,10 @@ LABEL_CASE = "CASE " + " ".join(f"WHEN l_returnflag = '{a}' AND l_linestatus = '
 SCHOOL_YEAR_SQL = "year(l_shipdate) || '-' || lpad(CAST((year(l_shipdate) + 1) % 100 AS VARCHAR), 2, '0')"
 
 
-def school_years():
-    return [f"{y}-{(int(y) + 1) % 100:02d}" for y in YEARS]
+def school_years(spark, folder):
+    """The school years in which lines were shipped."""
+    years = line_timepoints(spark, folder).select("school_year").distinct().collect()
+    return sorted(f"{r.school_year}-{(int(r.school_year) + 1) % 100:02d}" for r in years)
 
 
 @query("lake_roundtrip", f"""
@@ -75,7 +80,7 @@ def lake_roundtrip(spark, folder):
         body = [(c.replace("Fil Higher", "FIl Higher"), number_text(F.col(f"`{c}`") * factor)) for c in data]
         return [*head, *reversed(body), ("G1 Total Assessed", F.lit("1"))]
 
-    for sy in school_years():
+    for sy in school_years(spark, folder):
         one_year = wide.filter(F.col("school_year") == sy)
         write_export(one_year, f"{root}/in/SALES_BoSY_{sy}_20240101_000000.csv", columns(one_year, 3))
         write_export(one_year, f"{root}/in/SALES_BoSY_{sy}_20240601_120000.csv", columns(one_year, 1))
@@ -186,6 +191,89 @@ def mathematics_roundtrip(spark, folder):
     ).filter(F.col("c1").isNotNull())
 
 
+QUARANTINE_KEYS = {"entity_id": "o_custkey", "period": PERIOD_SQL, "grade": MATH_CASE}
+
+
+@query("quarantine_roundtrip", f"""
+WITH c AS ({sql_counts(QUARANTINE_KEYS, source='orders')})
+SELECT 'bad_key' AS reason, period, 'x' || entity_id AS raw_id, NULL::BIGINT AS entity_id, NULL AS grade, NULL::DOUBLE AS first_count,
+  'town' AS district, 1::BIGINT AS "rows" FROM (SELECT DISTINCT entity_id, period FROM c WHERE entity_id % 10 = 0)
+UNION ALL SELECT 'negative_count', period, NULL, entity_id, grade, 0.0 - c1, NULL, 1 FROM c WHERE entity_id % 10 = 1 AND grade = 'G1'
+UNION ALL SELECT 'load', period, NULL, NULL, NULL, NULL, NULL, count(DISTINCT entity_id) FROM c GROUP BY period""")
+def quarantine_roundtrip(spark, folder):
+    """Keys that are no numbers and negative groups of a load, read back from the quarantine of the lake."""
+    counts = customer_counts(spark, folder, {"period": order_period(), "grade": F.expr(MATH_CASE)}).withColumn("lang", F.lit(None).cast("string"))
+    groups = mathematics("ks1").groups
+    wide = materialise(long_to_wide(counts, ["entity_id", "period"], groups, MATH_5))
+    root = scratch(spark)
+    number = F.col("entity_id")
+    key = F.when(number % 10 == 0, F.concat(F.lit("x"), number.cast("string"))).otherwise(number.cast("string"))
+
+    def cell(g, level):
+        value = F.col(f"`{g.label} {level}`")
+        return number_text(F.when((number % 10 == 1) & F.lit(g.grade == "G1"), -value).otherwise(value))
+
+    cells = [(f"{g.label} {level}", cell(g, level)) for g in groups for level in MATH_5.levels]
+    for period in ("BoSY", "EoSY"):
+        head = [("School ID", key), ("Municipality", F.lit("town "))]
+        write_export(wide.filter(F.col("period") == period), f"{root}/in/Dashboard (KS1) {period} 1.csv", [*head, *cells])
+    loads = pipeline.load_mathematics(spark, f"{root}/in", f"{root}/lake")
+    kept = sum(load.accepted for load in loads)
+    stored = pipeline.lake_table(spark, f"{root}/lake", "entities", "mathematics", "ks1").count()
+    if stored != kept or sum(load.read for load in loads) != wide.count():
+        raise ValueError("rows of the load are missing")
+    found = pipeline.lake_table(spark, f"{root}/lake", "quarantine", "mathematics", "ks1")
+    return found.select(
+        "reason", "period", "raw_id", "entity_id", "grade", (F.get("counts", F.lit(0)) + F.lit(0.0)).alias("first_count"),
+        F.try_element_at("cells", F.lit("District")).alias("district"), "rows",
+    )
+
+
+# One end of a year is missing, so the years behind it move up by one.
+MATHS_SOURCE = f"orders WHERE NOT (year(o_orderdate) = 1996 AND {PERIOD_SQL} = 'EoSY')"
+MATHS_TP = {"entity_id": "o_custkey", "tp": f"concat_ws(' ', {PERIOD_SQL}, {SQL_YEAR})", "grade": MATH_CASE}
+MATHS_MOMENTS = (
+    f"base AS ({sql_counts(MATHS_TP, source=MATHS_SOURCE)}), shares AS ({sql_shares('base')}), moments AS ({sql_moments('shares')})"
+)
+
+
+def maths_tables(spark, folder):
+    """Tables of mathematics from a lake of orders, written and read back."""
+    gone = (F.year("o_orderdate") == 1996) & (order_period() == "EoSY")
+    orders = table(spark, folder, "orders").where(~gone)
+    keys = [F.col("o_custkey").alias("entity_id"), order_year().alias("school_year"), order_period().alias("period")]
+    tags = [F.lit("mathematics").alias("instrument"), F.lit("ks1").alias("ks")]
+    counts = records_to_counts(orders, [*keys, F.expr(MATH_CASE).alias("grade")], priority_level(), 5)
+    entities = orders.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("reported_total"))
+    name = F.concat(F.lit("Name "), F.col("entity_id").cast("string")).alias("name")
+    places = [F.lit(x).cast("string").alias(c) for c, x in (("region", "R"), ("division", None), ("district", "D"))]
+    root = scratch(spark)
+    by = (*lake.PARTITIONS, "ks")
+    none = F.lit(None).cast("string").alias("lang")
+    lake.write_partitioned(counts.select("entity_id", "grade", none, "counts", "school_year", "period", *tags), f"{root}/lake/counts", by)
+    lake.write_partitioned(entities.select("entity_id", name, *places, "reported_total", "school_year", "period", *tags), f"{root}/lake/entities", by)
+    written = pipeline.write_tables(pipeline.mathematics_tables(spark, f"{root}/lake", "ks1"), f"{root}/gold", "mathematics_ks1")
+    return [spark.read.parquet(path) for path in written]
+
+
+MOMENT_OUT = ", ".join(r(f"avg({m})", m) for m in ("ordinal_mean", "ordinal_sd", "ordinal_skew", "ordinal_kurt", "bimodality_coef"))
+
+
+@query("maths_timepoints", f"""WITH {MATHS_MOMENTS}
+SELECT entity_id, split_part(tp, ' ', 2) AS school_year, split_part(tp, ' ', 1) AS period, count(p1) AS groups_with_data, {MOMENT_OUT},
+  {r('avg(p5)', 'pct_aglhp')}, sum(s) AS total_assessed, tp AS timepoint_label, 'Name ' || entity_id AS name, 'R' AS region,
+  NULL AS division, 'D' AS district, 'ks1' AS ks FROM moments GROUP BY entity_id, tp""")
+def maths_timepoints(spark, folder):
+    return rounded(maths_tables(spark, folder)[0])
+
+
+@query("maths_segments", f"""
+WITH {MATHS_MOMENTS}, {sql_learning(f"(SELECT * FROM {MATHS_SOURCE})", SQL_YEAR, PERIOD_SQL)}, {sql_changes(5)} {CHANGES_OUT.replace(' FROM changes', ", 'ks1' AS ks FROM changes")}""")
+def maths_segments(spark, folder):
+    """Begin to end of each year that has both, numbered without gaps."""
+    return rounded(maths_tables(spark, folder)[1])
+
+
 @query("partition_overwrite", f"""
 WITH c AS ({sql_counts({'entity_id': 'CAST(c_nationkey AS BIGINT)', 'school_year': SQL_YEAR, 'period': PERIOD_SQL, 'grade': 'c_mktsegment'})})
 SELECT entity_id, school_year, period, grade, CASE WHEN school_year = '1998' AND period = 'EoSY' THEN 2 * c1 ELSE c1 END AS c1 FROM c""")
@@ -249,16 +337,3 @@ def id_list(spark, folder):
     path = f"{scratch(spark)}/ids.txt"
     lines.write.text(path)
     return bronze.load_id_list(spark, path)
-
-
-@query("pairwise_export", """
-SELECT o_custkey AS entity_id, count(*) FILTER (WHERE year(o_orderdate) = 1996) AS n0,
-  count(*) FILTER (WHERE year(o_orderdate) = 1997) AS n1, 'Step_1996_to_1997' AS segment_label FROM orders GROUP BY 1""")
-def pairwise_export(spark, folder):
-    """One pairwise table per segment as CSV, read back by its label."""
-    wide = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("entity_id")).agg(
-        F.count_if(F.year("o_orderdate") == 1996).alias("n0"), F.count_if(F.year("o_orderdate") == 1997).alias("n1")
-    )
-    path = lake.export_csv(wide, scratch(spark), "progress", "Step_1996_to_1997")
-    back = spark.read.option("header", True).schema("entity_id bigint, n0 bigint, n1 bigint").csv(path)
-    return back.withColumn("segment_label", F.lit("Step_1996_to_1997"))

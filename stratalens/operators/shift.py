@@ -45,12 +45,19 @@ def segment_attributes(segments: Sequence[Segment]) -> dict[str, Column]:
     }
 
 
+def _sided(moments: DataFrame, timepoint: str, segments: DataFrame, columns: Sequence[Column | str]) -> DataFrame:
+    """``columns`` of the rows at both sides of the segments of a table; Spark sends that table out by its size."""
+    ends = F.array(*(F.struct(F.col(p).alias("_point"), F.lit(is_end).alias("is_end")) for p, is_end in (("tp0", False), ("tp1", True))))
+    sides = segments.select("seg_idx", F.inline(ends))
+    return moments.join(sides, F.col(timepoint) == F.col("_point")).select(*columns, "seg_idx", "is_end")
+
+
 def segment_changes(
     df: DataFrame,
     entity: Sequence[str],
     group: Sequence[str],
     timepoint: str,
-    segments: Sequence[Segment],
+    segments: Sequence[Segment] | DataFrame,
     size: int,
     null_as_zero: bool = False,
     zero_sd: str = "keep",
@@ -58,19 +65,24 @@ def segment_changes(
 ) -> DataFrame:
     """Deltas of mean, sd and skewness and the mean earth mover's distance per entity and segment.
 
+    ``segments`` is a list, or a table as ``plans.segments.present_segments`` makes it from the data.
     ``keep`` says which entities get a row: those present at the ``start``, at
     ``both`` ends, or at ``either`` end.  A delta uses each end's own groups;
     the distance only groups complete at both ends (``groups_common`` of them).
     """
     if keep not in ("start", "both", "either"):
         raise ValueError(f"unknown keep {keep!r}")
-    points = list(dict.fromkeys(p for s in segments for p in (s.start, s.end)))
-    chosen = df.filter(F.col(timepoint).isin(points))
-    moments = group_moments(chosen, size, null_as_zero, zero_sd)
+    listed = not isinstance(segments, DataFrame)
+    if listed:
+        df = df.filter(F.col(timepoint).isin(list(dict.fromkeys(p for s in segments for p in (s.start, s.end)))))
+    moments = group_moments(df, size, null_as_zero, zero_sd)
     parts = {f"p{i}": c for i, c in enumerate(levels("shares", size))}
-    sided = moments.select(
-        *entity, *group, F.inline(segment_sides(timepoint, segments)), *MOVING, *[c.alias(n) for n, c in parts.items()]
-    ).repartition(*entity)
+    columns = [*entity, *group, *MOVING, *[c.alias(n) for n, c in parts.items()]]
+    if listed:
+        sided = moments.select(*columns, F.inline(segment_sides(timepoint, segments)))
+    else:
+        sided = _sided(moments, timepoint, segments, columns)
+    sided = sided.repartition(*entity)
 
     start, end = ~F.col("is_end"), F.col("is_end")
     cells = [F.bool_or(start).alias("_start"), F.bool_or(end).alias("_end")]
@@ -90,7 +102,12 @@ def segment_changes(
         "both": F.col("_start") & F.col("_end"),
         "either": F.lit(True),
     }[keep]
-    return per_entity.filter(wanted).withColumns(segment_attributes(segments)).select(
+    kept = per_entity.filter(wanted)
+    if listed:
+        kept = kept.withColumns(segment_attributes(segments))
+    else:
+        kept = kept.join(segments.select("seg_idx", "segment_label", "segment_kind", "tp_from", "tp_to"), "seg_idx")
+    return kept.select(
         *entity, "seg_idx", "segment_label", "segment_kind", "tp_from", "tp_to",
         *MOVING.values(), "emd_mean", "groups_common",
     )

@@ -105,7 +105,7 @@ def begin_total(
 def segment_table(
     counts: DataFrame,
     instrument: Instrument,
-    segments: Sequence[Segment],
+    segments: Sequence[Segment] | DataFrame,
     entity: Sequence[str] = ("entity_id",),
     keep: str = "start",
 ) -> DataFrame:

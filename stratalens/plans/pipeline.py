@@ -2,16 +2,19 @@
 
 A lake has three tables, each partitioned by instrument, school year and period:
 ``counts`` (level counts per group), ``entities`` (names, places, reported
-total) and ``assessed`` (assessed columns per group).  Loading one more export
+total) and ``assessed`` (assessed columns per group), and beside them
+``quarantine``, rows and groups that cannot be used.  Loading one more export
 replaces its own partition only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.distribution import collapse
 from ..operators.counts import largest_language_parts, upper_counts
@@ -40,11 +43,22 @@ from .gold import (
     with_depth,
     year_over_year,
 )
-from .pairwise import pairwise_table
+from .pairwise import pairwise_rows, pairwise_table
 from .ranking import area_capacity, composite_inputs, rank_entities, tag_cohort, with_capacity
 from .reference import REASON_FIELDS, ReportYear, reference_table, with_reasons
 from .scoring import score_timepoints
-from .segments import BEGIN, DEFAULT_CHAINS, END, MIDDLE, Segment, build_segments, learning_segments, make_segment, timepoint_label
+from .segments import (
+    BEGIN,
+    DEFAULT_CHAINS,
+    END,
+    Segment,
+    build_segments,
+    make_segment,
+    present_learning,
+    present_segments,
+    present_timepoints,
+    timepoint_label,
+)
 
 PLACES = ("name", "region", "division", "district")
 FUND = "rpt_special_education_fund"
@@ -53,43 +67,74 @@ FUND = "rpt_special_education_fund"
 # Exports to lake ---------------------------------------------------------------
 
 
-def store(wide: DataFrame, counts: DataFrame, instrument: str, ks: str | None, path: str) -> None:
-    """Write one instrument's rows to the lake."""
-    lake.write_partitioned(counts, f"{path}/counts", (*lake.PARTITIONS, "ks"))
-    lake.write_partitioned(bronze.entity_rows(wide, instrument, ks), f"{path}/entities", (*lake.PARTITIONS, "ks"))
-
+def store(
+    wide: DataFrame, to_counts: Callable[[DataFrame], DataFrame], instrument: str, ks: str | None, path: str,
+    to_assessed: Callable[[DataFrame], DataFrame] | None = None,
+) -> bronze.Loaded:
+    """Write one instrument's rows to the lake, and what cannot be used beside them.
 
-def load_early_reading(spark: SparkSession, folder: str, path: str, prefix: str) -> DataFrame:
-    """Newest exports of early reading to the lake; returns what was loaded."""
+    The export is parsed once.  While it is written for the passes that follow, Spark counts rows read, accepted and
+    rejected, and while the lake is written, rows stored.  Rows without a usable key and groups with a negative count stand in
+    ``quarantine``, partitioned like the lake.  A load whose numbers do not add up is an error.
+    """
+    read, kept = Observation(), Observation()
+    usable = F.col("entity_id").isNotNull()
+    wide = materialise(wide.observe(
+        read, F.count(F.lit(1)).alias("read"), F.count_if(usable).alias("accepted"), F.count_if(~usable).alias("rejected")
+    ))
+    by = (*lake.PARTITIONS, "ks")
+    counts = to_counts(wide)
+    lake.write_partitioned(counts, f"{path}/counts", by)
+    entities = bronze.entity_rows(wide, instrument, ks)
+    lake.write_partitioned(entities.observe(kept, F.count(F.lit(1)).alias("stored")), f"{path}/entities", by)
+    if to_assessed is not None:
+        lake.write_partitioned(to_assessed(wide), f"{path}/assessed", by)
+    lake.write_partitioned(bronze.quarantine_rows(wide, counts, instrument, ks), f"{path}/quarantine", by)
+    seen, stored = read.get, kept.get["stored"]
+    if seen["read"] != seen["accepted"] + seen["rejected"] or stored != seen["accepted"]:
+        raise ValueError(f"{instrument}: {seen['read']} rows read, {seen['accepted']} accepted, {seen['rejected']} rejected, {stored} stored")
+    return bronze.Loaded(seen["read"], seen["accepted"], seen["rejected"])
+
+
+def load_early_reading(spark: SparkSession, folder: str, path: str, prefix: str, multi_line: bool = True) -> bronze.Loaded:
+    """Newest exports of early reading to the lake.
+
+    ``multi_line=False`` lets Spark split large files whose quoted text has no line breaks; so do the other loaders.
+    """
     files = discovery.latest_exports(discovery.list_files(spark, folder, "*.csv"), prefix)
-    wide = bronze.load_all_early_reading(spark, discovery.file_map(files))
-    store(wide, bronze.early_reading_counts(wide), EARLY_READING.name, None, path)
-    return wide
+    wide = bronze.load_all_early_reading(spark, discovery.file_map(files), multi_line)
+    return store(wide, bronze.early_reading_counts, EARLY_READING.name, None, path)
 
 
 def load_upper_reading(
-    spark: SparkSession, folder: str, path: str, patterns: Mapping = discovery.UPPER_READING_PATTERNS
-) -> None:
+    spark: SparkSession, folder: str, path: str, patterns: Mapping = discovery.UPPER_READING_PATTERNS, multi_line: bool = True
+) -> list[bronze.Loaded]:
     """Exports of upper reading to the lake, begin of year on 7 levels, end on 3."""
     found = discovery.file_map(discovery.registered_exports(discovery.list_files(spark, folder), patterns))
+    loads = []
     for (ks, school_year, period), file in sorted(found.items()):
-        wide = bronze.load_upper_reading(spark, file, ks, school_year, period)
+        wide = bronze.load_upper_reading(spark, file, ks, school_year, period, multi_line)
         scale = bronze.upper_reading_scale(period)
-        store(wide, bronze.upper_reading_counts(wide, ks, scale), "upper_reading", ks, path)
-        assessed = bronze.assessed_counts(wide, ks).withColumns(
-            {"instrument": F.lit("upper_reading"), "ks": F.lit(ks)}
-        )
-        lake.write_partitioned(assessed, f"{path}/assessed", (*lake.PARTITIONS, "ks"))
+
+        def assessed(df: DataFrame, ks: str = ks) -> DataFrame:
+            return bronze.assessed_counts(df, ks).withColumns({"instrument": F.lit("upper_reading"), "ks": F.lit(ks)})
+
+        loads.append(store(wide, partial(bronze.upper_reading_counts, ks=ks, scale=scale), "upper_reading", ks, path, assessed))
+    return loads
 
 
 def load_mathematics(
-    spark: SparkSession, folder: str, path: str, patterns: Mapping = discovery.MATHEMATICS_PATTERNS
-) -> None:
+    spark: SparkSession, folder: str, path: str, patterns: Mapping = discovery.MATHEMATICS_PATTERNS, multi_line: bool = True
+) -> list[bronze.Loaded]:
     """Exports of mathematics to the lake."""
     found = discovery.file_map(discovery.registered_exports(discovery.list_files(spark, folder), patterns))
-    for (ks, school_year, period), file in sorted(found.items()):
-        wide = bronze.load_mathematics(spark, file, ks, school_year, period)
-        store(wide, bronze.mathematics_counts(wide, ks), "mathematics", ks, path)
+    return [
+        store(
+            bronze.load_mathematics(spark, file, ks, school_year, period, multi_line), partial(bronze.mathematics_counts, ks=ks),
+            "mathematics", ks, path,
+        )
+        for (ks, school_year, period), file in sorted(found.items())
+    ]
 
 
 # Lake to result tables ------------------------------------------------------------
@@ -110,24 +155,26 @@ def described(table: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def early_reading_tables(
-    spark: SparkSession, path: str, chains: Mapping[str, Sequence[str]] = DEFAULT_CHAINS
+    spark: SparkSession, path: str, chains: Mapping[str, Sequence[str]] | None = None
 ) -> dict[str, DataFrame]:
-    """Timepoint and segment tables of early reading."""
+    """Timepoint and segment tables of early reading; segments are those of ``chains``, else of the timepoints in the lake."""
     counts = lake_table(spark, path, "counts", EARLY_READING.name)
     entities = lake_table(spark, path, "entities", EARLY_READING.name)
     table = timepoints_with_total(counts, entities, EARLY_READING).withColumn("ordinal_overall", F.col("ordinal_mean"))
     return {
         "timepoints": described(table, entities).withColumnRenamed("pct_top_level", "pct_gl"),
-        "segments": segment_table(counts, EARLY_READING, build_segments(chains)),
+        "segments": segment_table(
+            counts, EARLY_READING, present_segments(present_timepoints(counts)) if chains is None else build_segments(chains)
+        ),
     }
 
 
 def upper_reading_tables(
-    spark: SparkSession, path: str, ks: str, years: tuple[str, str] = ("2024-25", "2025-26")
+    spark: SparkSession, path: str, ks: str, years: tuple[str, str] | None = None
 ) -> dict[str, DataFrame]:
     """Timepoint, segment and year-over-year tables of upper reading.
 
-    Begin-of-year counts are collapsed to three levels for the first two tables;
+    Segments are those of the years in the lake; ``years`` are the two compared, else its first and last.  Begin-of-year counts are collapsed to three levels for the first two tables;
     the third keeps the seven levels.
     """
     three, seven = upper_reading(ks, READING_3), upper_reading(ks, READING_7)
@@ -151,36 +198,27 @@ def upper_reading_tables(
             "total_assessed", F.coalesce("_reported", "total_assessed")
         )
     table = table.drop(*[c for c in table.columns if c.startswith("_")])
-    chains = {y: (BEGIN, END) for y in years}
+    if years is None:
+        ends = begin.agg(F.min("school_year").alias("first"), F.max("school_year").alias("last")).first()
+        years = (ends.first or "", ends.last or "")
     yoy = make_segment(0, (years[0], BEGIN), (years[-1], BEGIN))
     return {
         "timepoints": described(table, entities).withColumn("ks", F.lit(ks)),
-        "segments": segment_table(common, three, learning_segments(chains)).withColumn("ks", F.lit(ks)),
+        "segments": segment_table(common, three, present_learning(present_timepoints(common))).withColumn("ks", F.lit(ks)),
         "bosy_yoy": year_over_year(begin, begin_totals, seven, yoy).withColumn("ks", F.lit(ks)),
     }
 
 
-def registered_chains(patterns: Mapping, ks: str) -> dict[str, tuple[str, ...]]:
-    """Periods per school year that have an export registered, in the order of a year."""
-    keys = {(y, p) for k, y, p in patterns if k == ks}
-    return {
-        year: tuple(p for p in (BEGIN, MIDDLE, END) if (year, p) in keys) for year in sorted({y for y, _ in keys})
-    }
-
-
-def mathematics_tables(
-    spark: SparkSession, path: str, ks: str, patterns: Mapping = discovery.MATHEMATICS_PATTERNS
-) -> dict[str, DataFrame]:
-    """Timepoint and segment tables of mathematics; segments are numbered without gaps."""
+def mathematics_tables(spark: SparkSession, path: str, ks: str) -> dict[str, DataFrame]:
+    """Timepoint and segment tables of mathematics; segments are numbered without gaps over the years in the lake."""
     instrument = mathematics(ks)
-    chains = registered_chains(patterns, ks)
     counts = lake_table(spark, path, "counts", "mathematics", ks)
     entities = lake_table(spark, path, "entities", "mathematics", ks)
     reported = entities.groupBy(*KEYS).agg(F.max("reported_total").alias("total_assessed"))
     table = timepoint_table(counts, instrument, scores_by_group=False).join(reported, list(KEYS), "left")
     return {
         "timepoints": described(table, entities).withColumn("ks", F.lit(ks)).withColumnRenamed("pct_top_level", "pct_aglhp"),
-        "segments": segment_table(counts, instrument, learning_segments(chains)).withColumn("ks", F.lit(ks)),
+        "segments": segment_table(counts, instrument, present_learning(present_timepoints(counts))).withColumn("ks", F.lit(ks)),
     }
 
 
@@ -337,3 +375,26 @@ def export_pairs(
         )
         for s in (build_segments(chains) if segments is None else segments)
     ]
+
+
+def export_all_pairs(
+    counts: DataFrame,
+    scored: DataFrame,
+    instrument: Instrument,
+    folder: str,
+    prefix: str,
+    segments: DataFrame | None = None,
+    weights: Mapping[str, float] | None = None,
+    metadata: Sequence[str] = PLACES,
+) -> tuple[str, StructType]:
+    """All segments in one job: CSV files partitioned by ``segment_label`` below one folder, with a common header; also their schema.
+
+    The columns say ``From`` and ``To`` where ``export_pairs`` has the timepoints.  Segments are those of the timepoints in
+    ``counts`` unless given as a table.
+    """
+    if segments is None:
+        segments = present_segments(present_timepoints(counts))
+    labelled = counts.withColumn("timepoint_label", F.concat_ws(" ", "period", "school_year"))
+    rows = pairwise_rows(labelled, scored, instrument, segments, weights=weights, metadata=metadata)
+    path = lake.export_csv_partitioned(rows, folder, prefix, "segment_label")
+    return path, StructType([*(f for f in rows.schema if f.name != "segment_label"), rows.schema["segment_label"]])

@@ -12,6 +12,7 @@ from ..functions.text import priority_band
 from ..operators.keysets import flag_members, keep_first, without_members
 from ..operators.ranks import percentile_ranks, z_scores
 from ..session import materialise
+from .segments import Segment
 
 # Default weights of the need components.
 NEED_WEIGHTS = {
@@ -190,6 +191,29 @@ def ranking_summary(inputs: DataFrame) -> DataFrame:
     )
 
 
+def coverage_funnel(progress: DataFrame, points: Sequence[str], segments: Sequence[Segment]) -> DataFrame:
+    """How many entities of each segment are there, valid, strictly valid, scored and ranked, in one aggregation.
+
+    ``progress`` is chain progress with ``fund_per_learner``.  Each entity gives one row per segment with a mask of the
+    stages it reaches; ranked are those that ``ranking_summary`` would rank for that segment.
+    """
+    stages = ("valid", "strict", "scored", "ranked")
+
+    def mask(n: int, end: int) -> Column:
+        strict, delta = F.coalesce(F.col(f"seg{n}_valid_strict"), F.lit(False)), F.col(f"seg{n}_delta").isNotNull()
+        needed = [F.col(c).isNotNull() for c in (f"perf_{end}", f"total_assessed_{end}", "fund_per_learner")]
+        reached = (F.coalesce(F.col(f"seg{n}_valid"), F.lit(False)), strict, delta, reduce(lambda a, b: a & b, needed, strict & delta))
+        return reduce(lambda a, b: a + b, (r.cast("int") * (1 << k) for k, r in enumerate(reached)))
+
+    rows = F.array(*(
+        F.struct(F.lit(s.label).alias("segment_label"), mask(n, points.index(s.end)).alias("mask")) for n, s in enumerate(segments, start=1)
+    ))
+    return progress.select(F.inline(rows)).groupBy("segment_label").agg(
+        F.count(F.lit(1)).alias("total"),
+        *(F.count_if(F.col("mask").bitwiseAND(1 << k) > 0).alias(stage) for k, stage in enumerate(stages)),
+    )
+
+
 def priority_list(ranked: DataFrame, entity: str, n: int = 100, cohort: DataFrame | None = None) -> DataFrame:
     """The ``n`` entities of highest priority, without those of an earlier cohort."""
     pool = ranked if cohort is None else without_members(ranked, cohort, entity)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,30 +80,30 @@ def _canonical(df: DataFrame, columns: Sequence[str], clean_text, tags: Mapping[
     )
 
 
-def load_early_reading(spark: SparkSession, path: str, school_year: str, period: str) -> DataFrame:
+def load_early_reading(spark: SparkSession, path: str, school_year: str, period: str, multi_line: bool = True) -> DataFrame:
     """One export of early reading, columns and text repaired."""
     names = read_header(spark, path)
-    raw = read_positional(spark, path, len(names), early_reading_header(names))
+    raw = read_positional(spark, path, len(names), early_reading_header(names), multi_line=multi_line)
     return _canonical(raw, early_reading_columns(), repaired, {"school_year": school_year, "period": period})
 
 
-def load_all_early_reading(spark: SparkSession, files: Mapping[tuple[str, str], str]) -> DataFrame:
+def load_all_early_reading(spark: SparkSession, files: Mapping[tuple[str, str], str], multi_line: bool = True) -> DataFrame:
     """Several exports of early reading in one table; columns are matched by name."""
-    return union_all([load_early_reading(spark, path, *key) for key, path in sorted(files.items())])
+    return union_all([load_early_reading(spark, path, *key, multi_line) for key, path in sorted(files.items())])
 
 
-def load_upper_reading(spark: SparkSession, path: str, ks: str, school_year: str, period: str) -> DataFrame:
+def load_upper_reading(spark: SparkSession, path: str, ks: str, school_year: str, period: str, multi_line: bool = True) -> DataFrame:
     """One export of upper reading."""
     names = read_header(spark, path)
-    raw = read_positional(spark, path, len(names), upper_reading_header(names, ks, school_year, period))
+    raw = read_positional(spark, path, len(names), upper_reading_header(names, ks, school_year, period), multi_line=multi_line)
     tags = {"school_year": school_year, "period": period, "ks": ks}
     return _canonical(raw, upper_reading_columns(ks, school_year, period), lambda c: c, tags)
 
 
-def load_mathematics(spark: SparkSession, path: str, ks: str, school_year: str, period: str) -> DataFrame:
+def load_mathematics(spark: SparkSession, path: str, ks: str, school_year: str, period: str, multi_line: bool = True) -> DataFrame:
     """One export of mathematics."""
     names = read_header(spark, path)
-    raw = read_positional(spark, path, len(names), mathematics_header(names))
+    raw = read_positional(spark, path, len(names), mathematics_header(names), multi_line=multi_line)
     tags = {"school_year": school_year, "period": period, "ks": ks}
     return _canonical(raw, mathematics_columns(ks), trimmed, tags)
 
@@ -127,10 +128,52 @@ def rejected(wide: DataFrame) -> DataFrame:
     return wide.filter(F.col("entity_id").isNull())
 
 
-def unusable_counts(counts: DataFrame, size: int) -> DataFrame:
-    """Groups with a negative count; their distribution is left empty everywhere else."""
+def unusable_counts(counts: DataFrame, size: int | None = None) -> DataFrame:
+    """Groups with a negative count, or with other than ``size`` levels; their distribution is left empty everywhere else."""
     negative = F.exists("counts", lambda c: c < 0)
-    return counts.filter(negative)
+    return counts.filter(negative if size is None else negative | (F.size("counts") != size))
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """Rows of a load."""
+
+    read: int
+    accepted: int
+    rejected: int
+
+
+# Why something stands in the quarantine, and the row that reports a load.
+BAD_KEY, NEGATIVE, LOAD = "bad_key", "negative_count", "load"
+
+
+def quarantine_rows(wide: DataFrame, counts: DataFrame, instrument: str, ks: str | None) -> DataFrame:
+    """What a load cannot use, in the shape of the lake's ``quarantine``.
+
+    A row without a usable key keeps its key as text and its other non-empty cells by column name; a group with a negative
+    count keeps its counts.  One row per timepoint with the reason ``load`` has the number of rows read, so
+    that a load without faults replaces the quarantine of an earlier one too.
+    """
+    nothing = {"raw_id": "string", "entity_id": "bigint", "grade": "string", "lang": "string", "counts": "array<double>", "cells": "map<string,string>"}
+
+    def shaped(df: DataFrame, reason: str, **known: Column) -> DataFrame:
+        cells = [known.get(c, F.lit(None)).cast(t).alias(c) for c, t in nothing.items()]
+        return df.select(
+            F.lit(reason).alias("reason"), *cells, known.get("rows", F.lit(1)).cast("bigint").alias("rows"),
+            F.lit(instrument).alias("instrument"), F.lit(ks).cast("string").alias("ks"), "school_year", "period",
+        )
+
+    kept = [c for c in wide.columns if c not in ("raw_id", "entity_id", "school_year", "period", "ks")]
+    pairs = F.array(*(F.struct(F.lit(c).alias("key"), F.col(f"`{c}`").cast("string").alias("value")) for c in kept))
+    cells = F.map_from_entries(F.filter(pairs, lambda x: x["value"].isNotNull()))
+    loads = wide.groupBy("school_year", "period").agg(F.count(F.lit(1)).alias("_rows"))
+    negative = unusable_counts(counts)
+    group = {c: F.col(c) for c in ("entity_id", "grade", "lang", "counts")}
+    return (
+        shaped(rejected(wide), BAD_KEY, raw_id=F.col("raw_id"), cells=cells)
+        .unionByName(shaped(negative, NEGATIVE, **group))
+        .unionByName(shaped(loads, LOAD, rows=F.col("_rows")))
+    )
 
 
 KEYS = ("entity_id", "school_year", "period")

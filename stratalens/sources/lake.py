@@ -17,6 +17,7 @@ SCHEMAS = {
     "counts": f"grade string, lang string, counts array<double>, {_KEYS}",
     "entities": f"name string, region string, division string, district string, reported_total double, {_KEYS}",
     "assessed": f"grade string, lang string, assessed double, {_KEYS}",
+    "quarantine": f"reason string, raw_id string, grade string, lang string, counts array<double>, cells map<string,string>, rows bigint, {_KEYS}",
 }
 
 
@@ -86,3 +87,10 @@ def export_csv(df: DataFrame, folder: str, prefix: str, label: str) -> str:
     path = f"{folder}/{prefix}.{label}.csv"
     df.write.mode("overwrite").option("header", True).csv(path)
     return path
+
+
+def export_csv_partitioned(df: DataFrame, folder: str, prefix: str, by: str) -> str:
+    """Write a table as CSV with a header, one folder per value of ``by``, in one job."""
+    path = f"{folder}/{prefix}"
+    df.hint("rebalance", by).write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
+    return path

@@ -7,7 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from stratalens.plans import pipeline
+from stratalens.plans import pipeline, segments
+from stratalens.plans.ranking import with_capacity
 from stratalens.plans.segments import make_segment
 from stratalens.scales import EARLY_READING, KEY_STAGE_GRADES, MATH_5
 from stratalens.sources import bronze, headers, lake
@@ -72,9 +73,9 @@ def test_early_reading_tables(spark, early):
             assert r.total_assessed == 100 + s % 3 and r.total_source == "reported" and r.groups_with_data == 6
             assert r.name == f"School {s}" and r.region == "R" and r.timepoint_label == f"{p} {y}"
     assert {"ordinal_G1", "ordinal_G2", "ordinal_G3", "ordinal_G2_MT", "ordinal_G3_Eng", "ordinal_overall"} <= set(tables["timepoints"].columns)
-    segments = tables["segments"].collect()
-    assert len(segments) == 12 * 7
-    for r in segments:
+    changes = tables["segments"].collect()
+    assert len(changes) == 12 * 7
+    for r in changes:
         (y0, p0), (y1, p1) = (tuple(reversed(t.split(" "))) for t in (r.tp_from, r.tp_to))
         if r.entity_id in data[(y1, p1)]:
             a, b = moments(data[(y0, p0)][r.entity_id]), moments(data[(y1, p1)][r.entity_id])
@@ -218,3 +219,106 @@ def test_absent_lake_tables_are_empty(spark, tmp_path):
     assert pipeline.lake_table(spark, str(tmp_path), "counts", "mathematics", "ks1").count() == 0
     tables = pipeline.mathematics_tables(spark, str(tmp_path), "ks1")
     assert tables["timepoints"].count() == 0 and tables["segments"].count() == 0
+
+
+CHAINS = [
+    {"2024-25": ("BoSY", "EoSY"), "2025-26": ("BoSY", "MoSY", "EoSY")},
+    {"1999": ("BoSY",), "2000": ("MoSY", "EoSY"), "2001": ("BoSY", "MoSY", "EoSY")},
+    {"2001": ("EoSY",)}, {"2001": ("BoSY",), "2002": ("BoSY",)}, {"a": ("BoSY", "EoSY", "Extra"), "b": ("EoSY",)}, {},
+]
+
+
+@pytest.mark.parametrize("chains", CHAINS)
+def test_segments_from_data_are_those_of_chains(spark, chains):
+    rows = [(y, p) for y, chain in chains.items() for p in chain] * 2 + [(None, "BoSY"), ("2001", None)]
+    timepoints = segments.present_timepoints(spark.createDataFrame(rows, "school_year string, period string"))
+    want = [(s.index, s.label, s.kind, s.start, s.end, s.start_label, s.end_label) for s in segments.build_segments(chains)]
+    assert [tuple(r) for r in segments.present_segments(timepoints).orderBy("seg_idx").collect()] == want
+    points, listed = segments.present_chain(timepoints)
+    assert listed == segments.build_segments(chains) and points == [f"{p} {y}" for y, chain in chains.items() for p in chain]
+    learning = [(s.index, s.label) for s in segments.learning_segments(chains)]
+    assert [(r.seg_idx, r.segment_label) for r in segments.present_learning(timepoints).orderBy("seg_idx").collect()] == learning
+    years = spark.createDataFrame([(y,) for y in chains] + [(None,)], "y string")
+    steps = [(s.index, s.label, s.start, s.end) for s in segments.consecutive_segments(list(chains))]
+    assert [(r.seg_idx, r.segment_label, r.tp0, r.tp1) for r in segments.present_steps(years).orderBy("seg_idx").collect()] == steps
+
+
+def lake_rows(spark, years, instrument="mathematics", ks="ks1"):
+    rows = [(s, instrument, y, p, ks, "G1", None, [1.0 + s, 2.0, 3.0, float(p == "EoSY"), 1.0]) for y, chain in years.items() for p in chain for s in (1, 2)]
+    return spark.createDataFrame(rows, "entity_id bigint, instrument string, school_year string, period string, ks string, grade string, lang string, counts array<double>")
+
+
+def test_a_year_that_is_listed_nowhere_has_its_segments(spark, tmp_path):
+    years = {"2024-25": ("BoSY", "EoSY"), "2025-26": ("BoSY",), "2031-32": ("BoSY", "EoSY")}
+    for instrument, ks in (("mathematics", "ks1"), ("early_reading", None)):
+        lake.write_partitioned(lake_rows(spark, years, instrument, ks), f"{tmp_path}/lake/counts", (*lake.PARTITIONS, "ks"))
+    found = pipeline.mathematics_tables(spark, f"{tmp_path}/lake", "ks1")["segments"].collect()
+    # The year without an end has no segment, and those behind it move up.
+    assert sorted({(r.seg_idx, r.segment_label) for r in found}) == [(0, "Learning_2024-25"), (1, "Learning_2031-32")] and len(found) == 4
+    labels = {r.segment_label for r in pipeline.early_reading_tables(spark, f"{tmp_path}/lake")["segments"].collect()}
+    assert {"Learning_2031-32", "YoY_BoSY_2024-25_to_2031-32", "EndToEnd_2024-25_to_2031-32"} <= labels
+
+
+def test_load_keeps_what_it_cannot_use(spark, tmp_path):
+    def export(rows, folder, keys):
+        frame = pd.DataFrame([{"School ID": keys.get(s, s), "School Name": f"S {s}", "Region": "R", **cells} for s, cells in rows.items()])
+        (tmp_path / folder).mkdir()
+        frame.to_csv(tmp_path / folder / "EX_BoSY_2024-25_20260101_000000.csv", index=False)
+
+    rows = early_rows(3)
+    rows[102]["G1 Developing"] = -4
+    export(rows, "first", {101: "n/a", 105: ""})
+    path = str(tmp_path / "lake")
+    load = pipeline.load_early_reading(spark, str(tmp_path / "first"), path, "EX", multi_line=False)
+    assert (load.read, load.accepted, load.rejected) == (12, 10, 2)
+    found = pipeline.lake_table(spark, path, "quarantine", EARLY_READING.name)
+    by = {k: found.where(F.col("reason") == k).collect() for k in (bronze.BAD_KEY, bronze.NEGATIVE, bronze.LOAD)}
+    assert sorted(r.raw_id or "" for r in by[bronze.BAD_KEY]) == ["", "n/a"]
+    assert {r.cells["School Name"] for r in by[bronze.BAD_KEY]} == {"S 101", "S 105"}
+    assert by[bronze.BAD_KEY][0].cells["G2 Fil Developing"] in {str(rows[s]["G2 Fil Developing"]) for s in (101, 105)}
+    (negative,) = by[bronze.NEGATIVE]
+    assert (negative.entity_id, negative.grade, negative.lang) == (102, "G1", None) and min(negative.counts) == -4
+    assert [r.rows for r in by[bronze.LOAD]] == [12]
+    assert pipeline.lake_table(spark, path, "entities", EARLY_READING.name).count() == 10
+    # A later load without faults takes their place.
+    export(early_rows(4), "second", {})
+    assert pipeline.load_early_reading(spark, str(tmp_path / "second"), path, "EX").rejected == 0
+    assert [r.reason for r in pipeline.lake_table(spark, path, "quarantine", EARLY_READING.name).collect()] == [bronze.LOAD]
+
+
+def test_one_export_holds_all_segments(spark, early, tmp_path):
+    path, _, _ = early
+    counts = pipeline.lake_table(spark, path, "counts", EARLY_READING.name)
+    scored = pipeline.scored_timepoints(counts, pipeline.lake_table(spark, path, "entities", EARLY_READING.name), EARLY_READING)
+    weights = {level: 10.0 * i for i, level in enumerate(EARLY_READING.scale.levels)}
+    written, schema = pipeline.export_all_pairs(counts, scored, EARLY_READING, str(tmp_path), "progress", weights=weights)
+    back = spark.read.option("header", True).schema(schema).csv(written)
+    labelled = counts.withColumn("timepoint_label", F.concat_ws(" ", "period", "school_year"))
+    listed = segments.build_segments(YEARS)
+    assert {r.segment_label for r in back.select("segment_label").distinct().collect()} == {s.label for s in listed}
+    for s in listed:
+        one = pipeline.pairwise_table(labelled, scored, EARLY_READING, s, weights=weights, metadata=pipeline.PLACES)
+        renamed = one.toDF(*[c.replace(s.start_label, "From").replace(s.end_label, "To") for c in one.columns])
+        want = sorted(map(str, renamed.select(*sorted(f"`{c}`" for c in renamed.columns)).collect()))
+        mine = back.where(F.col("segment_label") == s.label).drop("segment_label", "tp_from", "tp_to")
+        assert sorted(map(str, mine.select(*sorted(f"`{c}`" for c in mine.columns)).collect())) == want
+
+
+def test_entities_without_area_are_dealt_out(spark):
+    entities = spark.range(4000).select(F.col("id").alias("e"))
+    areas = spark.range(100).select(F.col("id").alias("e"), (F.col("id") % 3).alias("area"))
+    capacity = spark.createDataFrame([(0, 1.5), (1, 2.5)], "area bigint, fund_per_learner double")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(before, ("-1", "false")):
+            spark.conf.set(k, v)
+        joined = with_capacity(entities, areas, capacity, "e", "area")
+        held = [r["count"] for r in joined.where("area IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+        rows = {r.e: (r.area, r.fund_per_learner) for r in joined.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(held) == 8 and max(held) < 2 * min(held)
+    assert rows == {e: (e % 3, (1.5, 2.5, None)[e % 3]) if e < 100 else (None, None) for e in range(4000)}
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
