@@ -13,6 +13,7 @@ from pyspark.sql.types import DoubleType
 from ..functions.text import edit_ratio, place_name, region_short
 from ..session import materialise
 from .keysets import keep_first
+from .nearest import nearest_names
 
 AREA_TYPES = ("City", "Municipality")
 SCOPES = ("region+province", "province_only", "region_only")
@@ -131,13 +132,11 @@ def best_match(targets: DataFrame, candidates: DataFrame, scope: Sequence[str],
 
 
 def near_misses(targets: DataFrame, candidates: DataFrame, similarity: str) -> DataFrame:
-    """The nearest name of the region for names without a match, whatever they share.
-
-    Every name of the region counts, so this compares the unmatched distinct names of a region with
-    all of its names.
-    """
+    """The nearest name of the region for names without a match, whatever they share."""
     left, right = _names(targets, candidates, TARGET[:1])
-    return _best(left.join(right, list(TARGET[:1])), TARGET[:1], similarity, 0.0)
+    ratio = edit_ratio if similarity == "edit" else block_ratio
+    found, _ = nearest_names(left, right, TARGET[:1], ratio, similarity)
+    return found.withColumnRenamed("_target", "name_norm")
 
 
 def fuzzy_matches(

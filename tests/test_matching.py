@@ -2,8 +2,11 @@ import difflib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from stratalens.operators.matching import area_candidates, fuzzy_matches, join_funds, match_areas, matched, normalised
+from stratalens.functions.text import edit_ratio
+from stratalens.operators.matching import area_candidates, block_ratio, fuzzy_matches, join_funds, match_areas, matched, normalised
+from stratalens.operators.nearest import nearest_names
 
 AREAS = [
     ("c1", "Alpha", "Region I (Ilocos Region)", "North"), ("c2", "Beta", "Region I (Ilocos Region)", "North"),
@@ -104,6 +107,56 @@ def test_threshold_below_the_safe_limit_is_refused(spark):
         fuzzy_matches(None, None, threshold=0.4)
 
 
+def made_names(rng, count):
+    syllables = [c + v + e for c in "bcdghklmnpqrstwy" for v in "aeiou" for e in ("", "n", "ng", "s")]
+    return ["".join(rng.choice(syllables) for _ in range(rng.randint(2, 5))) for _ in range(count)]
+
+
+def changed(rng, name):
+    letters = list(name)
+    for _ in range(max(2, len(letters) // 3)):
+        letters[rng.randrange(len(letters))] = rng.choice("aeioubcdqxz")
+    return "".join(letters)
+
+
+@pytest.mark.parametrize("similarity", ["edit", "blocks"])
+def test_nearest_names_against_all_pairs(spark, similarity):
+    rng = random.Random(9)
+    names = made_names(rng, 150)
+    rows = [("r0" if i % 3 else f"r{i % 4}", n, (f"k{i:03d}", n.upper())) for i, n in enumerate(names)] + [("r5", "", ("k", "")), ("r1", "ñandú", ("z", "Z")), (None, "x", ("q", "Q"))]
+    rows = list({(r, n): (r, n, a) for r, n, a in rows}.values())
+    odd = ["", "x", "qqqqqqqqqqqqqqqqqqqqqqqqqqqqqqqqqqqq", "ñ", "ba^$", "zzzz", "kalakalakalakala"]
+    targets = [(rng.choice(["r0", "r1", "r2", "r3", "r5", "none", None]), changed(rng, rng.choice(names))) for _ in range(80)]
+    targets += [(r, x) for x in odd for r in ("r0", "r1", "r5")]
+    left = spark.createDataFrame(targets, "region string, _target string")
+    right = spark.createDataFrame(rows, "region string, _name string, _area struct<area_code:string,area_name:string>")
+    found, _ = nearest_names(left, right, ["region"], edit_ratio if similarity == "edit" else block_ratio, similarity)
+    pairs = left.distinct().join(right, "region")
+    ratio = (edit_ratio if similarity == "edit" else block_ratio)(F.col("_target"), F.col("_name"))
+    best = F.min(F.struct((-ratio).alias("order"), "_name", "_area.area_code", "_area.area_name"))
+    want = {(r.region, r._target): tuple(r.best) for r in pairs.groupBy("region", "_target").agg(best.alias("best")).collect()}
+    got = {(r.region, r._target): tuple(r._found) for r in found.collect()}
+    assert got == want and len(want) > 60
+
+
+def test_nearest_names_compares_few_pairs(spark):
+    """A region with a third of all names: a few hundredths of its pairs are compared."""
+    compared = []
+    for count in (1500, 3000):
+        rng = random.Random(3)
+        names = list(dict.fromkeys(made_names(rng, count)))
+        rows = [("hot" if i % 3 == 0 else f"r{i % 50}", n, (str(i), n)) for i, n in enumerate(names)]
+        targets = [(r, changed(rng, n)) for r, n, _ in rows if r == "hot"]
+        _, pairs = nearest_names(
+            spark.createDataFrame(targets, "region string, _target string"),
+            spark.createDataFrame(rows, "region string, _name string, _area struct<area_code:string,area_name:string>"), ["region"],
+        )
+        hot = sum(r == "hot" for r, *_ in rows)
+        compared.append((pairs.count() / len(targets), hot))
+    (few, small), (more, large) = compared
+    assert few < 0.03 * small and more < 0.04 * large
+
+
 @pytest.mark.parametrize("similarity", ["edit", "blocks"])
 def test_near_miss_shares_no_pair(spark, similarity):
     """A near miss is the nearest name of the region, also if no two neighbouring characters agree."""
