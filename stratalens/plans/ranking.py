@@ -55,10 +55,11 @@ def area_capacity(
 
 def with_capacity(df: DataFrame, crosswalk: DataFrame, capacity: DataFrame, entity: str, area: str) -> DataFrame:
     """Add the crosswalk columns of each entity and its area's capacity; entities without an area keep their row."""
-    # Rows without an area are dealt out by entity; under one NULL key they would meet in one task.
-    salt = F.when(F.col(area).isNull(), F.pmod(F.xxhash64(entity), F.lit(NOWHERE_SALTS)) + 1).otherwise(F.lit(0))
-    located = df.join(crosswalk, entity, "left").withColumn("_salt", salt.cast("long"))
-    return located.join(capacity.withColumn("_salt", F.lit(0).cast("long")), [area, "_salt"], "left").drop("_salt")
+    # Rows without an area are dealt out by entity; under one NULL key they would meet in one task.  The second key of the
+    # others follows from their area: the optimiser would take a constant out of the join.
+    spread = lambda c: F.pmod(F.xxhash64(c), F.lit(NOWHERE_SALTS))
+    located = df.join(crosswalk, entity, "left").withColumn("_salt", F.when(F.col(area).isNull(), spread(entity)).otherwise(spread(area)))
+    return located.join(capacity.withColumn("_salt", spread(area)), [area, "_salt"], "left").drop("_salt")
 
 
 def segment_inputs(
