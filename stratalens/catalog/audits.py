@@ -11,6 +11,7 @@ from ..operators.audit import (
     null_profile,
     profile,
     reconcile,
+    reconcile_by_buckets,
     share_sum_check,
     validity_summary,
 )
@@ -19,16 +20,20 @@ from ..functions.text import to_number
 from ..operators.counts import lower_band, records_to_counts
 from ..operators.moments import with_shares
 from ..operators.validity import validity
+from ..sources import lake
 from .distributions import SALES_KEYS, STRICT_AT, VALIDITY_SQL
 from .registry import (
     SALES,
+    SQL_PERIOD,
     SQL_YEAR,
     customer_counts,
+    order_period,
     order_year,
     query,
     r,
     rounded,
     sales_counts,
+    scratch,
     sql_counts,
     sql_shares,
     table,
@@ -134,6 +139,34 @@ def reconcile_query(spark, folder):
     return reconcile(copy, orders.select("o_orderkey", F.col("o_totalprice").alias("price")), ["o_orderkey"], ["price"])
 
 
+@query("reconcile_checksums", """
+SELECT o_orderkey, o_totalprice AS left_price, CASE WHEN o_orderkey % 100 = 7 THEN o_totalprice + 1 END AS right_price,
+  o_orderstatus AS left_status, CASE WHEN o_orderkey % 100 = 7 THEN o_orderstatus END AS right_status,
+  CASE WHEN o_orderkey % 100 = 7 THEN 'differs' ELSE 'only_left' END AS status FROM orders WHERE o_orderkey % 100 IN (7, 11)""")
+def reconcile_checksums(spark, folder):
+    """All orders against a copy in which some differ and some are missing: checksums first, then rows of buckets that differ."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"))
+    changed = F.when(F.col("o_orderkey") % 100 == 7, F.col("price") + 1).otherwise(F.col("price"))
+    copy = orders.where(F.col("o_orderkey") % 100 != 11).withColumn("price", changed)
+    found = reconcile_by_buckets(orders.withColumnRenamed("status", "state"), copy.withColumnRenamed("status", "state"), ["o_orderkey"], ["price", "state"])
+    return found.withColumnsRenamed({"left_state": "left_status", "right_state": "right_status"})
+
+
+@query("lake_lookup", f"""
+WITH c AS ({sql_counts({'entity_id': 'o_custkey', 'school_year': SQL_YEAR, 'period': SQL_PERIOD, 'grade': 'o_orderstatus'}, source='orders')}),
+k AS (SELECT c_custkey FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_acctbal ORDER BY c_acctbal DESC, c_custkey LIMIT 1)
+SELECT entity_id, school_year, period, grade, c1, c2, c3, c4, c5 FROM c JOIN k ON c_custkey = entity_id""")
+def lake_lookup(spark, folder):
+    """The whole history of one customer from a lake clustered for look-ups."""
+    keys = {"school_year": order_year(), "period": order_period(), "grade": F.col("o_orderstatus")}
+    path = f"{scratch(spark)}/counts"
+    lake.write_partitioned(customer_counts(spark, folder, keys), path, ("school_year", "period"), lookup="entity_id")
+    buyers = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    richest = table(spark, folder, "customer").join(buyers, "c_custkey").orderBy(F.desc("c_acctbal"), F.asc("c_custkey"))
+    found = lake.read_partitioned(spark, path).where(F.col("entity_id") == F.lit(richest.select("c_custkey").first()[0]))
+    return found.select("entity_id", "school_year", "period", "grade", *[c.alias(f"c{i}") for i, c in enumerate(levels("counts", 5), 1)])
+
+
 @query("point_lookup", f"""
 WITH base AS ({sql_counts(CUSTOMER_YEAR, source='orders')}),
 k AS (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 1)
