@@ -88,7 +88,7 @@ def test_empty_table(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{FOLDER}/{t}.parquet')")
     result = con.execute(queries.SQL[name])
     names = [d[0] for d in result.description]
@@ -99,6 +99,6 @@ def test_sql(spark, name):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
     assert not [p for p in Path(__spark_entry__.__file__).parent.glob("stratalens/**/*.py")
                 if "llm" not in p.parts and re.search(r"\bllm\b", p.read_text())]
