@@ -14,7 +14,8 @@ first candidates set a bound for each target, and only names that can still reac
    ``NEAR`` or more, which few runs find; a second one, down to one half, serves the targets that found none.
 4. Targets that are less than half alike to every name fetch the cells whose length and bag difference can still reach the bound.
 
-The result is the same as over all pairs.  Ties go to the lower name, then code.
+Scopes with at most ``WHOLE_PAIRS`` pairs are compared whole, which bounds the work per name and saves the search's jobs;
+the search serves larger ones.  The result is the same as over all pairs.  Ties go to the lower name, then code.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ BAGS = 3
 HALF, NEAR = 0.5, 0.7
 # A ratio of two lengths may differ from the quotient it stands for in its last digit.
 SLACK = 1e-9
+WHOLE_PAIRS = 1_000_000
 
 
 def runs_of(name: Column, length: int) -> Column:
@@ -89,7 +91,8 @@ def _better(*parts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def nearest_names(
-    targets: DataFrame, names: DataFrame, scope: Sequence[str], ratio: Callable[[Column, Column], Column] = edit_ratio, similarity: str = "edit"
+    targets: DataFrame, names: DataFrame, scope: Sequence[str], ratio: Callable[[Column, Column], Column] = edit_ratio, similarity: str = "edit",
+    whole_pairs: int = WHOLE_PAIRS,
 ) -> tuple[DataFrame, DataFrame]:
     """(scope, _target, _found) for distinct names (scope, _target), and the pairs the last search compared.
 
@@ -112,6 +115,14 @@ def nearest_names(
 
     names = materialise(names.withColumns({"length": F.length("_name"), "bag": bag(F.col("_name"))}))
     targets = materialise(targets.select(*scope, "_target").distinct())
+    held = [df.groupBy(*scope).agg(F.count("*").alias(n)) for df, n in ((targets, "asked"), (names, "offered"))]
+    sizes = materialise(held[0].join(held[1], scope))
+    small = F.col("asked") * F.col("offered") <= whole_pairs
+    few = targets.join(sizes.where(small).select(*scope), scope, "left_semi").join(names, scope).select(*scope, "_target", "_name", "_area")
+    large = sizes.where(~small).select(*scope)
+    if large.isEmpty():
+        return compared(few), few
+    targets = materialise(targets.join(large, scope, "left_semi"))
     stand_in = F.min(F.struct("_name", "_area")).alias("stand_in")
     opened = lambda df: df.select("*", "stand_in.*").drop("stand_in")
 
@@ -148,7 +159,7 @@ def nearest_names(
     pairs = reached.select(*scope, "_target", "length", "bag").join(names, [*scope, "length", "bag"]).select(*scope, "_target", "_name", "_area")
     compared_pairs.append(materialise(pairs))
     result = _better(best.drop("_bound"), compared(compared_pairs[-1]), keys=scope)
-    return result, reduce(DataFrame.unionByName, compared_pairs)
+    return result.unionByName(compared(few)), reduce(DataFrame.unionByName, compared_pairs, few)
 
 
 class _RunSearch:

@@ -119,8 +119,8 @@ def changed(rng, name):
     return "".join(letters)
 
 
-@pytest.mark.parametrize("similarity", ["edit", "blocks"])
-def test_nearest_names_against_all_pairs(spark, similarity):
+@pytest.mark.parametrize("similarity, whole", [("edit", 0), ("blocks", 0), ("edit", 600), ("edit", 1_000_000)])
+def test_nearest_names_against_all_pairs(spark, similarity, whole):
     rng = random.Random(9)
     names = made_names(rng, 150)
     rows = [("r0" if i % 3 else f"r{i % 4}", n, (f"k{i:03d}", n.upper())) for i, n in enumerate(names)] + [("r5", "", ("k", "")), ("r1", "ñandú", ("z", "Z")), (None, "x", ("q", "Q"))]
@@ -130,7 +130,7 @@ def test_nearest_names_against_all_pairs(spark, similarity):
     targets += [(r, x) for x in odd for r in ("r0", "r1", "r5")]
     left = spark.createDataFrame(targets, "region string, _target string")
     right = spark.createDataFrame(rows, "region string, _name string, _area struct<area_code:string,area_name:string>")
-    found, _ = nearest_names(left, right, ["region"], edit_ratio if similarity == "edit" else block_ratio, similarity)
+    found, _ = nearest_names(left, right, ["region"], edit_ratio if similarity == "edit" else block_ratio, similarity, whole)
     pairs = left.distinct().join(right, "region")
     ratio = (edit_ratio if similarity == "edit" else block_ratio)(F.col("_target"), F.col("_name"))
     best = F.min(F.struct((-ratio).alias("order"), "_name", "_area.area_code", "_area.area_name"))
@@ -150,6 +150,7 @@ def test_nearest_names_compares_few_pairs(spark):
         _, pairs = nearest_names(
             spark.createDataFrame(targets, "region string, _target string"),
             spark.createDataFrame(rows, "region string, _name string, _area struct<area_code:string,area_name:string>"), ["region"],
+            whole_pairs=0,
         )
         hot = sum(r == "hot" for r, *_ in rows)
         compared.append((pairs.count() / len(targets), hot))
