@@ -161,6 +161,7 @@ def top_list_kendall(df: DataFrame, entity: str, first: str, second: str, n: int
         *(F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{c}_inside") for c in ("_ones", "_zeros")),
     ).join(before, [*keys, "_chunk"])
     agree = F.col("_ones") * (F.col("_zeros_inside") + F.col("_zeros_before")) - F.col("_zeros") * (F.col("_ones_inside") + F.col("_ones_before"))
+    # As a number with a point: Spark's product of two whole literals overflows from 46,342 rows on.
     return counted.agg(F.coalesce(F.sum(agree), F.lit(0)).alias("_sum")).select(
-        F.lit(size).alias("entities"), F.try_divide(2.0 * F.col("_sum"), F.lit(size) * F.lit(size - 1)).alias("kendall")
+        F.lit(size).alias("entities"), F.try_divide(2.0 * F.col("_sum"), F.lit(float(size * (size - 1)))).alias("kendall")
     )

@@ -173,3 +173,15 @@ def test_kendall_counts_ties_once(spark, monkeypatch):
     got = top_list_kendall(spark.createDataFrame(rows, "entity_id int, a double, b double"), "entity_id", "a", "b").first()
     assert got.entities == 240 and got.kendall == pytest.approx(want)
     assert seen and max(seen) <= len({r[1:] for r in rows}) < 200
+
+
+def test_kendall_of_more_rows_than_an_int_squares(spark):
+    """50,000 rows have more pairs than a 32-bit integer can count."""
+    size = 50_000
+    i = np.arange(size)
+    cells, counts = np.unique(np.stack([i % 7, i % 7 * (i % 3) + i % 2]), axis=1, return_counts=True)
+    a, b = cells
+    want = counts @ (np.sign(a[:, None] - a) * np.sign(b[:, None] - b)) @ counts / (size * (size - 1))
+    rows = spark.range(size).selectExpr("id", "CAST(id % 7 AS DOUBLE) AS a", "CAST(id % 7 * (id % 3) + id % 2 AS DOUBLE) AS b")
+    got = top_list_kendall(rows, "id", "a", "b").first()
+    assert want > 0.1 and got.entities == size and got.kendall == pytest.approx(want)
