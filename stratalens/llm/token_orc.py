@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import running_offsets
+from .shared import free_memory, running_offsets
 from .word_tokens import encoder, slices
 
 SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
@@ -61,6 +61,7 @@ def write_tokens(
                     schema=kind,
                 )
                 at, before = at + len(texts), before + int(ends[-1])
+        free_memory()
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     ranges = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))

@@ -3,13 +3,15 @@
 With such a tokenizer (here ``word_bpe_49k.json``) no token crosses an ASCII blank, so a
 text's ids are its words' ids one after the other, and each worker encodes a word once
 and looks it up from then on.  The split between a run of letters and punctuation behind
-it is a token boundary too, which lets ``word``, ``word,`` and ``Word.`` share one entry.
+it is a token boundary too, which lets ``word``, ``word,`` and ``Word.`` share one entry:
+Arrow cuts and lower-cases all distinct words of a batch at once, before the lookup.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,9 @@ MARKS = ".,!?;:"
 class WordEncoder:
     """Texts to little-endian token ids.
 
-    ``most_words`` and ``most_cores`` bound the two tables a worker keeps; what is beyond them is
-    encoded again whenever it occurs, which changes the time and not the ids.
+    A worker keeps two tables: ``words`` has Latin words without punctuation and all other words whole,
+    ``cores`` the parts of these others.  ``most_words`` and ``most_cores`` bound them; what is beyond
+    is encoded again whenever it occurs, which changes the time and not the ids.
     """
 
     def __init__(
@@ -34,6 +37,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = as_text
         self.by_bytes = _model_alone_agrees(self.tokenizer)
+        self.letters = LATIN if self.by_bytes else ascii_letters
         self.width, self.most_words, self.most_cores = np.dtype(width), most_words, most_cores
         self.words: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
@@ -58,6 +62,25 @@ class WordEncoder:
             known.update(found)
         return result
 
+    def _bare(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Words of Latin letters in lower case without the punctuation behind them, others whole; and that punctuation."""
+        rest = pc.utf8_ltrim(words, self.letters)
+        latin = pc.and_(pc.equal(pc.utf8_ltrim(rest, MARKS), ""), pc.less(pc.binary_length(rest), pc.binary_length(words)))
+        return pc.if_else(latin, pc.utf8_lower(pc.utf8_rtrim(words, MARKS)), words), pc.if_else(latin, rest, "")
+
+    def _looked_up(self, entries: pa.Array) -> list[bytes]:
+        """The ids of distinct words as ``_bare`` leaves them; new ones are encoded and kept while there is room."""
+        names = entries.to_numpy(zero_copy_only=False).tolist()
+        each = list(map(self.words.get, names))
+        if None in each:
+            new = [n for n, e in zip(names, each) if e is None]
+            latin = pc.equal(pc.utf8_ltrim(pa.array(new, pa.large_string()), self.letters), "").to_pylist()
+            extra = self._encode([n for n, p in zip(new, latin) if p]) | self._new_words([n for n, p in zip(new, latin) if not p])
+            each = [extra[n] if e is None else e for n, e in zip(names, each)]
+            if len(self.words) < self.most_words:
+                self.words.update(extra)
+        return each
+
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and how many each text has; NULL has none.
 
@@ -65,20 +88,16 @@ class WordEncoder:
         """
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        new = [w for w in distinct if w not in self.words]
-        extra = self._new_words(new) if new else {}
-        each = [self.words[w] if w in self.words else extra[w] for w in distinct]
-        if len(self.words) < self.most_words:
-            self.words.update(extra)
+        bare, marks = (x.dictionary_encode() for x in self._bare(coded.dictionary))
+        each = [*self._looked_up(bare.dictionary), *self._looked_up(marks.dictionary)]
         pool = np.frombuffer(b"".join(each), dtype=self.width)
         size = np.fromiter(map(len, each), dtype=np.int64, count=len(each)) // self.width.itemsize
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        counts, firsts = size[code], (np.cumsum(size) - size)[code]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        at = np.arange(ends[-1]) + np.repeat(firsts - ends[:-1], counts)
+        parts = np.stack([_codes(bare), _codes(marks) + len(bare.dictionary)], axis=1).ravel()
+        pool, size = _copied(pool, size, parts), size[parts].reshape(-1, 2).sum(axis=1)
+        code = _codes(coded)
+        ends = np.concatenate([[0], np.cumsum(size[code])])
         edges = split.offsets.to_numpy()
-        return pool[at], np.diff(ends[edges - edges[0]])
+        return _copied(pool, size, code), np.diff(ends[edges - edges[0]])
 
     def closed_ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The same with ``end_id`` behind each text, counted."""
@@ -91,6 +110,17 @@ class WordEncoder:
         return out, counts + 1
 
 
+def _codes(coded: pa.DictionaryArray) -> np.ndarray:
+    return coded.indices.to_numpy(zero_copy_only=False)
+
+
+def _copied(pool: np.ndarray, size: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """``pool`` is runs of so many items, one after the other; the runs of the given numbers."""
+    counts, firsts = size[code], (np.cumsum(size) - size)[code]
+    ends = np.cumsum(counts)
+    return pool[np.arange(counts.sum()) + np.repeat(firsts - ends + counts, counts)]
+
+
 def _split(word: str) -> tuple[str, str]:
     """Letters and the punctuation behind them; a word of another shape stays whole."""
     core = word.rstrip(MARKS)
@@ -105,6 +135,8 @@ _OTHERS = [b for b in range(256) if b not in _PRINTABLE]
 _LETTERS = str.maketrans({chr(b): chr(0x100 + n) for n, b in enumerate(_OTHERS)})
 # Latin letters, whose lower case does not depend on the letters around them.
 PLAIN_END, DOTTED = "\u0250", "\u0130"
+# Those of them that are composed and single in lower case too.
+LATIN = ascii_letters + "".join(c for c in map(chr, range(0xC0, ord(PLAIN_END))) if c.isalpha() and c != DOTTED and c.lower() < PLAIN_END)
 
 
 def _byte_letters(word: str) -> str:

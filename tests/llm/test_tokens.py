@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from stratalens.llm import separators, token_orc
 from stratalens.llm.queries import tokenizer_path
 from stratalens.llm.shared import one_task_each
-from stratalens.llm.word_tokens import WordEncoder
+from stratalens.llm.word_tokens import LATIN, WordEncoder
 
 END = 49407
 
@@ -36,6 +36,26 @@ def test_word_by_word_is_whole_text(as_text):
         assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [*encoded(texts, as_text), []]
 
 
+def test_forms_of_a_word_share_one_entry():
+    """Capitals and punctuation behind a Latin word are taken off before the lookup, so it is encoded and kept once."""
+    forms = ["été", "Été", "ÉTÉ,", "été...", "Été?!", "house", "HOUSE;", "House.", "x1", "x1,", "İz", "漢字.", "Σς", "ΣΣ,", "'s"]
+    coder, calls = WordEncoder(tokenizer_path(), False), []
+    encode = coder._encode
+    coder._encode = lambda cores: calls.extend(cores) or encode(cores)
+    ids, counts = coder.ids(pa.array([" ".join(forms), "house ÉTÉ", None]))
+    assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [*encoded([" ".join(forms), "house ÉTÉ"], False), []]
+    assert calls.count("été") == calls.count("house") == 1 and not {"Été", "ÉTÉ"} & set(calls)
+    assert {"été", "house"} <= set(coder.words) and not {"Été", "ÉTÉ,", "House.", "HOUSE;"} & set(coder.words)
+
+
+def test_latin_letters_are_the_same_to_arrow_and_the_tokenizer():
+    words = [w for c in LATIN for w in (c, f"a{c}b,", f"{c}{c}.")]
+    coder = WordEncoder(tokenizer_path(), False)
+    ids, counts = coder.ids(pa.array(words))
+    assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == encoded(words, False)
+    assert len(coder.words) < len(words) * 2 / 3 and all(len(c.lower()) == 1 for c in LATIN)
+
+
 def test_orc_round_trip(spark, tmp_path):
     rows = documents() + [documents()[3], (None, "null id", None, None, 1), (None, None, None, None, None)]
     path = str(tmp_path / "tokens")
