@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .shared import drop_worker_tables
+from .shared import drop_worker_tables, free_memory
 
 # ASCII other than letters and digits parts words; A to Z become a to z.
 _CUTS = bytes(
@@ -113,6 +113,7 @@ def _scan(patterns: list[tuple[str, list[str]]]):
                 names = {i for _, _, p in found for i in owners[p]}
                 rows.append((len(w), sum(b - a for a, b in merged), [x for s in merged for x in s], sorted(names)))
             yield pd.DataFrame(rows, columns=["n_words", "n_hit", "spans", "items"])
+        free_memory()
 
     return scan
 

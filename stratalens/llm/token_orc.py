@@ -22,10 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import free_memory, running_offsets
+from .shared import batch_rows, free_memory, lean, running_offsets
 from .word_tokens import encoder, slices
 
 SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
+# A worker holds the texts of one batch and the ids of one slice at a time.
+BATCH_ROWS = 1000
+SLICE_BYTES = 1 << 19
 
 
 def write_tokens(
@@ -50,7 +53,7 @@ def write_tokens(
         code, part, before = encoder(tokenizer, False), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
-            for texts in slices(batch.column(1)):
+            for texts in slices(batch.column(1), SLICE_BYTES):
                 ids, lengths = code.closed_ids(texts, end_id)
                 ends = np.cumsum(lengths)
                 offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
@@ -61,18 +64,19 @@ def write_tokens(
                     schema=kind,
                 )
                 at, before = at + len(texts), before + int(ends[-1])
-        free_memory()
+            free_memory()
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     ranges = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    (
-        ranges.mapInArrow(encode, SCHEMA)
-        .write.option("orc.stripe.size", stripe_bytes)
-        .option("orc.row.index.stride", row_index_stride)
-        .option("orc.bloom.filter.columns", "doc_id")
-        .option("orc.bloom.filter.fpp", bloom_fpp)
-        .orc(path)
-    )
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        (
+            ranges.mapInArrow(encode, SCHEMA)
+            .write.option("orc.stripe.size", stripe_bytes)
+            .option("orc.row.index.stride", row_index_stride)
+            .option("orc.bloom.filter.columns", "doc_id")
+            .option("orc.bloom.filter.fpp", bloom_fpp)
+            .orc(path)
+        )
 
 
 def token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -87,7 +91,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = token_files(spark, path)
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("tokens")).collect()
-    offsets = spark.createDataFrame(running_offsets([(x.part, x.tokens) for x in totals]), "part int, offset long")
+    found = np.array(running_offsets([(x.part, x.tokens) for x in totals]), dtype=np.int64).reshape(-1, 2)
+    # An Arrow table: a list of rows would go through Python workers of another kind, which then idle in each executor.
+    offsets = spark.createDataFrame(pa.table({"part": pa.array(found[:, 0].astype(np.int32)), "offset": pa.array(found[:, 1])}))
     return rows.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("offset") + F.col("before")).alias("start"), F.col("n_tokens").cast("long").alias("n_tokens"), "ids"
     )
@@ -101,11 +107,11 @@ def with_checksum(rows: DataFrame, ids: str = "ids", into: str = "ids_crc32") ->
     def checksums(batches):
         for batch in batches:
             lists = batch.column(len(kept))
-            values = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False).tobytes()
+            values = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False).view(np.uint8)
             at = lists.offsets.to_numpy().astype(np.int64) * 4
             sums = [zlib.crc32(values[a:b]) for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(len(kept))), pa.array(sums, pa.int64())], names=[*kept, into]
             )
 
-    return rows.select(*kept, ids).mapInArrow(checksums, schema)
+    return rows.select(*kept, ids).mapInArrow(lean(checksums), schema)

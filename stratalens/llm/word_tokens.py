@@ -27,12 +27,12 @@ class WordEncoder:
     """Texts to little-endian token ids.
 
     A worker keeps two tables: ``words`` has Latin words without punctuation and all other words whole,
-    ``cores`` the parts of these others.  ``most_words`` and ``most_cores`` bound them; what is beyond
-    is encoded again whenever it occurs, which changes the time and not the ids.
+    ``cores`` the parts of these others.  ``most_words`` and ``most_cores`` bound them, at about 30 MB together;
+    what is beyond is encoded again whenever it occurs, which changes the time and not the ids.
     """
 
     def __init__(
-        self, path: str, as_text: bool, width: str = "<u4", most_words: int = 500_000, most_cores: int = 300_000
+        self, path: str, as_text: bool, width: str = "<u4", most_words: int = 150_000, most_cores: int = 50_000
     ):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = as_text
@@ -45,10 +45,12 @@ class WordEncoder:
     def _encode(self, cores: list[str]) -> dict[str, bytes]:
         """The ids of each part.  Plain words of letters go to the model itself, which saves the steps before it."""
         plain = [self.by_bytes and t.isalpha() and (t.isascii() or (max(t) < PLAIN_END and DOTTED not in t)) for t in cores]
-        rest = [t for t, p in zip(cores, plain) if not p]
-        encoded = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False)) if rest else iter(())
-        tokenize = self.tokenizer.model.tokenize
-        ids = [[x.id for x in tokenize(_byte_letters(t))] if p else next(encoded).ids for t, p in zip(cores, plain)]
+        # One by one: encode_batch starts a thread per core of the machine, and each keeps a heap of its own.
+        encode, tokenize = self.tokenizer.encode, self.tokenizer.model.tokenize
+        ids = [
+            [x.id for x in tokenize(_byte_letters(t))] if p else encode(t, add_special_tokens=False).ids
+            for t, p in zip(cores, plain)
+        ]
         return {c: np.array(i, dtype=self.width).tobytes() for c, i in zip(cores, ids)}
 
     def _new_words(self, new: list[str]) -> dict[str, bytes]:

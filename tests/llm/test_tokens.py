@@ -1,7 +1,10 @@
 """Token files against whole texts encoded at once."""
 
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +59,36 @@ def test_latin_letters_are_the_same_to_arrow_and_the_tokenizer():
     assert len(coder.words) < len(words) * 2 / 3 and all(len(c.lower()) == 1 for c in LATIN)
 
 
+def test_encoder_keeps_to_its_thread_and_little_memory():
+    """A thread per core of the machine would add a heap each to a worker, which has one core; tables are bounded."""
+    code = """
+import os, re, sys, pyarrow as pa
+from stratalens.llm.shared import free_memory
+from stratalens.llm.word_tokens import WordEncoder
+def held():
+    free_memory()
+    return int(re.search(r"Anonymous: +(\\d+)", open("/proc/self/smaps_rollup").read())[1]) >> 10
+threads, coder = len(os.listdir("/proc/self/task")), WordEncoder(sys.argv[1], False)
+coder.ids(pa.array(["plain words"]))
+mb = held()
+for k in range(0, 400_000, 20_000):
+    coder.ids(pa.array([" ".join(f"x{i}y-{i}" for i in range(k, k + 20_000))]))
+print(len(os.listdir("/proc/self/task")) - threads, held() - mb)
+"""
+    run = subprocess.run([sys.executable, "-c", code, tokenizer_path()], capture_output=True, text=True, check=True, cwd=Path(token_orc.__file__).parents[2])
+    threads, mb = map(int, run.stdout.split())
+    assert threads == 0 and mb < 70
+
+
+def test_offsets_of_files_need_no_python_worker(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    rows_sent = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    token_orc.write_tokens(frame(spark), path, tokenizer_path())
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == rows_sent
+    plan = token_orc.read_tokens(spark, path)._jdf.queryExecution().analyzed().toString()
+    assert "LocalRelation" in plan and "LogicalRDD" not in plan
+
+
 def test_orc_round_trip(spark, tmp_path):
     rows = documents() + [documents()[3], (None, "null id", None, None, 1), (None, None, None, None, None)]
     path = str(tmp_path / "tokens")
