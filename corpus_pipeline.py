@@ -55,7 +55,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "tokens")
-    token_orc.write_tokens(docs, path, tokenizer_path())
+    # Small tables: executors still hold what the stages before took.
+    token_orc.write_tokens(docs, path, tokenizer_path(), slice_bytes=1 << 19, most_words=150_000, most_cores=50_000)
     return token_orc.with_checksum(token_orc.read_tokens(spark, path))
 
 

@@ -26,9 +26,8 @@ from .shared import batch_rows, free_memory, lean, running_offsets
 from .word_tokens import encoder, slices
 
 SCHEMA = "doc_id long, part int, before long, n_tokens int, ids array<int>"
-# A worker holds the texts of one batch and the ids of one slice at a time.
+# A worker holds the texts of one batch at a time.
 BATCH_ROWS = 1000
-SLICE_BYTES = 1 << 19
 
 
 def write_tokens(
@@ -42,18 +41,23 @@ def write_tokens(
     stripe_bytes: int = 64 << 20,
     row_index_stride: int = 1000,
     bloom_fpp: float = 0.01,
+    slice_bytes: int = 1 << 20,
+    **bounds: int,
 ) -> None:
-    """Encode ``text_column`` with a blank-dropping tokenizer file and write ORC below ``path``."""
+    """Encode ``text_column`` with a blank-dropping tokenizer file and write ORC below ``path``.
+
+    ``slice_bytes`` of text at a time and ``bounds`` (``most_words``, ``most_cores``) of a worker's tables trade memory for time only.
+    """
     kind = pa.schema([
         ("doc_id", pa.int64()), ("part", pa.int32()), ("before", pa.int64()),
         ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32())),
     ])
 
     def encode(batches):
-        code, part, before = encoder(tokenizer, False), TaskContext.get().partitionId(), 0
+        code, part, before = encoder(tokenizer, False, **bounds), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
-            for texts in slices(batch.column(1), SLICE_BYTES):
+            for texts in slices(batch.column(1), slice_bytes):
                 ids, lengths = code.closed_ids(texts, end_id)
                 ends = np.cumsum(lengths)
                 offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))

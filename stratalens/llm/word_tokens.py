@@ -27,12 +27,12 @@ class WordEncoder:
     """Texts to little-endian token ids.
 
     A worker keeps two tables: ``words`` has Latin words without punctuation and all other words whole,
-    ``cores`` the parts of these others.  ``most_words`` and ``most_cores`` bound them, at about 30 MB together;
+    ``cores`` the parts of these others.  ``most_words`` and ``most_cores`` bound them, at about 200 bytes each;
     what is beyond is encoded again whenever it occurs, which changes the time and not the ids.
     """
 
     def __init__(
-        self, path: str, as_text: bool, width: str = "<u4", most_words: int = 150_000, most_cores: int = 50_000
+        self, path: str, as_text: bool, width: str = "<u4", most_words: int = 500_000, most_cores: int = 300_000
     ):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = as_text
@@ -163,6 +163,6 @@ def slices(texts: pa.Array, characters: int = 2 << 20) -> Iterator[pa.Array]:
             yield texts.slice(first, last - first)
 
 
-def encoder(path: str, as_text: bool, width: str = "<u4") -> WordEncoder:
-    """This worker's encoder; its tables outlive the task."""
-    return worker_table((path, as_text, width), lambda: WordEncoder(path, as_text, width))
+def encoder(path: str, as_text: bool, width: str = "<u4", **bounds: int) -> WordEncoder:
+    """This worker's encoder, with ``bounds`` of its tables if given; these outlive the task."""
+    return worker_table((path, as_text, width, *sorted(bounds.items())), lambda: WordEncoder(path, as_text, width, **bounds))

@@ -68,7 +68,7 @@ from stratalens.llm.word_tokens import WordEncoder
 def held():
     free_memory()
     return int(re.search(r"Anonymous: +(\\d+)", open("/proc/self/smaps_rollup").read())[1]) >> 10
-threads, coder = len(os.listdir("/proc/self/task")), WordEncoder(sys.argv[1], False)
+threads, coder = len(os.listdir("/proc/self/task")), WordEncoder(sys.argv[1], False, most_words=150_000, most_cores=50_000)
 coder.ids(pa.array(["plain words"]))
 mb = held()
 for k in range(0, 400_000, 20_000):
